@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The trip pipeline is batch only: it has no stream sources, watermarks,
+windows over event time or stateful operators.  Month-by-month loads use
+dynamic partition overwrite (``tripstar.sources.sinks.write_table``) rather
+than a stream.
+"""
