@@ -11,9 +11,11 @@ lo - 0.5 .. hi + 0.5):
   ``x >= e_(i+1)`` (except for the last bin), so edge values land exactly
   where the edges say despite rounding in the first guess.
 
-One pass counts every column: values are unpivoted to
-``(column_name, bin)`` and counted with a partial aggregate.  The output has
-every bin of every non-empty column, empty bins with count 0.
+Plan: one aggregate for the ranges of all columns (one row per column),
+one pass that unpivots the values to ``(column_name, x)``, joins the ranges
+(broadcast: one row per column) and counts per ``(column_name, bin)`` with a
+partial aggregate.  The output has every bin of every non-empty column,
+empty bins with count 0.
 """
 
 from __future__ import annotations
@@ -30,51 +32,56 @@ def _edge(i: Column, lo: Column, hi: Column, bins: int) -> Column:
 
 
 def bin_index(x: Column, lo: Column, hi: Column, bins: int) -> Column:
-    guess = (((x - lo) / (hi - lo)) * F.lit(float(bins))).cast("int")
-    guess = F.when(guess >= F.lit(bins), F.lit(bins - 1)).otherwise(guess)
-    down = F.when(x < _edge(guess, lo, hi, bins), guess - 1).otherwise(guess)
-    return F.when((x >= _edge(down + 1, lo, hi, bins)) & (down != F.lit(bins - 1)), down + 1) \
-            .otherwise(down)
+    """The bin of ``x`` (0-based); edges as in the module docstring."""
+    step = (hi - lo) / F.lit(float(bins))
+    guess = F.least((((x - lo) / (hi - lo)) * F.lit(float(bins))).cast("int"), F.lit(bins - 1))
+    # guess <= bins - 1, so its lower edge is never the special last edge
+    down = guess - (x < guess.cast("double") * step + lo).cast("int")
+    up = (x >= _edge(down + 1, lo, hi, bins)) & (down != F.lit(bins - 1))
+    return down + up.cast("int")
 
 
-def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:
-    """Rows ``(column_name, bin, bin_lo, bin_hi, count)``."""
-    columns = list(columns)
-    ranges = df.agg(*[F.struct(F.min(F.col(c).cast("double")).alias("lo"),
-                               F.max(F.col(c).cast("double")).alias("hi")).alias(f"_r{i}")
-                      for i, c in enumerate(columns)])
-    # Widen a constant column, as the bin rule requires.
-    edges = ranges.select(*[
-        F.struct(
-            F.when(F.col(f"_r{i}.lo") == F.col(f"_r{i}.hi"), F.col(f"_r{i}.lo") - 0.5)
-             .otherwise(F.col(f"_r{i}.lo")).alias("lo"),
-            F.when(F.col(f"_r{i}.lo") == F.col(f"_r{i}.hi"), F.col(f"_r{i}.hi") + 0.5)
-             .otherwise(F.col(f"_r{i}.hi")).alias("hi")).alias(f"_r{i}")
-        for i in range(len(columns))])
-    r = edges.select(F.struct(*[f"_r{i}" for i in range(len(columns))]).alias("r")).scalar()
-
-    # Unpivot first, so the bin rule is one expression over (x, lo, hi)
-    # whatever the number of columns.
-    entries = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x"),
-                 r.getField(f"_r{i}").getField("lo").alias("lo"),
-                 r.getField(f"_r{i}").getField("hi").alias("hi"))
-        for i, c in enumerate(columns)])
-    values = df.select(F.explode(entries).alias("_e")).select("_e.*").where(F.col("x").isNotNull())
-    counts = (values.select("column_name", bin_index(F.col("x"), F.col("lo"), F.col("hi"), bins).alias("bin"))
-                    .groupBy("column_name", "bin").agg(F.count(F.lit(1)).alias("count")))
+def _unpivot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return (df.select(F.explode(F.array(*[
+                F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x"))
+                for c in columns])).alias("_e"))
+              .select("_e.*"))
+
 
-    # All bins of each non-empty column: at most len(columns) * bins rows.
-    grid = edges.select(F.explode(F.array(*[
+def value_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per non-empty column: ``(column_name, lo, hi)``, widened
+    when the column is constant."""
+    agg = df.agg(*[F.struct(F.min(F.col(c).cast("double")).alias("lo"),
+                            F.max(F.col(c).cast("double")).alias("hi")).alias(f"_r{i}")
+                   for i, c in enumerate(columns)])
+    rows = agg.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"_r{i}.lo").alias("lo"),
                  F.col(f"_r{i}.hi").alias("hi"))
         for i, c in enumerate(columns)])).alias("_g")).select("_g.*").where(F.col("lo").isNotNull())
-    grid = grid.select("column_name", "lo", "hi",
-                       F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    grid = grid.select("column_name", "bin",
-                       _edge(F.col("bin"), F.col("lo"), F.col("hi"), bins).alias("bin_lo"),
-                       _edge(F.col("bin") + 1, F.col("lo"), F.col("hi"), bins).alias("bin_hi"))
-    # ``counts`` has at most len(columns) * bins rows: a proven broadcast bound.
-    return (grid.join(F.broadcast(counts), ["column_name", "bin"], "left")
-                .select("column_name", "bin", "bin_lo", "bin_hi",
-                        F.coalesce("count", F.lit(0).cast("long")).alias("count")))
+    same = F.col("lo") == F.col("hi")
+    return rows.select("column_name",
+                       F.when(same, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+                       F.when(same, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
+
+
+def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:
+    """Rows ``(column_name, bin, bin_lo, bin_hi, count)``."""
+    columns = list(columns)
+    ranges = value_ranges(df, columns)
+    values = _unpivot(df, columns).where(F.col("x").isNotNull())
+    # ``ranges`` has one row per column: a proven broadcast bound.
+    counts = (values.join(F.broadcast(ranges), "column_name")
+                    .select("column_name",
+                            bin_index(F.col("x"), F.col("lo"), F.col("hi"), bins).alias("bin"))
+                    .groupBy("column_name", "bin").agg(F.count(F.lit(1)).alias("count")))
+    # Empty bins: add a zero row for every bin, then sum (at most
+    # 2 * len(columns) * bins rows).  Joining the counts to a grid instead
+    # would make the optimizer repeat the bin rule as a join filter.
+    zeros = ranges.select("column_name", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
+                          F.lit(0).cast("long").alias("count"))
+    full = counts.unionByName(zeros).groupBy("column_name", "bin").agg(F.sum("count").alias("count"))
+    return (full.join(F.broadcast(ranges), "column_name")
+                .select("column_name", "bin",
+                        _edge(F.col("bin"), F.col("lo"), F.col("hi"), bins).alias("bin_lo"),
+                        _edge(F.col("bin") + 1, F.col("lo"), F.col("hi"), bins).alias("bin_hi"),
+                        F.col("count").cast("long").alias("count")))

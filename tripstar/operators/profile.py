@@ -100,9 +100,9 @@ def numeric_stats(df: DataFrame, scale: int = 2) -> DataFrame:
         x = F.col(c).cast("double")
         aggs += [F.avg(x).alias(f"_a{i}"), F.stddev_samp(x).alias(f"_s{i}"),
                  F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}")]
-    agg = df.agg(*aggs)
+    agg = df.agg(*aggs).withColumn("_m", med)
     rows = [(c, {"mean": F.round(F.col(f"_a{i}"), scale),
-                 "median": F.round(med.getField(f"_q{i}"), scale),
+                 "median": F.round(F.col(f"_m._q{i}"), scale),
                  "std": F.round(F.col(f"_s{i}"), scale),
                  "min": F.round(F.col(f"_lo{i}"), scale),
                  "max": F.round(F.col(f"_hi{i}"), scale)})
@@ -174,8 +174,8 @@ def iqr_outliers(df: DataFrame, column: str = "trip_distance") -> DataFrame:
     """Values outside [Q1 - 1.5 IQR, Q3 + 1.5 IQR] (interpolated quartiles)."""
     q = exact_quantiles(df, [Quantile("q1", column, 0.25, "cont"),
                              Quantile("q3", column, 0.75, "cont")])
-    s = q.select(F.struct("q1", "q3").alias("s")).scalar()
-    q1, q3 = s.getField("q1"), s.getField("q3")
+    df = df.select(column).withColumn("_q", q.select(F.struct("q1", "q3").alias("s")).scalar())
+    q1, q3 = F.col("_q.q1"), F.col("_q.q3")
     iqr = q3 - q1
     x = F.col(column)
     agg = df.agg(F.count(F.lit(1)).alias("_rows"),

@@ -120,12 +120,16 @@ def validate_table(name: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
               .select("table_name", "row_count", "_k.key_column", "_k.null_count")
 
 
-def validate_star(tables: dict[str, DataFrame], raw: DataFrame | None = None) -> DataFrame:
-    """Row and key-NULL counts for every table, plus the raw row count."""
+def validate_star(tables: dict[str, DataFrame], raw: DataFrame | None = None,
+                  raw_rows: DataFrame | None = None) -> DataFrame:
+    """Row and key-NULL counts for every table, plus the raw row count
+    (counted from ``raw``, or given as a one-row frame ``raw_rows(n)``)."""
     parts = [validate_table(name, tables[name], keys) for name, keys in TABLE_KEYS.items()
              if name in tables]
-    if raw is not None:
-        parts.append(raw.agg(F.count(F.lit(1)).alias("row_count"))
+    if raw is not None and raw_rows is None:
+        raw_rows = raw.agg(F.count(F.lit(1)).alias("n"))
+    if raw_rows is not None:
+        parts.append(raw_rows.select(F.col("n").cast("long").alias("row_count"))
                         .select(F.lit("raw").alias("table_name"), "row_count",
                                 F.lit(None).cast("string").alias("key_column"),
                                 F.lit(None).cast("long").alias("null_count")))

@@ -74,13 +74,15 @@ def _profile(spark, sf):
 
 def _cap(spark, sf):
     df = _after_tip(spark, sf)
-    return clean.cap_distance(df, clean.stats_scalar(clean.global_stats(df)))
+    df = clean.with_stats(df, clean.global_stats(df))
+    return clean.cap_distance(df, F.col("_stats")).drop("_stats")
 
 
 def _impute(spark, sf):
     df = _after_tip(spark, sf)
-    s = clean.stats_scalar(clean.global_stats(df))
-    return clean.impute_medians(clean.cap_distance(df, s), s)
+    df = clean.with_stats(df, clean.global_stats(df))
+    s = F.col("_stats")
+    return clean.impute_medians(clean.cap_distance(df, s), s).drop("_stats")
 
 
 def _land_raw(spark, sf):
