@@ -2,7 +2,8 @@
 
 Passes over the data
 --------------------
-1. dedupe (T1) + timestamps, duration, distance bin (T2-T4), written once as
+1. (an under-split input is first spread over the cores), then
+   dedupe (T1) + timestamps, duration, distance bin (T2-T4), written once as
    a staged Parquet table under the output folder.  This is the only
    full-width shuffle; every later pass is a pruned scan of the staged rows,
    and the staged table cuts the lineage (a lost executor re-reads files
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from tripstar.operators import clean, star
 from tripstar.plans import joins
 from tripstar.sources.sinks import write_json, write_table
+from tripstar.sources.tables import rebalance
 
 TABLES = ("dim_datetime", "dim_payment", "dim_trip_category", "fact_trips")
 PARTITIONED = {"dim_datetime": star.PARTITION_COLUMNS, "fact_trips": star.PARTITION_COLUMNS}
@@ -52,7 +54,7 @@ def read_warehouse(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
 def run_etl(spark: SparkSession, raw: DataFrame, out_dir: str, keys: str = "parity",
             accuracy: int | None = None, validate: bool = True) -> EtlResult:
     staged_path = f"{out_dir}/_staging/trips_prepared"
-    write_table(clean.prepare(raw, keep_copies=True), staged_path)
+    write_table(clean.prepare(rebalance(raw), keep_copies=True), staged_path)
     staged = spark.read.parquet(staged_path)
 
     write_table(star.dim_datetime(staged, keys), f"{out_dir}/dim_datetime",

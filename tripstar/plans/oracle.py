@@ -337,6 +337,19 @@ _DQ_SIMPLE_SQL = " UNION ALL ".join(f"SELECT * FROM ({_issue(name, n, 'COUNT(*)'
                                     for name, n in _DQ_SIMPLE)
 
 
+_FFILL_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in [
+    "tpep_dropoff_datetime", "tpep_pickup_datetime", "passenger_count", "trip_distance", "fare_amount",
+    "tip_amount", "payment_type", "PULocationID", "DOLocationID"])
+
+
+def _modes() -> str:
+    parts = []
+    for c in ("VendorID", "payment_type", "PULocationID", "DOLocationID"):
+        parts.append(f"mode_{c} AS (SELECT {c} AS v FROM d WHERE {c} IS NOT NULL GROUP BY {c} "
+                     f"ORDER BY COUNT(*) DESC, {c} LIMIT 1)")
+    return ",\n".join(parts)
+
+
 def _clean_select(cols: str, source: str) -> str:
     return _with(f"SELECT {cols} FROM {source}", star=False)
 
@@ -437,4 +450,29 @@ def oracle_sql() -> dict[str, str]:
                               queries=True),
         "feed_tip": _with("SELECT * FROM q4 ORDER BY avg_tip DESC, payment_desc, distance_bucket, VendorID LIMIT 12",
                           queries=True),
+        # extensions
+        "ext_future_fix": _raw_with(f"""
+, d AS (SELECT DISTINCT * FROM raw_trips),
+k AS (SELECT *, hour(tpep_pickup_datetime) AS h, dayofweek(tpep_pickup_datetime) AS dow,
+             epoch_us(tpep_pickup_datetime) AS us,
+             tpep_pickup_datetime > TIMESTAMP '{FUTURE_AS_OF}' AS fut FROM d),
+m AS (SELECT h, dow, quantile_disc(us, 0.5) AS med FROM k WHERE NOT fut GROUP BY h, dow)
+SELECT {RAW}, CASE WHEN fut AND m.med IS NOT NULL THEN make_timestamp(m.med) ELSE tpep_pickup_datetime END
+       AS pickup_fixed
+FROM k LEFT JOIN m USING (h, dow)""".replace("\n, d AS", ", d AS", 1)),
+        "ext_mode_impute": _raw_with(f"""
+, d AS (SELECT DISTINCT * FROM raw_trips),
+{_modes()}
+SELECT coalesce(VendorID, (SELECT v FROM mode_VendorID)) AS VendorID, tpep_pickup_datetime, tpep_dropoff_datetime,
+       passenger_count, trip_distance, fare_amount, tip_amount,
+       coalesce(payment_type, (SELECT v FROM mode_payment_type)) AS payment_type,
+       coalesce(PULocationID, (SELECT v FROM mode_PULocationID)) AS PULocationID,
+       coalesce(DOLocationID, (SELECT v FROM mode_DOLocationID)) AS DOLocationID
+FROM d"""),
+        "ext_ffill": _raw_with(f"""
+, d AS (SELECT DISTINCT * FROM raw_trips)
+SELECT {RAW}, coalesce(tpep_pickup_datetime, last_value(tpep_pickup_datetime IGNORE NULLS) OVER (
+    PARTITION BY VendorID ORDER BY {_FFILL_ORDER}
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS pickup_filled
+FROM d"""),
     }

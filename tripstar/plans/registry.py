@@ -185,6 +185,8 @@ def queries() -> dict[str, Query]:
         "feed_scatter": lambda s, sf: feeds.feed_scatter(_q("q2_distance_fare_correlation")(s, sf)),
         "feed_payment": lambda s, sf: feeds.feed_payment(_q("q3_payment_preference_time_location")(s, sf)),
         "feed_tip": lambda s, sf: feeds.feed_tip(_q("q4_avg_tip_by_segments")(s, sf)),
+        # extensions declared by the profiling plan
+        **_extensions(),
     }
 
 
@@ -192,3 +194,12 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1 end to end from the raw trips, fully lazy (no writes)."""
     s = _star(spark, sf_dir)
     return analytics.q1_hour_weekday_volume_fare(s.fact_trips, s.dim_datetime)
+
+
+def _extensions() -> dict[str, Query]:
+    return {
+        "ext_future_fix": lambda s, sf: extensions.fix_future_pickups(
+            clean.drop_exact_duplicates(_raw(s, sf)), FUTURE_AS_OF),
+        "ext_mode_impute": lambda s, sf: extensions.impute_mode(clean.drop_exact_duplicates(_raw(s, sf))),
+        "ext_ffill": lambda s, sf: extensions.forward_fill(clean.drop_exact_duplicates(_raw(s, sf))),
+    }
