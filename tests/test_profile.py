@@ -53,3 +53,18 @@ def test_stats_and_missing(spark):
     assert miss["fare_amount"] == (1, 20.0) and miss["trip_distance"] == (0, 0.0)
     types = {r["column_name"]: r["data_type"] for r in profile.schema_report(df).collect()}
     assert types["tpep_pickup_datetime"] == "timestamp_ntz"
+
+
+def test_fused_profile_equals_separate_reports(spark, sf_small):
+    from tripstar.sources.tables import raw_trips
+    df = profile.profile_frame(raw_trips(spark, sf_small))
+    fused = profile.profile_reports(df, "2024-01-25 00:00:00")
+    separate = {
+        "schema": profile.schema_report(df),
+        "missing": profile.missing_report(df),
+        "statistics": profile.numeric_stats(df),
+        "histograms": profile.distribution_report(df),
+        "issues": profile.issue_report(df, "2024-01-25 00:00:00"),
+    }
+    for name, rep in separate.items():
+        assert sorted(map(tuple, fused[name].collect())) == sorted(map(tuple, rep.collect())), name

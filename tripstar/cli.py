@@ -38,14 +38,7 @@ def _profile(spark, args) -> int:
     from tripstar.sources.sinks import write_csv
     from tripstar.sources.tables import read_raw
     df = profile.profile_frame(read_raw(spark, args.raw))
-    reports = {
-        "schema": profile.schema_report(df),
-        "missing": profile.missing_report(df),
-        "statistics": profile.numeric_stats(df),
-        "histograms": profile.distribution_report(df),
-        "issues": profile.issue_report(df, args.as_of),
-    }
-    for name, rep in reports.items():
+    for name, rep in profile.profile_reports(df, args.as_of).items():
         write_csv(rep, f"{args.out}/{name}")
     return 0
 

@@ -53,21 +53,28 @@ def _unpivot_rows(agg: DataFrame, rows: Sequence[tuple[str, dict[str, Column]]],
     return agg.select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
 
 
-def schema_report(df: DataFrame) -> DataFrame:
-    """Column, type, a sample value cut to 50 characters ("NaN" if none).
+def _schema_aggs(df: DataFrame) -> list[Column]:
+    return [F.min(c).alias(f"_m{i}") for i, c in enumerate(df.columns)]
 
-    The sample is the smallest non-null value, so the report is
-    deterministic (file order is not a property of a distributed scan).
-    """
-    agg = df.agg(*[F.min(c).alias(f"_m{i}") for i, c in enumerate(df.columns)])
+
+def _schema_rows(agg: DataFrame, schema: T.StructType) -> DataFrame:
     rows = [(f.name, {"data_type": F.lit(f.dataType.simpleString()),
                       "sample_value": F.coalesce(
                           F.substring(F.col(f"_m{i}").cast("string"), 1, SAMPLE_CHARS),
                           F.lit("NaN"))})
-            for i, f in enumerate(df.schema.fields)]
+            for i, f in enumerate(schema.fields)]
     return _unpivot_rows(agg, rows, ["data_type", "sample_value"])
 
 
+def schema_report(df: DataFrame) -> DataFrame:
+    """Column, type, a sample value cut to 50 characters ("NaN" if none).
+
+    The sample is the smallest non-null value, so the report is
+    deterministic (file order is not a property of a distributed scan).
+    """
+    return _schema_rows(df.agg(*_schema_aggs(df)), df.schema)
+
+
 def _is_missing(f: T.StructField) -> Column:
     c = F.col(f.name)
     if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
@@ -75,34 +82,49 @@ def _is_missing(f: T.StructField) -> Column:
     return c.isNull()
 
 
-def missing_report(df: DataFrame) -> DataFrame:
-    """NULL (and NaN) count and percentage per column."""
-    agg = df.agg(F.count(F.lit(1)).alias("_rows"),
-                 *[F.count_if(_is_missing(f)).alias(f"_n{i}") for i, f in enumerate(df.schema.fields)])
+def _rows_agg() -> Column:
+    return F.count(F.lit(1)).alias("_rows")
+
+
+def _missing_aggs(df: DataFrame) -> list[Column]:
+    return [F.count_if(_is_missing(f)).alias(f"_n{i}") for i, f in enumerate(df.schema.fields)]
+
+
+def _missing_rows(agg: DataFrame, schema: T.StructType) -> DataFrame:
     rows = [(f.name, {"missing_count": F.col(f"_n{i}"),
                       "missing_pct": pct_of(F.col(f"_n{i}"), F.col("_rows"))})
-            for i, f in enumerate(df.schema.fields)]
+            for i, f in enumerate(schema.fields)]
     return _unpivot_rows(agg, rows, ["missing_count", "missing_pct"])
 
 
+def missing_report(df: DataFrame) -> DataFrame:
+    """NULL (and NaN) count and percentage per column."""
+    return _missing_rows(df.agg(_rows_agg(), *_missing_aggs(df)), df.schema)
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     """P5."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def numeric_stats(df: DataFrame, scale: int = 2) -> DataFrame:
-    """Mean, median, sample std, min, max per numeric column (rounded)."""
-    cols = numeric_columns(df)
-    medians = exact_quantiles(df, [Quantile(f"_q{i}", c, 0.5, "cont") for i, c in enumerate(cols)])
-    med = medians.select(F.struct(*[f"_q{i}" for i in range(len(cols))]).alias("m")).scalar()
+def _stats_aggs(cols: Sequence[str]) -> list[Column]:
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.avg(x).alias(f"_a{i}"), F.stddev_samp(x).alias(f"_s{i}"),
                  F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}")]
-    agg = df.agg(*aggs).withColumn("_m", med)
+    return aggs
+
+
+def _median_specs(cols: Sequence[str]) -> list[Quantile]:
+    return [Quantile(f"_q{i}", c, 0.5, "cont") for i, c in enumerate(cols)]
+
+
+def _stats_rows(agg: DataFrame, cols: Sequence[str], medians: DataFrame, scale: int) -> DataFrame:
+    med = medians.select(F.struct(*[f"_q{i}" for i in range(len(cols))]).alias("m")).scalar()
+    agg = agg.withColumn("_med", med)
     rows = [(c, {"mean": F.round(F.col(f"_a{i}"), scale),
-                 "median": F.round(F.col(f"_m._q{i}"), scale),
+                 "median": F.round(F.col(f"_med._q{i}"), scale),
                  "std": F.round(F.col(f"_s{i}"), scale),
                  "min": F.round(F.col(f"_lo{i}"), scale),
                  "max": F.round(F.col(f"_hi{i}"), scale)})
@@ -110,6 +132,12 @@ def numeric_stats(df: DataFrame, scale: int = 2) -> DataFrame:
     return _unpivot_rows(agg, rows, ["mean", "median", "std", "min", "max"])
 
 
+def numeric_stats(df: DataFrame, scale: int = 2) -> DataFrame:
+    """Mean, median, sample std, min, max per numeric column (rounded)."""
+    cols = numeric_columns(df)
+    return _stats_rows(df.agg(*_stats_aggs(cols)), cols, exact_quantiles(df, _median_specs(cols)), scale)
+
+
 def histogram_columns(df: DataFrame) -> list[str]:
     """The key columns present, else the first five numeric ones."""
     present = [c for c in KEY_COLUMNS if c in df.columns]
@@ -135,65 +163,82 @@ def _issue_rows(agg: DataFrame, entries: Sequence[tuple[str, Column]]) -> DataFr
     return agg.select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows beyond the first copy (NULLs compare equal).
+def _duplicates(df: DataFrame) -> DataFrame:
+    """One row ``(_rows, _dups)``: rows beyond the first copy (NULLs equal).
 
     ``count(*) - count(distinct rows)`` via a grouped count: copies collapse
     map-side, so a heavily repeated row does not load one task.
     """
-    cols = list(df.columns)
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
     agg = groups.agg(F.sum("_c").alias("_rows"), F.sum(F.col("_c") - 1).alias("_dups"))
-    agg = agg.select(F.coalesce("_rows", F.lit(0)).alias("_rows"),
-                     F.coalesce("_dups", F.lit(0)).alias("_dups"))
-    return _issue_rows(agg, [("Duplicate rows", F.col("_dups"))])
+    return agg.select(F.coalesce("_rows", F.lit(0)).alias("_rows"),
+                      F.coalesce("_dups", F.lit(0)).alias("_dups"))
+
+
+def duplicate_rows(df: DataFrame) -> DataFrame:
+    """P9."""
+    return _issue_rows(_duplicates(df), [("Duplicate rows", F.col("_dups"))])
 
 
 def _non_integer(c: Column) -> Column:
     return (c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf"))) | (c != F.rint(c)))
 
 
-def simple_issues(df: DataFrame) -> DataFrame:
-    """P10, P11, P12, P15 in one aggregate."""
-    agg = df.agg(
-        F.count(F.lit(1)).alias("_rows"),
+def _simple_aggs() -> list[Column]:
+    return [
         F.count_if(F.col("fare_amount") < 0).alias("_neg_fare"),
         F.count_if(F.col("passenger_count") == 0).alias("_zero_pass"),
         F.count_if(_non_integer(F.col("passenger_count"))).alias("_non_int"),
         F.count_if(F.col("tip_amount") > F.col("fare_amount")).alias("_tip_gt_fare"),
-    )
-    return _issue_rows(agg, [
-        ("Negative fare amount", F.col("_neg_fare")),
-        ("Zero passenger count", F.col("_zero_pass")),
-        ("Passenger count non-integer", F.col("_non_int")),
-        ("Tip greater than fare", F.col("_tip_gt_fare")),
-    ])
+    ]
 
 
-def iqr_outliers(df: DataFrame, column: str = "trip_distance") -> DataFrame:
-    """Values outside [Q1 - 1.5 IQR, Q3 + 1.5 IQR] (interpolated quartiles)."""
-    q = exact_quantiles(df, [Quantile("q1", column, 0.25, "cont"),
-                             Quantile("q3", column, 0.75, "cont")])
-    df = df.select(column).withColumn("_q", q.select(F.struct("q1", "q3").alias("s")).scalar())
-    q1, q3 = F.col("_q.q1"), F.col("_q.q3")
+_SIMPLE = [("Negative fare amount", "_neg_fare"), ("Zero passenger count", "_zero_pass"),
+           ("Passenger count non-integer", "_non_int"), ("Tip greater than fare", "_tip_gt_fare")]
+
+
+def simple_issues(df: DataFrame) -> DataFrame:
+    """P10, P11, P12, P15 in one aggregate."""
+    agg = df.agg(_rows_agg(), *_simple_aggs())
+    return _issue_rows(agg, [(name, F.col(c)) for name, c in _SIMPLE])
+
+
+def _iqr_specs(column: str) -> list[Quantile]:
+    return [Quantile("_iq1", column, 0.25, "cont"), Quantile("_iq3", column, 0.75, "cont")]
+
+
+def _iqr_count(df: DataFrame, quartiles: DataFrame, column: str) -> DataFrame:
+    q = quartiles.select(F.struct("_iq1", "_iq3").alias("s")).scalar()
+    df = df.select(column).withColumn("_q", q)
+    q1, q3 = F.col("_q._iq1"), F.col("_q._iq3")
     iqr = q3 - q1
     x = F.col(column)
-    agg = df.agg(F.count(F.lit(1)).alias("_rows"),
-                 F.count_if((x < q1 - F.lit(IQR_FACTOR) * iqr) | (x > q3 + F.lit(IQR_FACTOR) * iqr))
-                 .alias("_out"))
+    return df.agg(_rows_agg(),
+                  F.count_if((x < q1 - F.lit(IQR_FACTOR) * iqr) | (x > q3 + F.lit(IQR_FACTOR) * iqr))
+                  .alias("_out"))
+
+
+def iqr_outliers(df: DataFrame, column: str = "trip_distance") -> DataFrame:
+    """Values outside [Q1 - 1.5 IQR, Q3 + 1.5 IQR] (interpolated quartiles)."""
+    agg = _iqr_count(df, exact_quantiles(df, _iqr_specs(column)), column)
     return _issue_rows(agg, [("Trip distance outliers (IQR)", F.col("_out"))])
 
 
+def _as_of(as_of: str | Column | None) -> Column:
+    if as_of is None:
+        return F.current_timestamp()
+    if isinstance(as_of, str):
+        return F.lit(as_of).cast("timestamp")
+    return as_of
+
+
+def _future_agg(as_of: str | Column | None) -> Column:
+    return F.count_if(F.to_timestamp("tpep_pickup_datetime") > _as_of(as_of)).alias("_future")
+
+
 def future_pickups(df: DataFrame, as_of: str | Column | None = None) -> DataFrame:
     """Pickups later than ``as_of`` (default: the query's current time)."""
-    if as_of is None:
-        limit = F.current_timestamp()
-    elif isinstance(as_of, str):
-        limit = F.lit(as_of).cast("timestamp")
-    else:
-        limit = as_of
-    agg = df.agg(F.count(F.lit(1)).alias("_rows"),
-                 F.count_if(F.to_timestamp("tpep_pickup_datetime") > limit).alias("_future"))
+    agg = df.agg(_rows_agg(), _future_agg(as_of))
     return _issue_rows(agg, [("Future pickup timestamps", F.col("_future"))])
 
 
@@ -204,3 +249,34 @@ def issue_report(df: DataFrame, as_of: str | Column | None = None) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# The whole profile with shared passes ---------------------------------------
+def profile_reports(df: DataFrame, as_of: str | Column | None = None,
+                    bins: int = HISTOGRAM_BINS) -> dict[str, DataFrame]:
+    """All reports with five passes over ``df`` instead of one per report:
+
+    1. one aggregate for everything that is a per-column total (samples,
+       NULL counts, mean/std/min/max, issue counters, future pickups);
+    2. one exact-quantile plan for the medians and the IQR quartiles;
+    3. the histogram counts; 4. the duplicate groups; 5. the IQR count.
+
+    The two one-row results of passes 1 and 2 are cached (one row each) and
+    every report is a projection of them.
+    """
+    cols = numeric_columns(df)
+    overview = df.agg(_rows_agg(), *_schema_aggs(df), *_missing_aggs(df), *_stats_aggs(cols),
+                      *_simple_aggs(), _future_agg(as_of)).cache()
+    quant = exact_quantiles(df, [*_median_specs(cols), *_iqr_specs("trip_distance")]).cache()
+    iqr = _iqr_count(df, quant, "trip_distance")
+    issues = (_issue_rows(_duplicates(df), [("Duplicate rows", F.col("_dups"))])
+              .unionByName(_issue_rows(overview, [(name, F.col(c)) for name, c in _SIMPLE]))
+              .unionByName(_issue_rows(iqr, [("Trip distance outliers (IQR)", F.col("_out"))]))
+              .unionByName(_issue_rows(overview, [("Future pickup timestamps", F.col("_future"))])))
+    return {
+        "schema": _schema_rows(overview, df.schema),
+        "missing": _missing_rows(overview, df.schema),
+        "statistics": _stats_rows(overview, cols, quant, 2),
+        "histograms": distribution_report(df, bins),
+        "issues": issues,
+    }
