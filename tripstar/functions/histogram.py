@@ -84,4 +84,5 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFram
                 .select("column_name", "bin",
                         _edge(F.col("bin"), F.col("lo"), F.col("hi"), bins).alias("bin_lo"),
                         _edge(F.col("bin") + 1, F.col("lo"), F.col("hi"), bins).alias("bin_hi"),
-                        F.col("count").cast("long").alias("count")))
+                        F.col("count").cast("long").alias("count"))
+                .orderBy("column_name", "bin"))

@@ -46,11 +46,13 @@ def profile_frame(raw: DataFrame) -> DataFrame:
 
 def _unpivot_rows(agg: DataFrame, rows: Sequence[tuple[str, dict[str, Column]]],
                   fields: Sequence[str]) -> DataFrame:
-    """Turn a one-row aggregate into one output row per entry of ``rows``."""
+    """Turn a one-row aggregate into one output row per entry of ``rows``
+    (in column order; the reports are one row per column, so sorting them
+    is free)."""
     structs = [F.struct(F.lit(i).alias("position"), F.lit(name).alias("column_name"),
                         *[exprs[f].alias(f) for f in fields])
                for i, (name, exprs) in enumerate(rows, start=1)]
-    return agg.select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
+    return agg.select(F.explode(F.array(*structs)).alias("_r")).select("_r.*").orderBy("position")
 
 
 def _schema_aggs(df: DataFrame) -> list[Column]:
@@ -94,7 +96,9 @@ def _missing_rows(agg: DataFrame, schema: T.StructType) -> DataFrame:
     rows = [(f.name, {"missing_count": F.col(f"_n{i}"),
                       "missing_pct": pct_of(F.col(f"_n{i}"), F.col("_rows"))})
             for i, f in enumerate(schema.fields)]
-    return _unpivot_rows(agg, rows, ["missing_count", "missing_pct"])
+    # Most missing first
+    return _unpivot_rows(agg, rows, ["missing_count", "missing_pct"]) \
+        .orderBy(F.desc("missing_pct"), "position")
 
 
 def missing_report(df: DataFrame) -> DataFrame:
@@ -160,7 +164,7 @@ def _issue_rows(agg: DataFrame, entries: Sequence[tuple[str, Column]]) -> DataFr
                          pct.cast(f"decimal(38,{decimals[name]})").cast("string"), F.lit("%)"))
         structs.append(F.struct(F.lit(position[name]).alias("position"), F.lit(name).alias("issue"),
                                 n.cast("long").alias("n"), pct.alias("pct"), shown.alias("display")))
-    return agg.select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
+    return agg.select(F.explode(F.array(*structs)).alias("_r")).select("_r.*").orderBy("position")
 
 
 def _duplicates(df: DataFrame) -> DataFrame:
@@ -248,7 +252,7 @@ def issue_report(df: DataFrame, as_of: str | Column | None = None) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.orderBy("position")
 
 
 # The whole profile with shared passes ---------------------------------------
@@ -272,7 +276,8 @@ def profile_reports(df: DataFrame, as_of: str | Column | None = None,
     issues = (_issue_rows(_duplicates(df), [("Duplicate rows", F.col("_dups"))])
               .unionByName(_issue_rows(overview, [(name, F.col(c)) for name, c in _SIMPLE]))
               .unionByName(_issue_rows(iqr, [("Trip distance outliers (IQR)", F.col("_out"))]))
-              .unionByName(_issue_rows(overview, [("Future pickup timestamps", F.col("_future"))])))
+              .unionByName(_issue_rows(overview, [("Future pickup timestamps", F.col("_future"))]))
+              .orderBy("position"))
     return {
         "schema": _schema_rows(overview, df.schema),
         "missing": _missing_rows(overview, df.schema),
