@@ -15,9 +15,13 @@ Plan
    ``count(*)`` per ``(keys, _col, _v)``.  Partial (map-side) aggregation
    collapses repeated values before the shuffle, so a group that holds a
    third of all rows shrinks to its distinct values.
-2. one window per ``(keys, _col)`` ordered by ``_v`` gives the running count
-   and the group total.  The window sees one row per *distinct value*, not
-   per input row, and spills like any sort.
+2. the distinct values are range-partitioned on ``(keys, _col, _v)`` into
+   even slices.  A window per slice gives the running count inside the
+   slice; a small table with one row per (group, slice) gives the count of
+   all earlier slices of the same group and the group total.  No task holds
+   a whole group: a hot group with many distinct values is spread over many
+   slices, and every window sees one row per distinct value, not per input
+   row.
 3. one aggregate per ``keys`` picks, for each requested quantile, the
    smallest value whose running count reaches the target rank.
 
@@ -34,6 +38,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripstar.session import work_dir
+
+
 
 @dataclass(frozen=True)
 class Quantile:
@@ -48,9 +55,14 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_quantiles(df: DataFrame, specs: Sequence[Quantile], by: Sequence[str] = ()) -> DataFrame:
+def exact_quantiles(df: DataFrame, specs: Sequence[Quantile], by: Sequence[str] = (),
+                    slices: int | None = None) -> DataFrame:
     """Return one row per group of ``by`` (one row if empty) with a column
-    per spec.  Groups with no non-null value get NULL."""
+    per spec.  Groups with no non-null value get NULL.
+
+    ``slices`` (default: ``spark.sql.shuffle.partitions``) is the number of
+    value ranges the distinct values are split into; see the module notes.
+    """
     by = list(by)
     # The same source expression measured at several q is sorted only once.
     sources: dict[str, Column] = {}
@@ -62,22 +74,44 @@ def exact_quantiles(df: DataFrame, specs: Sequence[Quantile], by: Sequence[str]
         source_of[spec.name] = f"s{list(sources).index(key)}"
     tags = {key: f"s{i}" for i, key in enumerate(sources)}
 
+    # One struct key for the groups: NULL group values compare equal in it.
+    group = F.struct(*[F.col(b) for b in by]) if by else F.lit(0)
     entries = F.array(*[
         F.struct(F.lit(tags[key]).alias("_col"), expr.cast("double").alias("_v"))
         for key, expr in sources.items()
     ])
-    long = (df.select(*by, F.explode(entries).alias("_e"))
-              .select(*by, "_e._col", "_e._v")
+    long = (df.select(group.alias("_g"), F.explode(entries).alias("_e"))
+              .select("_g", "_e._col", "_e._v")
               .where(F.col("_v").isNotNull()))
-    counts = long.groupBy(*by, "_col", "_v").agg(F.count(F.lit(1)).alias("_c"))
-
-    part = Window.partitionBy(*by, "_col")
-    running = part.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.select(
-        *by, "_col", "_v",
-        F.sum("_c").over(running).alias("_cum"),
-        F.sum("_c").over(part).alias("_n"),
-    )
+    counts = long.groupBy("_g", "_col", "_v").agg(F.count(F.lit(1)).alias("_c"))
+
+    # Running counts without putting a whole group into one task: the
+    # distinct values are range-partitioned into even slices, each slice is
+    # ranked on its own, and a small table (one row per group and slice)
+    # gives the count of every slice's predecessors.
+    n_slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (counts.repartitionByRange(n_slices, "_g", "_col", "_v")
+                    .withColumn("_s", F.spark_partition_id()))
+    # The slice bounds come from a sample, and two executions of the range
+    # shuffle could sample differently; both uses below must see the same
+    # slices, so the sliced distinct values are checkpointed once to the
+    # shared checkpoint folder (this also cuts the lineage).
+    work_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
+    per_slice = ranged.groupBy("_g", "_col", "_s").agg(F.sum("_c").alias("_sc"))
+    grp = Window.partitionBy("_g", "_col")
+    offsets = per_slice.select(
+        "_g", "_col", "_s",
+        F.coalesce(F.sum("_sc").over(grp.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0).cast("long")).alias("_before"),
+        F.sum("_sc").over(grp).alias("_n"))
+    inside = Window.partitionBy("_g", "_col", "_s").orderBy("_v") \
+                   .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # The window leaves the slice rows hash-partitioned on (_g, _col, _s),
+    # the join key, so only the small offsets table moves for this join.
+    ranked = ranged.withColumn("_in", F.sum("_c").over(inside)) \
+        .join(offsets, on=["_g", "_col", "_s"], how="inner") \
+        .withColumn("_cum", F.col("_before") + F.col("_in"))
 
     aggs = []
     for spec in specs:
@@ -99,8 +133,10 @@ def exact_quantiles(df: DataFrame, specs: Sequence[Quantile], by: Sequence[str]
         else:
             raise ValueError(f"unknown quantile method {spec.method!r}")
 
+    out = ranked.groupBy("_g").agg(*aggs)
     if by:
-        return ranked.groupBy(*by).agg(*aggs)
+        return out.select(*[F.col(f"_g.{b}").alias(b) for b in by], *[s.name for s in specs])
+    # a global request always answers with one row, even on empty input
     return ranked.agg(*aggs)
 
 
