@@ -54,3 +54,18 @@ def test_plan_has_no_python_and_groups_by_value(spark):
     plan = exact_quantiles(df, [Quantile("m", "v", 0.5)], by=["g"])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
     assert "Window" in plan
+
+
+def test_hot_group_spread_over_slices(spark):
+    # one group holds almost all rows and thousands of distinct values
+    rng = np.random.default_rng(3)
+    hot = rng.normal(50, 20, 6000).round(3)
+    rows = [("hot", float(v)) for v in hot] + [("a", 1.0), ("a", 3.0), ("b", 2.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    out = {r["g"]: r for r in exact_quantiles(
+        df, [Quantile("p50", "v", 0.5), Quantile("p99", "v", 0.99), Quantile("c25", "v", 0.25, "cont")],
+        by=["g"], slices=16).collect()}
+    assert out["hot"]["p50"] == float(np.quantile(hot, 0.5, method="inverted_cdf"))
+    assert out["hot"]["p99"] == float(np.quantile(hot, 0.99, method="inverted_cdf"))
+    assert math.isclose(out["hot"]["c25"], float(np.quantile(hot, 0.25)), rel_tol=1e-12)
+    assert out["a"]["p50"] == 1.0 and out["b"]["p99"] == 2.0

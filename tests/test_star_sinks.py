@@ -89,3 +89,19 @@ def test_etl_end_to_end(spark, sf_small):
     # fact rows with a key = rows whose hour is in the dimension
     keyed = t["fact_trips"].where(F.col("datetime_key").isNotNull()).count()
     assert keyed + v[("fact_trips", "datetime_key")]["null_count"] == 5998
+
+
+def test_forward_fill_matches_ordered_fill(spark):
+    import pandas as pd
+    from tripstar.operators import extensions
+    rows = []
+    for i in range(300):
+        vendor = 1 if i % 3 else 2
+        rows.append(trip(minute=i, vendor=vendor, fare=float(i), pickup_null=(i % 4 == 0)))
+    df = frame(spark, rows)
+    got = extensions.forward_fill(df, slices=7).toPandas()
+    pdf = df.toPandas().sort_values(["VendorID", "tpep_dropoff_datetime"])
+    pdf["want"] = pdf.groupby("VendorID")["tpep_pickup_datetime"].ffill()
+    merged = got.merge(pdf[["fare_amount", "want"]], on="fare_amount")
+    assert len(merged) == 300
+    assert ((merged["pickup_filled"] == merged["want"]) | (merged["want"].isna() & merged["pickup_filled"].isna())).all()

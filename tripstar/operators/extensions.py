@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tripstar.functions.quantiles import Quantile, exact_quantiles
 from tripstar.plans.joins import lookup_join
+from tripstar.session import work_dir
 
 CATEGORICAL = ("VendorID", "payment_type", "PULocationID", "DOLocationID")
 
@@ -63,6 +64,11 @@ def forward_fill(df: DataFrame, column: str = "tpep_pickup_datetime", by: str =
     ranged = (df.withColumn("_o", okey)
                 .repartitionByRange(slices, F.col(by), F.col("_o"))
                 .withColumn("_s", F.spark_partition_id()))
+    # Slice bounds come from a sample; the per-row fill and the per-slice
+    # table must see the same slices, so the sliced rows are checkpointed
+    # once to the shared checkpoint folder (cutting the lineage as well).
+    work_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
     inside = Window.partitionBy(by, "_s").orderBy("_o").rowsBetween(Window.unboundedPreceding, 0)
     filled = ranged.withColumn("_in", F.last(column, ignorenulls=True).over(inside))
     # last non-NULL value of each slice (NULL if none), then the value
