@@ -95,15 +95,19 @@ def sample_n(df: DataFrame, n: int = SAMPLE_ROWS, seed: int = SAMPLE_SEED,
     """Exactly ``min(n, rows)`` rows, chosen uniformly at random.
 
     A global ``orderBy(rand).limit(n)`` would ship n rows from every
-    partition to one task.  Instead each row draws a random key, rows whose
-    key is below a threshold a little above ``n / rows`` survive a
+    partition to one task.  Instead each row gets a pseudo-random key in
+    [0, 1) from a seeded hash of its values (the same on every run and
+    after any recomputation, unlike ``rand()`` over a shuffled input), rows
+    whose key is below a threshold a little above ``n / rows`` survive a
     distributed filter, and only those ~n survivors are ordered to cut
     exactly n.  The threshold is raised until enough rows survive.
     """
     total = df.count()
     if total <= n:
         return df
-    keyed = df.withColumn("_key", F.rand(seed))
+    span = float(2 ** 53)
+    key = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]), F.lit(2 ** 53)) / F.lit(span)
+    keyed = df.withColumn("_key", key)
     frac = min(1.0, oversample * n / total + 10.0 / total)
     while True:
         picked = keyed.where(F.col("_key") < F.lit(frac))
