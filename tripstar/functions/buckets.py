@@ -57,15 +57,6 @@ def payment_desc(code: Column) -> Column:
     return expr.otherwise(F.lit(PAYMENT_DESC_DEFAULT))
 
 
-def weekday_order(weekday: Column) -> Column:
-    """1..7 for Mon..Sun, 8 for anything else."""
-    expr = None
-    for i, day in enumerate(WEEKDAYS, start=1):
-        cond = weekday == day
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return expr.otherwise(F.lit(len(WEEKDAYS) + 1))
-
-
 def weekday_order_sql(column: str) -> str:
     """The same ordering as a SQL CASE expression."""
     whens = " ".join(f"WHEN '{d}' THEN {i}" for i, d in enumerate(WEEKDAYS, start=1))

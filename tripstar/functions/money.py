@@ -16,37 +16,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+MONEY = "DECIMAL(18,2)"
 
 
-def _c(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def money_sum(c: str | Column) -> Column:
-    """Exact sum of a money column (DECIMAL)."""
-    return F.sum(_c(c).cast(MONEY))
-
-
-def money_mean(c: str | Column) -> Column:
+def money_mean_sql(col: str) -> str:
     """Exact mean of a money column as DECIMAL(38,12); use it for ordering."""
-    return money_sum(c) / F.count(_c(c))
+    return f"SUM(CAST({col} AS {MONEY})) / COUNT({col})"
 
 
-def money_avg(c: str | Column, scale: int = 2) -> Column:
-    """``ROUND(AVG(c), scale)`` computed exactly, returned as DOUBLE."""
-    return F.round(money_mean(c), scale).cast("double")
+def money_avg_sql(col: str, scale: int = 2) -> str:
+    """``ROUND(AVG(col), scale)`` computed exactly, returned as DOUBLE."""
+    return f"CAST(ROUND({money_mean_sql(col)}, {scale}) AS DOUBLE)"
 
 
-def money_total(c: str | Column, scale: int = 2) -> Column:
-    """``ROUND(SUM(c), scale)`` computed exactly, returned as DOUBLE."""
-    return F.round(money_sum(c), scale).cast("double")
+def money_total_sql(col: str, scale: int = 2) -> str:
+    """``ROUND(SUM(col), scale)`` computed exactly, returned as DOUBLE."""
+    return f"CAST(ROUND(SUM(CAST({col} AS {MONEY})), {scale}) AS DOUBLE)"
 
 
-def safe_corr(x: str | Column, y: str | Column) -> Column:
+def safe_corr_sql(x: str, y: str) -> str:
     """Pearson correlation; NULL (not an error) when either side is constant."""
-    x, y = _c(x), _c(y)
-    return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+    return f"COVAR_POP({x}, {y}) / NULLIF(STDDEV_POP({x}) * STDDEV_POP({y}), 0D)"
 
 
 def pct_of(n: Column, total: Column, scale: int = 2) -> Column:

@@ -41,9 +41,6 @@ class EtlResult:
     out_dir: str
     validation: DataFrame
 
-    def table_path(self, name: str) -> str:
-        return f"{self.out_dir}/{name}"
-
 
 def read_warehouse(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
     """The written tables (S2).  Partition columns are discovered from the

@@ -11,7 +11,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -81,12 +80,3 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     base = work_dir(spark)
     leaf = "-".join([*parts, uuid.uuid4().hex[:12]]) if parts else uuid.uuid4().hex
     return f"{base}/tripstar/{leaf}"
-
-
-def local_path(path: str) -> str | None:
-    """Return a local filesystem path for ``file:`` or bare paths, else None."""
-    if path.startswith("file:"):
-        return path[len("file:"):].replace("///", "/", 1) if path.startswith("file:///") else path[5:]
-    if "://" in path:
-        return None
-    return os.path.abspath(path)

@@ -91,10 +91,6 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_TRIPS_FROM_LINEITEM, lineitem=read_table(spark, sf_dir, "lineitem"))
 
 
-def raw_columns(df: DataFrame) -> list[str]:
-    return [c for c in RAW_COLUMNS if c in df.columns]
-
-
 
 def rebalance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread an under-partitioned input over the cluster.
