@@ -30,9 +30,11 @@ from pyspark.sql import functions as F
 from tripstar.operators import clean, star
 from tripstar.plans import joins
 from tripstar.sources.sinks import write_json, write_table
-from tripstar.sources.tables import rebalance
+from tripstar.sources.tables import RAW_COLUMNS, rebalance
 
 TABLES = ("dim_datetime", "dim_payment", "dim_trip_category", "fact_trips")
+STAGED_COLUMNS = (*RAW_COLUMNS, "pickup_ts", "dropoff_ts", "trip_duration_minutes", "distance_bin",
+                  clean.COPIES)
 PARTITIONED = {"dim_datetime": star.PARTITION_COLUMNS, "fact_trips": star.PARTITION_COLUMNS}
 
 
@@ -51,7 +53,11 @@ def read_warehouse(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
 def run_etl(spark: SparkSession, raw: DataFrame, out_dir: str, keys: str = "parity",
             accuracy: int | None = None, validate: bool = True) -> EtlResult:
     staged_path = f"{out_dir}/_staging/trips_prepared"
-    write_table(clean.prepare(rebalance(raw), keep_copies=True), staged_path)
+    prepared = clean.prepare(rebalance(raw), keep_copies=True)
+    # Dedupe compares every raw column; later steps only read the named ones,
+    # so the unnamed raw columns are not staged.
+    keep = [c for c in prepared.columns if c in STAGED_COLUMNS]
+    write_table(prepared.select(*keep), staged_path)
     staged = spark.read.parquet(staged_path)
 
     write_table(star.dim_datetime(staged, keys), f"{out_dir}/dim_datetime",
