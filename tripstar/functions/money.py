@@ -34,6 +34,15 @@ def money_total_sql(col: str, scale: int = 2) -> str:
     return f"CAST(ROUND(SUM(CAST({col} AS {MONEY})), {scale}) AS DOUBLE)"
 
 
+def ratio_mean_sql(expr: str) -> str:
+    """Mean of a non-money DOUBLE expression with an order-independent sum:
+    each value is fixed to 18 decimals and summed exactly, so the result
+    does not depend on how rows are split over tasks (a plain ``AVG`` of
+    doubles can round differently on a different cluster size)."""
+    fixed = f"TRY_CAST({expr} AS DECIMAL(38,18))"
+    return f"SUM({fixed}) / COUNT({fixed})"
+
+
 def safe_corr_sql(x: str, y: str) -> str:
     """Pearson correlation; NULL (not an error) when either side is constant."""
     return f"COVAR_POP({x}, {y}) / NULLIF(STDDEV_POP({x}) * STDDEV_POP({y}), 0D)"
