@@ -35,6 +35,9 @@ def build_session(master: str | None = None, app_name: str = "tripstar",
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config(
         "spark.ui.showConsoleProgress", "false")
+    # checkpoint files of slices no longer referenced are removed by the
+    # context cleaner instead of piling up in the shared folder
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for key, value in PIPELINE_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
