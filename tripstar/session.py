@@ -62,8 +62,9 @@ def work_dir(spark: SparkSession) -> str:
     """Shared folder for staged tables and checkpoints.
 
     On a cluster this is the folder the cluster names in
-    ``spark.checkpoint.dir``.  Only when it is unset (local tests) do we
-    create one of our own.
+    ``spark.checkpoint.dir``; a cluster job without it fails fast rather
+    than write to a machine-local folder.  Only a local session without the
+    setting (tests) gets a temporary folder of its own.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -71,6 +72,9 @@ def work_dir(spark: SparkSession) -> str:
     if not configured:
         configured = sc.getCheckpointDir()
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(staged tables and checkpoints are written there)")
         configured = tempfile.mkdtemp(prefix="tripstar-ckpt-")
         sc.setCheckpointDir(configured)
     elif not sc.getCheckpointDir():
