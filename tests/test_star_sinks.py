@@ -105,3 +105,21 @@ def test_forward_fill_matches_ordered_fill(spark):
     merged = got.merge(pdf[["fare_amount", "want"]], on="fare_amount")
     assert len(merged) == 300
     assert ((merged["pickup_filled"] == merged["want"]) | (merged["want"].isna() & merged["pickup_filled"].isna())).all()
+
+
+def test_unreadable_file_fails_the_landing_check(spark):
+    import os
+    from tripstar.session import local_folder_for_tests
+    folder = local_folder_for_tests(spark, "corrupt")
+    with open(os.path.join(folder, "part-0.parquet"), "wb") as fh:
+        fh.write(b"not a parquet file at all" * 10)
+    checks = {r["check"]: r["severity"] for r in landing.landing_check(spark, folder).collect()}
+    assert checks["exists"] == "pass" and checks["readable"] == "fail"
+
+
+def test_views_for_adhoc_sql(spark, sf_small):
+    from tripstar.plans.etl import register_views
+    from tripstar.plans.warehouse import warehouse
+    register_views(warehouse(spark, sf_small))
+    n = spark.sql("SELECT COUNT(*) FROM fact_trips f JOIN dim_datetime d USING (datetime_key)").first()[0]
+    assert n == spark.sql("SELECT COUNT(*) FROM fact_trips WHERE datetime_key IS NOT NULL").first()[0]

@@ -50,6 +50,12 @@ def read_warehouse(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{out_dir}/{name}") for name in TABLES}
 
 
+def register_views(tables: dict[str, DataFrame]) -> None:
+    """Expose the warehouse tables to ad-hoc SQL as temporary views."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+
+
 def run_etl(spark: SparkSession, raw: DataFrame, out_dir: str, keys: str = "parity",
             accuracy: int | None = None, validate: bool = True) -> EtlResult:
     staged_path = f"{out_dir}/_staging/trips_prepared"

@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -87,3 +88,12 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     base = work_dir(spark)
     leaf = "-".join([*parts, uuid.uuid4().hex[:12]]) if parts else uuid.uuid4().hex
     return f"{base}/tripstar/{leaf}"
+
+
+def local_folder_for_tests(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the work folder, as a local path (local mode
+    only: tests that write files by hand)."""
+    path = scratch_path(spark, name)
+    local = path[len("file:"):] if path.startswith("file:") else path
+    os.makedirs(local, exist_ok=True)
+    return local
