@@ -37,3 +37,17 @@ def test_top_pairs_rank_runs_on_top_rows_only(spark, sf_small):
     t = warehouse(spark, sf_small)
     plan = _plan(analytics.q5_top_location_pairs(t["fact_trips"]))
     assert "TakeOrderedAndProject" in plan
+
+
+def test_no_raw_scan_after_staging(spark, sf_small):
+    from tripstar.operators import clean, star
+    from tripstar.session import scratch_path
+    from tripstar.sources.sinks import write_table
+    from tripstar.sources.tables import raw_trips
+    path = scratch_path(spark, "staged")
+    write_table(clean.prepare(raw_trips(spark, sf_small), keep_copies=True), path)
+    staged = spark.read.parquet(path)
+    fact = star.fact_trips(clean.finish(staged), star.dim_datetime(staged))
+    plan = _plan(fact)
+    assert "lineitem" not in plan
+    assert "staged" in plan
