@@ -123,3 +123,26 @@ def test_views_for_adhoc_sql(spark, sf_small):
     register_views(warehouse(spark, sf_small))
     n = spark.sql("SELECT COUNT(*) FROM fact_trips f JOIN dim_datetime d USING (datetime_key)").first()[0]
     assert n == spark.sql("SELECT COUNT(*) FROM fact_trips WHERE datetime_key IS NOT NULL").first()[0]
+
+
+def test_warehouse_invariants(spark, sf_small):
+    from tripstar.plans import analytics
+    from tripstar.plans.warehouse import warehouse
+    t = warehouse(spark, sf_small)
+    fact = t["fact_trips"]
+    q1 = analytics.q1_hour_weekday_volume_fare(fact, t["dim_datetime"])
+    keyed = fact.where(F.col("datetime_key").isNotNull()).count()
+    assert q1.agg(F.sum("trip_count")).first()[0] == keyed
+    row = fact.agg(
+        F.min("passenger_count_clean").alias("min_pass"),
+        F.count_if(F.col("trip_distance_clean").isNull() | F.col("fare_amount_clean").isNull()
+                   | F.col("tip_amount_clean").isNull() | F.col("trip_duration_minutes").isNull()).alias("nulls"),
+        F.max("trip_distance_clean").alias("max_dist")).first()
+    assert row["min_pass"] >= 1 and row["nulls"] == 0
+    # the cap is the p99 of the raw distance
+    from tripstar.operators import clean
+    from tripstar.sources.tables import raw_trips
+    stats = clean.global_stats(clean.clean_tip(clean.clean_passengers(clean.clean_fare(
+        clean.prepare(raw_trips(spark, sf_small)),
+        clean.fare_bin_medians(clean.prepare(raw_trips(spark, sf_small))))))).first()
+    assert row["max_dist"] <= stats["p99_distance"]
