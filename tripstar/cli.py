@@ -2,7 +2,7 @@
 
     python -m tripstar.cli ingest    --src FILE_OR_DIR --raw-base DIR [--year 2024 --month 1]
     python -m tripstar.cli profile   --raw PATH --out DIR [--as-of TS]
-    python -m tripstar.cli etl       --raw PATH --out DIR [--keys parity|stable]
+    python -m tripstar.cli etl       --raw PATH --out DIR [--keys parity|stable] [--approx-accuracy N]
     python -m tripstar.cli analytics --warehouse DIR --out DIR
 
 Paths default to the environment variables ``TRIPSTAR_RAW_BASE``,
@@ -46,7 +46,8 @@ def _profile(spark, args) -> int:
 def _etl(spark, args) -> int:
     from tripstar.plans.etl import run_etl
     from tripstar.sources.tables import read_raw
-    result = run_etl(spark, read_raw(spark, args.raw), args.out, keys=args.keys)
+    result = run_etl(spark, read_raw(spark, args.raw), args.out, keys=args.keys,
+                     accuracy=args.approx_accuracy)
     result.validation.show(truncate=False)
     return 0
 
@@ -91,11 +92,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     s.add_argument("--raw", default=env("TRIPSTAR_RAW_BASE"))
     s.add_argument("--out", default=env("TRIPSTAR_WAREHOUSE"))
     s.add_argument("--keys", choices=("parity", "stable"), default="parity")
+    s.add_argument("--approx-accuracy", type=int, default=None,
+                   help="use percentile_approx with this accuracy instead of exact quantiles")
     s = sub.add_parser("analytics")
     s.add_argument("--warehouse", default=env("TRIPSTAR_WAREHOUSE"))
     s.add_argument("--out", default=env("TRIPSTAR_OUTPUTS"))
     args = p.parse_args(argv)
-    missing = [k for k, v in vars(args).items() if v is None and k not in ("as_of",)]
+    missing = [k for k, v in vars(args).items() if v is None and k not in ("as_of", "approx_accuracy")]
     if missing:
         p.error(f"missing paths: {', '.join(missing)}")
     own = spark is None
