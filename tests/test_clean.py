@@ -127,3 +127,13 @@ def test_having_filters_before_share_window(spark):
     s = star.build_star(_clean(spark, rows))
     out = analytics.q3_payment_preference_time_location(s.fact_trips, s.dim_datetime, s.dim_payment).collect()
     assert [(r["payment_desc"], r["trip_count"], r["payment_share_pct"]) for r in out] == [("Credit card", 120, 100.0)]
+
+
+def test_approximate_mode_runs_and_is_close(spark, sf_small):
+    from tripstar.sources.tables import raw_trips
+    prepared = clean.prepare(raw_trips(spark, sf_small))
+    df = clean.clean_tip(clean.clean_passengers(clean.clean_fare(prepared, clean.fare_bin_medians(prepared))))
+    exact = clean.global_stats(df).first()
+    approx = clean.global_stats(df, accuracy=10000).first()
+    for k in clean.STAT_COLUMNS:
+        assert abs(exact[k] - approx[k]) <= 0.05 * max(1.0, abs(exact[k])), k
