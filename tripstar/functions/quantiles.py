@@ -21,7 +21,8 @@ Plan
    all earlier slices of the same group and the group total.  No task holds
    a whole group: a hot group with many distinct values is spread over many
    slices, and every window sees one row per distinct value, not per input
-   row.
+   row.  The sliced values are checkpointed once (slice bounds come from a
+   sample), so the per-slice table and the windows see the same slices.
 3. one aggregate per ``keys`` picks, for each requested quantile, the
    smallest value whose running count reaches the target rank.
 
