@@ -2,8 +2,7 @@
 
 Passes over the data
 --------------------
-1. (an under-split input is first spread over the cores), then
-   dedupe (T1) + timestamps, duration, distance bin (T2-T4), written once as
+1. dedupe (T1) + timestamps, duration, distance bin (T2-T4), written once as
    a staged Parquet table under the output folder.  This is the only
    full-width shuffle; every later pass is a pruned scan of the staged rows,
    and the staged table cuts the lineage (a lost executor re-reads files
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 from tripstar.operators import clean, star
 from tripstar.plans import joins
 from tripstar.sources.sinks import write_json, write_table
-from tripstar.sources.tables import RAW_COLUMNS, rebalance
+from tripstar.sources.tables import RAW_COLUMNS
 
 TABLES = ("dim_datetime", "dim_payment", "dim_trip_category", "fact_trips")
 STAGED_COLUMNS = (*RAW_COLUMNS, "pickup_ts", "dropoff_ts", "trip_duration_minutes", "distance_bin",
@@ -59,7 +58,7 @@ def register_views(tables: dict[str, DataFrame]) -> None:
 def run_etl(spark: SparkSession, raw: DataFrame, out_dir: str, keys: str = "parity",
             accuracy: int | None = None, validate: bool = True) -> EtlResult:
     staged_path = f"{out_dir}/_staging/trips_prepared"
-    prepared = clean.prepare(rebalance(raw), keep_copies=True)
+    prepared = clean.prepare(raw, keep_copies=True)
     # Dedupe compares every raw column; later steps only read the named ones,
     # so the unnamed raw columns are not staged.
     keep = [c for c in prepared.columns if c in STAGED_COLUMNS]

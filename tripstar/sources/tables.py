@@ -91,17 +91,3 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_TRIPS_FROM_LINEITEM, lineitem=read_table(spark, sf_dir, "lineitem"))
 
 
-
-def rebalance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread an under-partitioned input over the cluster.
-
-    A few large files that cannot be split (one Parquet row group, gzip
-    text) give fewer scan tasks than cores, and every map-side step (the
-    dedupe's partial aggregate first of all) would then run on those few
-    tasks.  Below ``min_partitions`` (default: the default parallelism) the
-    rows are spread round-robin; a normally split input is left untouched.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
