@@ -8,7 +8,8 @@ stable result.
 
 ``CORR`` raises DIVIDE_BY_ZERO under ANSI mode for a group whose values do
 not vary, even if HAVING would drop that group later, so it is written as
-``covar_pop / nullif(stddev_pop * stddev_pop, 0)``: NULL for such groups.
+``covar_pop / nullif(stddev_pop * stddev_pop, 0)`` behind an exact
+``min = max`` test: NULL for such groups.
 """
 
 from __future__ import annotations
@@ -44,8 +45,14 @@ def ratio_mean_sql(expr: str) -> str:
 
 
 def safe_corr_sql(x: str, y: str) -> str:
-    """Pearson correlation; NULL (not an error) when either side is constant."""
-    return f"COVAR_POP({x}, {y}) / NULLIF(STDDEV_POP({x}) * STDDEV_POP({y}), 0D)"
+    """Pearson correlation; NULL (not an error) when either side is constant.
+
+    Constancy is tested exactly with MIN = MAX: merged partial moments of
+    identical values can leave a tiny non-zero variance (depending on how
+    the rows were split over tasks), which would turn into a meaningless
+    correlation instead of NULL."""
+    return (f"CASE WHEN MIN({x}) = MAX({x}) OR MIN({y}) = MAX({y}) THEN CAST(NULL AS DOUBLE) "
+            f"ELSE COVAR_POP({x}, {y}) / NULLIF(STDDEV_POP({x}) * STDDEV_POP({y}), 0D) END")
 
 
 def pct_of(n: Column, total: Column, scale: int = 2) -> Column:

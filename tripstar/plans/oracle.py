@@ -181,7 +181,10 @@ _Q2 = f"""
 q2 AS (
   SELECT {_sround('f.trip_distance_clean', 1)} AS distance_bin, COUNT(*) AS trip_count,
          {_money_avg('f.fare_amount_clean')} AS avg_fare,
-         {_sround('covar_pop(f.trip_distance_clean, f.fare_amount_clean) / NULLIF(stddev_pop(f.trip_distance_clean) * stddev_pop(f.fare_amount_clean), 0)', 4)} AS distance_fare_corr
+         CASE WHEN min(f.trip_distance_clean) = max(f.trip_distance_clean)
+                OR min(f.fare_amount_clean) = max(f.fare_amount_clean) THEN NULL
+              ELSE {_sround('covar_pop(f.trip_distance_clean, f.fare_amount_clean) / NULLIF(stddev_pop(f.trip_distance_clean) * stddev_pop(f.fare_amount_clean), 0)', 4)}
+         END AS distance_fare_corr
   FROM fact_trips f
   GROUP BY 1
   HAVING COUNT(*) >= 50)"""
