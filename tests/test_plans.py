@@ -51,3 +51,26 @@ def test_no_raw_scan_after_staging(spark, sf_small):
     plan = _plan(fact)
     assert "lineitem" not in plan
     assert "staged" in plan
+
+
+def test_results_do_not_depend_on_task_split(spark):
+    """Floating aggregates (correlation, tip share) must give the same rounded
+    results whatever the partition count."""
+    import os
+    sf = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf):
+        return
+    from tripstar.operators import clean, star
+    from tripstar.sources.tables import raw_trips
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    try:
+        for parts in ("3", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            s = star.build_star(clean.finish(clean.prepare(raw_trips(spark, sf))))
+            q2 = sorted(map(tuple, analytics.q2_distance_fare_correlation(s.fact_trips).collect()))
+            q4 = sorted(map(tuple, analytics.q4_avg_tip_by_segments(s.fact_trips, s.dim_payment).collect()))
+            results.append((q2, q4))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert results[0] == results[1]
