@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripstar.llm import decontaminate, quality, secrets, sharding
+import public_tokenizers
+from tripstar.llm import bpe, decontaminate, quality, secrets, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,13 +29,19 @@ def op7_quality_classifier(spark, sf):
     return quality.score(docs, quality.train(docs, _table(spark, sf, "labels")))
 
 
+def op8_bpe_round_trip(spark, sf):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.digest(bpe.tokenize(_table(spark, sf, "documents"), path))
+
+
 def op10_decontamination(spark, sf):
     return decontaminate.matches(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op3_secret_scan, op5_extendible_sharding, op7_quality_classifier, op10_decontamination)}
+        op3_secret_scan, op5_extendible_sharding, op7_quality_classifier,
+        op8_bpe_round_trip, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
