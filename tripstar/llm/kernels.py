@@ -13,15 +13,15 @@ IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 _rng = np.random.Generator(np.random.PCG64(20240101))
-_TABLE = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_TABLE_LOWER = _TABLE.copy()
-_TABLE_LOWER[65:91] = _TABLE[97:123]
-_BASE = 0x9E3779B97F4A7C15 | 5
-_INVERSE = pow(_BASE, -1, 1 << 64)
+BYTE_TABLE = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BYTE_TABLE_LOWER = BYTE_TABLE.copy()
+BYTE_TABLE_LOWER[65:91] = BYTE_TABLE[97:123]
+BASE = 0x9E3779B97F4A7C15 | 5
+INVERSE = pow(BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
 
 
-def _power(base: int, n: int) -> np.ndarray:
+def power(base: int, n: int) -> np.ndarray:
     have = _powers.get(base)
     if have is None or len(have) < n:
         steps = np.full(max(n, 1 << 16), base, dtype=np.uint64)
@@ -64,8 +64,8 @@ def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
     """A 64-bit hash per word; with ``lower``, A-Z hash as a-z."""
     n = len(buf)
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((_TABLE_LOWER if lower else _TABLE)[buf] * _power(_BASE, n), out=sums[1:])
-    h = (sums[ends] - sums[starts]) * _power(_INVERSE, n)[starts] if n else np.zeros(0, np.uint64)
+    np.cumsum((BYTE_TABLE_LOWER if lower else BYTE_TABLE)[buf] * power(BASE, n), out=sums[1:])
+    h = (sums[ends] - sums[starts]) * power(INVERSE, n)[starts] if n else np.zeros(0, np.uint64)
     return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from tripstar.llm import bpe, decontaminate, quality, secrets, sharding
+from tripstar.llm import bpe, decontaminate, quality, secrets, sharding, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark, sf):
+    return suffix_dedup.dedup(_table(spark, sf, "documents"))
+
+
 def op3_secret_scan(spark, sf):
     return secrets.scan(_table(spark, sf, "documents"))
 
@@ -40,7 +44,7 @@ def op10_decontamination(spark, sf):
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op3_secret_scan, op5_extendible_sharding, op7_quality_classifier,
+        op1_suffix_dedup, op3_secret_scan, op5_extendible_sharding, op7_quality_classifier,
         op8_bpe_round_trip, op10_decontamination)}
 
 
