@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from tripstar.llm import bpe, decontaminate, quality, secrets, sharding, suffix_dedup
+from tripstar.llm import bpe, decontaminate, jaccard, quality, secrets, sharding, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,10 @@ def op8_bpe_round_trip(spark, sf):
     return bpe.digest(bpe.tokenize(_table(spark, sf, "documents"), path))
 
 
+def op9_ngram_jaccard(spark, sf):
+    return jaccard.join(_table(spark, sf, "documents"))
+
+
 def op10_decontamination(spark, sf):
     return decontaminate.matches(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
@@ -45,7 +49,7 @@ def op10_decontamination(spark, sf):
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_suffix_dedup, op3_secret_scan, op5_extendible_sharding, op7_quality_classifier,
-        op8_bpe_round_trip, op10_decontamination)}
+        op8_bpe_round_trip, op9_ngram_jaccard, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
