@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from tripstar.llm import bpe, decontaminate, jaccard, quality, secrets, sharding, suffix_dedup
+from tripstar.llm import bpe, decontaminate, jaccard, perplexity, quality, secrets, sharding, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,10 @@ def op3_secret_scan(spark, sf):
     return secrets.scan(_table(spark, sf, "documents"))
 
 
+def op4_perplexity_rules(spark, sf):
+    return perplexity.judge(_table(spark, sf, "documents"))
+
+
 def op5_extendible_sharding(spark, sf):
     return sharding.assign(_table(spark, sf, "documents"))
 
@@ -48,7 +52,7 @@ def op10_decontamination(spark, sf):
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_suffix_dedup, op3_secret_scan, op5_extendible_sharding, op7_quality_classifier,
+        op1_suffix_dedup, op3_secret_scan, op4_perplexity_rules, op5_extendible_sharding, op7_quality_classifier,
         op8_bpe_round_trip, op9_ngram_jaccard, op10_decontamination)}
 
 
