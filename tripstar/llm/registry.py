@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from tripstar.llm import bpe, decontaminate, jaccard, perplexity, quality, secrets, sharding, suffix_dedup
+from tripstar.llm import bpe, decontaminate, html_text, jaccard, perplexity, quality, secrets, sharding, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def op1_suffix_dedup(spark, sf):
     return suffix_dedup.dedup(_table(spark, sf, "documents"))
 
 
+def op2_html_extraction(spark, sf):
+    return html_text.extract(_table(spark, sf, "pages"))
+
+
 def op3_secret_scan(spark, sf):
     return secrets.scan(_table(spark, sf, "documents"))
 
@@ -52,7 +56,7 @@ def op10_decontamination(spark, sf):
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_suffix_dedup, op3_secret_scan, op4_perplexity_rules, op5_extendible_sharding, op7_quality_classifier,
+        op1_suffix_dedup, op2_html_extraction, op3_secret_scan, op4_perplexity_rules, op5_extendible_sharding, op7_quality_classifier,
         op8_bpe_round_trip, op9_ngram_jaccard, op10_decontamination)}
 
 
