@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from tripstar.llm import bpe, decontaminate, html_text, jaccard, perplexity, quality, secrets, sharding, suffix_dedup
+from tripstar.llm import bpe, decontaminate, html_text, jaccard, language, perplexity, quality, secrets, sharding, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,10 @@ def op5_extendible_sharding(spark, sf):
     return sharding.assign(_table(spark, sf, "documents"))
 
 
+def op6_language_id(spark, sf):
+    return language.identify(_table(spark, sf, "pages"))
+
+
 def op7_quality_classifier(spark, sf):
     docs = _table(spark, sf, "documents")
     return quality.score(docs, quality.train(docs, _table(spark, sf, "labels")))
@@ -56,7 +60,7 @@ def op10_decontamination(spark, sf):
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_suffix_dedup, op2_html_extraction, op3_secret_scan, op4_perplexity_rules, op5_extendible_sharding, op7_quality_classifier,
+        op1_suffix_dedup, op2_html_extraction, op3_secret_scan, op4_perplexity_rules, op5_extendible_sharding, op6_language_id, op7_quality_classifier,
         op8_bpe_round_trip, op9_ngram_jaccard, op10_decontamination)}
 
 
