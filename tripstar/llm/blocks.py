@@ -4,9 +4,11 @@
   (a longer document is a block of its own), so that numpy work inside a task
   has a memory bound that does not depend on the batch size.
 * :func:`stage_parts` writes a table once as compressed blocks, bucketed by
-  the scan task (``part``) that read them.  Later passes read that table and
-  meet small per-part tables in a co-group on ``part``: the staged side is
-  already bucketed, so the texts themselves are never shuffled.
+  ``part``: a stretch of one scan task's rows of at most ``PART_BYTES`` of text
+  (or one longer document).  Later passes read that table and meet small
+  per-part tables in a co-group on ``part``: the staged side is already
+  bucketed, so the texts themselves are never shuffled, and a Python task holds
+  one part whatever the size of the scan split.
 """
 
 from __future__ import annotations
@@ -25,8 +27,10 @@ from pyspark.sql import functions as F
 from tripstar.session import scratch_path
 
 BLOCK_BYTES = 1 << 20
+PART_BYTES = 12 << 20
+PARTS_PER_TASK = 1000
 PART_SCHEMA = ("part int, seq int, ids binary, id_null binary, lens binary, "
-               "text_null binary, payload binary")
+               "text_null binary, payload binary, rest binary")
 
 
 @dataclass
@@ -92,51 +96,88 @@ def n_buckets(spark: SparkSession) -> int:
 
 
 def _pack(batches):
-    part, comp = TaskContext.get().partitionId(), zstandard.ZstdCompressor(level=3)
-    for seq, b in enumerate(iter_blocks(batches)):
-        yield pa.RecordBatch.from_pydict({
-            "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()),
-            "ids": [b.ids.tobytes()], "id_null": [np.packbits(b.id_null).tobytes()],
-            "lens": [b.lens.tobytes()], "text_null": [np.packbits(b.text_null).tobytes()],
-            "payload": [comp.compress(b.data)]},
-            schema=PART_ARROW)
+    part, comp = TaskContext.get().partitionId() * PARTS_PER_TASK, zstandard.ZstdCompressor(level=3)
+    size, last, seq = 0, part + PARTS_PER_TASK - 1, 0
+    for batch in batches:
+        at = 0
+        for b in iter_blocks([batch]):
+            if size and size + len(b.data) > PART_BYTES and part < last:
+                part, size = part + 1, 0
+            size += len(b.data)
+            rest = batch.slice(at, len(b.lens)).select(range(2, batch.num_columns)) if batch.num_columns > 2 else None
+            yield pa.RecordBatch.from_pydict({
+                "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()),
+                "ids": [b.ids.tobytes()], "id_null": [np.packbits(b.id_null).tobytes()],
+                "lens": [b.lens.tobytes()], "text_null": [np.packbits(b.text_null).tobytes()],
+                "payload": [comp.compress(b.data)], "rest": [None if rest is None else comp.compress(_ipc(rest))]},
+                schema=PART_ARROW)
+            at, seq = at + len(b.lens), seq + 1
+
+
+def _ipc(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
 PART_ARROW = pa.schema([("part", pa.int32()), ("seq", pa.int32())] + [
-    (n, pa.binary()) for n in ("ids", "id_null", "lens", "text_null", "payload")])
+    (n, pa.binary()) for n in ("ids", "id_null", "lens", "text_null", "payload", "rest")])
 
 
-def stage_parts(df: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
-    """Write ``(id, text)`` as compressed blocks bucketed by scan task.
+def write_bucketed(df: DataFrame, name: str) -> DataFrame:
+    """Write rows bucketed by ``part`` and read them back.
 
-    The table lies in the shared folder, so it survives lost executors.  Every
-    task writes one file, because all its blocks have one bucket key.  The
+    The table lies in the shared folder, so it survives lost executors.  A task
+    writes one file per part it holds, because a part has one bucket.  The
     catalog entry of the (external) table is dropped once the files are bound
     to the returned DataFrame.
     """
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex[:12]}"
-    (id_text(df, id_col, text_col).mapInArrow(_pack, PART_SCHEMA)
-        .write.bucketBy(n_buckets(spark), "part").format("parquet")
-        .option("path", scratch_path(spark, name)).option("compression", "uncompressed")
-        .saveAsTable(table))
-    staged = spark.table(table)
-    staged.schema  # bound to the files
+    (df.write.bucketBy(n_buckets(spark), "part").format("parquet")
+       .option("path", scratch_path(spark, name)).option("compression", "uncompressed")
+       .saveAsTable(table))
+    out = spark.table(table)
+    out.schema  # bound to the files
     spark.sql(f"DROP TABLE {table}")
-    return staged
+    return out
+
+
+def stage_parts(df: DataFrame, id_col: str, text_col: str, name: str, carry: bool = False) -> DataFrame:
+    """Write ``(id, text)`` as compressed blocks bucketed by ``part``; with
+    ``carry``, the other columns too (see :func:`whole_rows`)."""
+    columns = id_text(df, id_col, text_col)
+    if carry:
+        plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+        spot = df.columns.index(text_col)
+        columns = plain.select(F.col(f"c{df.columns.index(id_col)}").cast("long").alias("_id"),
+                               F.col(f"c{spot}").cast("binary").alias("_text"),
+                               *[F.col(c) for i, c in enumerate(plain.columns) if i != spot])
+    return write_bucketed(columns.mapInArrow(_pack, PART_SCHEMA), name)
+
+
+def whole_rows(block: Block, rest: bytes, text_at: int, keep: np.ndarray) -> pa.Table:
+    """The kept rows of a block with all their columns, in the input's order."""
+    with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(rest)) as stream:
+        table = stream.read_all()
+    text = pa.array([None if null else t.decode("utf-8") for t, null in zip(block.texts(), block.text_null)], pa.string())
+    return table.add_column(text_at, f"c{text_at}", text).filter(pa.array(keep))
 
 
 def unpack(table: pa.Table) -> Iterator[Block]:
     """Blocks of one part in their original order."""
-    d = zstandard.ZstdDecompressor()
-    order = np.argsort(table.column("seq").to_numpy(), kind="stable")
-    for k in order.tolist():
+    for k in block_order(table):
         row = {n: table.column(n)[k].as_py() for n in ("ids", "id_null", "lens", "text_null", "payload")}
         ids = np.frombuffer(row["ids"], np.int64)
         flags = [np.unpackbits(np.frombuffer(row[n], np.uint8), count=len(ids)).astype(bool)
                  for n in ("id_null", "text_null")]
         yield Block(ids, flags[0], np.frombuffer(row["lens"], np.int64), flags[1],
-                    d.decompress(row["payload"], max_output_size=1 << 31) if row["payload"] else b"")
+                    zstandard.ZstdDecompressor().decompress(row["payload"]))
+
+
+def block_order(table: pa.Table) -> list[int]:
+    return np.argsort(table.column("seq").to_numpy(), kind="stable").tolist()
 
 
 def squeeze(a: np.ndarray, level: int = 1) -> bytes:

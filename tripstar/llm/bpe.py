@@ -98,15 +98,17 @@ def _by_bucket(distinct, n: int) -> dict[int, list[str]]:
     return out
 
 
-def _split(table: pa.Table, specials) -> tuple[list, set[str]]:
-    """(block, words of each text) of one part, and its distinct words."""
-    blocks, distinct = [], set()
+def _positions(table: pa.Table, specials) -> tuple[list, dict[str, int]]:
+    """(block, word numbers of each text) of one part, and its distinct words
+    numbered.  Four bytes a word: a part's words are not held as strings."""
+    blocks, number = [], {}
     for block in unpack(table):
-        split = [words(t.decode("utf-8"), specials) for t in block.texts()]
-        for ws in split:
-            distinct.update(ws)
-        blocks.append((block, split))
-    return blocks, distinct
+        at = []
+        for t in block.texts():
+            ws = words(t.decode("utf-8"), specials)
+            at.append(np.fromiter((number.setdefault(w, len(number)) for w in ws), np.int32, len(ws)))
+        blocks.append((block.id_list(), at))
+    return blocks, number
 
 
 _ASK = "part int, bucket int, words binary"
@@ -173,20 +175,21 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
 
     def join(left, right):
         vocabulary = Vocabulary(spec.value)
-        blocks, distinct = _split(left, vocabulary.specials)
-        grouped, ids_of = _by_bucket(distinct, n), {}
+        blocks, number = _positions(left, vocabulary.specials)
+        grouped, ids_of = _by_bucket(number, n), [b""] * len(number)
         for k, b in enumerate(right.column("bucket").to_pylist()):
             ends = np.cumsum(expand(right.column("counts")[k].as_py(), np.uint32), dtype=np.int64) * 4
             ids = expand(right.column("ids")[k].as_py(), np.uint8).tobytes()
             at = 0
-            for w, e in zip(grouped[b], ends.tolist()):
-                ids_of[w] = ids[at:e]
+            for w, e in zip(grouped.pop(b), ends.tolist()):
+                ids_of[number[w]] = ids[at:e]
                 at = e
+        del number, grouped
         doc_ids, out, decoded = [], [], []
-        for block, split in blocks:
-            doc_ids += block.id_list()
-            for ws in split:
-                ids = b"".join(map(ids_of.__getitem__, ws))
+        for block_ids, at in blocks:
+            doc_ids += block_ids
+            for places in at:
+                ids = b"".join(map(ids_of.__getitem__, places.tolist()))
                 out.append(ids)
                 decoded.append(vocabulary.decode(np.frombuffer(ids, "<u4")))
         return pa.Table.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(out, pa.binary()),
