@@ -32,21 +32,22 @@ read.  Shingles are told apart by 64-bit hashes.
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tripstar.llm.blocks import expand, n_buckets, squeeze, stage_parts, unpack
+from tripstar.llm.blocks import (block_order, expand, n_buckets, squeeze, stage_parts, unpack, whole_rows,
+                                 write_bucketed)
 from tripstar.llm.components import components, written
 from tripstar.llm.kernels import distinct_per_doc, shingles, word_hashes, word_spans
 from tripstar.llm.trie import link_groups
-from tripstar.session import scratch_path
 
 N = 3
 THRESHOLD = 90
+NEAR_N, NEAR_THRESHOLD = 5, 80  # near duplicates
 BLOCK_SETS = 10_000
 PIVOTS = 8
 
@@ -133,17 +134,6 @@ def _candidates(part: int, data: _Part, df: np.ndarray, threshold: int):
         yield part, row, doc_id, n, digest, tokens.tobytes(), n - need + 1 - alone
 
 
-def _bucketed(df: DataFrame, name: str) -> DataFrame:
-    """Written bucketed by ``part`` in the shared folder (see stage_parts)."""
-    spark, table = df.sparkSession, f"{name}_{uuid.uuid4().hex[:12]}"
-    (df.write.bucketBy(n_buckets(spark), "part").format("parquet").option("compression", "uncompressed")
-       .option("path", scratch_path(spark, name)).saveAsTable(table))
-    out = spark.table(table)
-    out.schema
-    spark.sql(f"DROP TABLE {table}")
-    return out
-
-
 def _prefixes(sets: DataFrame) -> DataFrame:
     """(digest, row, shingle) for the prefix of every distinct set of a part."""
     def run(batches):
@@ -196,8 +186,44 @@ def _join_tiles(tiles: DataFrame, threshold: int) -> DataFrame:
 def join(docs: DataFrame, n: int = N, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text",
          block_sets: int = BLOCK_SETS) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row."""
-    staged = stage_parts(docs, id_col, text_col, "jaccard_texts")
-    buckets = n_buckets(docs.sparkSession)
+    placed = _placed(stage_parts(docs, id_col, text_col, "jaccard_texts"), n, threshold, block_sets)
+    lowest = placed.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    return placed.join(lowest, "label").select("doc_id", "n_shingles", "component_id")
+
+
+def keep_first(docs: DataFrame, n: int = NEAR_N, threshold: int = NEAR_THRESHOLD, id_col: str = "doc_id",
+               text_col: str = "text", block_sets: int = BLOCK_SETS) -> DataFrame:
+    """One row of each component, all columns kept: the one with the smallest
+    id, and the first of its copies."""
+    staged = stage_parts(docs, id_col, text_col, "jaccard_texts", carry=True)
+    placed = _placed(staged.drop("rest"), n, threshold, block_sets)
+    first = (placed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+                   .select(F.expr("CAST(shiftright(first.row, 32) AS INT)").alias("part"), F.col("first.row").alias("row")))
+    text_at = docs.columns.index(text_col)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    schema = plain.withColumn(f"c{text_at}", F.col(f"c{text_at}").cast("string")).schema
+
+    def keep(key, left, right):
+        wanted = np.sort(right.column("row").to_numpy()) & 0xFFFFFFFF
+        out, at = [], 0
+        for k, block in zip(block_order(left), unpack(left)):
+            n_rows = len(block.lens)
+            lo, hi = np.searchsorted(wanted, [at, at + n_rows])
+            if lo < hi:
+                mark = np.zeros(n_rows, bool)
+                mark[wanted[lo:hi] - at] = True
+                out.append(whole_rows(block, left.column("rest")[k].as_py(), text_at, mark))
+            at += n_rows
+        return pa.concat_tables(out) if out else to_arrow_schema(schema).empty_table()
+
+    kept = staged.groupBy("part").cogroup(first.groupBy("part")).applyInArrow(keep, schema)
+    return kept.toDF(*docs.columns)
+
+
+def _placed(staged: DataFrame, n: int, threshold: int, block_sets: int) -> DataFrame:
+    """(row, doc_id, n_shingles, label) for every row; rows of a component
+    share their label."""
+    buckets = n_buckets(staged.sparkSession)
 
     def ask(key, table):
         return _rows(list(_Part(table, n, buckets).asked(key[0].as_py())), _ASK_ARROW)
@@ -218,7 +244,7 @@ def join(docs: DataFrame, n: int = N, threshold: int = THRESHOLD, id_col: str =
         return _rows(list(_candidates(key[0].as_py(), data, data.frequency(right), threshold)), _SETS_ARROW)
 
     answers = staged.groupBy("part").applyInArrow(ask, _ASK).groupBy("bucket").applyInArrow(count, _DF)
-    rows = _bucketed(staged.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(candidates, _SETS), "jaccard_sets")
+    rows = write_bucketed(staged.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(candidates, _SETS), "jaccard_sets")
 
     # classes: rows with equal sets; a class is named by its smallest row
     member = rows.where("digest IS NOT NULL").select("row", "digest")
@@ -237,10 +263,8 @@ def join(docs: DataFrame, n: int = N, threshold: int = THRESHOLD, id_col: str =
 
     # from classes back to documents
     label = F.coalesce("label", "node", "row").alias("label")
-    placed = (rows.select("row", "doc_id", "n_shingles").join(member, "row", "left")
-                  .join(links, "node", "left").select("doc_id", "n_shingles", label))
-    lowest = placed.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return placed.join(lowest, "label").select("doc_id", "n_shingles", "component_id")
+    return (rows.select("row", "doc_id", "n_shingles").join(member, "row", "left")
+                .join(links, "node", "left").select("row", "doc_id", "n_shingles", label))
 
 
 def _links(rows: DataFrame, blocks: DataFrame, threshold: int, block_sets: int) -> DataFrame:
