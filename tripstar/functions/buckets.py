@@ -57,7 +57,7 @@ def payment_desc(code: Column) -> Column:
     return expr.otherwise(F.lit(PAYMENT_DESC_DEFAULT))
 
 
-def weekday_order_sql(column: str) -> str:
-    """The same ordering as a SQL CASE expression."""
-    whens = " ".join(f"WHEN '{d}' THEN {i}" for i, d in enumerate(WEEKDAYS, start=1))
-    return f"CASE {column} {whens} ELSE {len(WEEKDAYS) + 1} END"
+def weekday_number(day: Column) -> Column:
+    """1 for Monday to 7 for Sunday, 8 for anything else (calendar order)."""
+    place = F.array_position(F.array(*[F.lit(d) for d in WEEKDAYS]), day)
+    return F.when(place > 0, place).otherwise(len(WEEKDAYS) + 1)

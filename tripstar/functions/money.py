@@ -2,14 +2,15 @@
 
 ``ROUND(AVG(double), 2)`` depends on summation order: two engines (or two
 runs with different partitioning) can land on opposite sides of a rounding
-tie.  Money columns hold cents, so summing them as ``DECIMAL`` is exact and
-order-independent; dividing by the count and rounding HALF_UP once gives a
-stable result.
+tie.  Sums of DECIMALs are exact and order-independent, so means and totals
+are summed as ``DECIMAL(28,12)`` and rounded HALF_UP once.  No value is left
+out and none is cut to cents: a group that holds NaN, an infinity or a value
+beyond ``EXACT_LIMIT`` (which a DECIMAL cannot hold) gets what the plain
+``AVG`` / ``SUM`` of its doubles gives, NaN included.
 
 ``CORR`` raises DIVIDE_BY_ZERO under ANSI mode for a group whose values do
-not vary, even if HAVING would drop that group later, so it is written as
-``covar_pop / nullif(stddev_pop * stddev_pop, 0)`` behind an exact
-``min = max`` test: NULL for such groups.
+not vary, so it is ``covar_pop / nullif(stddev_pop * stddev_pop, 0)`` behind an
+exact ``min = max`` test: NULL for such groups.
 """
 
 from __future__ import annotations
@@ -17,42 +18,57 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "DECIMAL(18,2)"
+EXACT = "decimal(28,12)"
+EXACT_LIMIT = 1e15
 
 
-def money_mean_sql(col: str) -> str:
-    """Exact mean of a money column as DECIMAL(38,12); use it for ordering."""
-    return f"SUM(CAST({col} AS {MONEY})) / COUNT({col})"
+def _fits(x: Column) -> Column:
+    """NaN compares greater than every number, so it does not fit."""
+    return (x >= F.lit(-EXACT_LIMIT)) & (x <= F.lit(EXACT_LIMIT))
 
 
-def money_avg_sql(col: str, scale: int = 2) -> str:
-    """``ROUND(AVG(col), scale)`` computed exactly, returned as DOUBLE."""
-    return f"CAST(ROUND({money_mean_sql(col)}, {scale}) AS DOUBLE)"
+def _exact_sum(x: Column) -> Column:
+    return F.sum(F.when(_fits(x), x).cast(EXACT))
 
 
-def money_total_sql(col: str, scale: int = 2) -> str:
-    """``ROUND(SUM(col), scale)`` computed exactly, returned as DOUBLE."""
-    return f"CAST(ROUND(SUM(CAST({col} AS {MONEY})), {scale}) AS DOUBLE)"
+def _all_fit(x: Column) -> Column:
+    return F.count_if(~_fits(x)) == 0
 
 
-def ratio_mean_sql(expr: str) -> str:
-    """Mean of a non-money DOUBLE expression with an order-independent sum:
-    each value is fixed to 18 decimals and summed exactly, so the result
-    does not depend on how rows are split over tasks (a plain ``AVG`` of
-    doubles can round differently on a different cluster size)."""
-    fixed = f"TRY_CAST({expr} AS DECIMAL(38,18))"
-    return f"SUM({fixed}) / COUNT({fixed})"
+def exact_mean_key(x: Column) -> Column:
+    """Exact mean as DECIMAL (12 decimals), NULL where it is not exact: an
+    ordering key beside :func:`exact_mean`."""
+    return F.when(_all_fit(x), _exact_sum(x) / F.count(x))
 
 
-def safe_corr_sql(x: str, y: str) -> str:
+def exact_mean(x: Column, scale: int | None = None) -> Column:
+    """Mean as DOUBLE, rounded HALF_UP to ``scale`` decimals if given."""
+    key, plain = exact_mean_key(x), F.avg(x)
+    if scale is not None:
+        key, plain = F.round(key, scale), F.round(plain, scale)
+    return F.when(_all_fit(x), key.cast("double")).otherwise(plain)
+
+
+def exact_total(x: Column, scale: int = 2) -> Column:
+    """Sum as DOUBLE, rounded HALF_UP."""
+    return F.when(_all_fit(x), F.round(_exact_sum(x), scale).cast("double")).otherwise(F.round(F.sum(x), scale))
+
+
+def exact_mean_pct(x: Column, scale: int = 2) -> Column:
+    """``100 * mean(x)`` as DOUBLE, rounded HALF_UP."""
+    return F.when(_all_fit(x), F.round(exact_mean_key(x) * 100, scale).cast("double")).otherwise(F.round(F.avg(x) * 100, scale))
+
+
+def safe_corr(x: Column, y: Column) -> Column:
     """Pearson correlation; NULL (not an error) when either side is constant.
 
     Constancy is tested exactly with MIN = MAX: merged partial moments of
     identical values can leave a tiny non-zero variance (depending on how
     the rows were split over tasks), which would turn into a meaningless
     correlation instead of NULL."""
-    return (f"CASE WHEN MIN({x}) = MAX({x}) OR MIN({y}) = MAX({y}) THEN CAST(NULL AS DOUBLE) "
-            f"ELSE COVAR_POP({x}, {y}) / NULLIF(STDDEV_POP({x}) * STDDEV_POP({y}), 0D) END")
+    constant = (F.min(x) == F.max(x)) | (F.min(y) == F.max(y))
+    spread = F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+    return F.when(constant, F.lit(None).cast("double")).otherwise(F.covar_pop(x, y) / spread)
 
 
 def pct_of(n: Column, total: Column, scale: int = 2) -> Column:

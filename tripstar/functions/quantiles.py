@@ -42,7 +42,6 @@ from pyspark.sql import functions as F
 from tripstar.session import work_dir
 
 
-
 @dataclass(frozen=True)
 class Quantile:
     """One requested quantile: output ``name`` of ``column`` at ``q``."""
@@ -153,6 +152,8 @@ def approx_quantiles(df: DataFrame, specs: Sequence[Quantile], by: Sequence[str]
 def quantiles(df: DataFrame, specs: Sequence[Quantile], by: Sequence[str] = (),
               accuracy: int | None = None) -> DataFrame:
     """Exact quantiles by default; ``accuracy`` switches to the sketch."""
-    if accuracy:
+    if accuracy is not None:
+        if accuracy < 1:
+            raise ValueError("accuracy must be at least 1 (leave it out for exact quantiles)")
         return approx_quantiles(df, specs, by, accuracy)
     return exact_quantiles(df, specs, by)
