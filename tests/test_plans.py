@@ -1,7 +1,7 @@
 """Physical-plan properties that matter at scale."""
 
-import __spark_entry__ as entry
 from tripstar.plans import analytics
+from tripstar.plans import registry as entry
 from tripstar.plans.warehouse import warehouse
 
 
@@ -25,7 +25,7 @@ def test_star_queries_broadcast_dimensions_and_prune_fact(spark, sf_small):
     t = warehouse(spark, sf_small)
     q1 = _plan(analytics.q1_hour_weekday_volume_fare(t["fact_trips"], t["dim_datetime"]))
     assert "BroadcastHashJoin" in q1 and "SortMergeJoin" not in q1
-    assert "ReadSchema: struct<datetime_key:int,fare_amount_clean:double>" in q1
+    assert "ReadSchema: struct<datetime_key:int,fare_amount_clean:double>" in q1  # the warehouse has parity keys
 
 
 def test_lookup_joins_are_broadcast(spark, sf_small):

@@ -68,3 +68,32 @@ def test_fused_profile_equals_separate_reports(spark, sf_small):
     }
     for name, rep in separate.items():
         assert sorted(map(tuple, fused[name].collect())) == sorted(map(tuple, rep.collect())), name
+
+
+def test_nan_is_missing_in_every_report(spark):
+    nan = float("nan")
+    rows = [trip(minute=i, distance=float(i), passengers=1.0) for i in range(20)]
+    dirty = rows + [trip(minute=30 + i, distance=nan, passengers=nan, fare=nan, tip=nan) for i in range(3)]
+    none = rows + [trip(minute=30 + i, distance=None, passengers=None, fare=None, tip=None) for i in range(3)]
+    a, b = (profile.profile_frame(frame(spark, r)) for r in (dirty, none))
+    for name, report in profile.profile_reports(a, "2024-01-02 00:00:00").items():
+        want = profile.profile_reports(b, "2024-01-02 00:00:00")[name]
+        assert sorted(map(str, report.collect())) == sorted(map(str, want.collect())), name
+
+
+def test_issues_of_absent_columns_are_left_out(spark):
+    df = frame(spark, [trip(minute=1, fare=-1.0)])
+    got = [r["issue"] for r in profile.issue_report(df.drop("tip_amount", "trip_distance")).collect()]
+    assert got == ["Duplicate rows", "Negative fare amount", "Zero passenger count", "Passenger count non-integer",
+                   "Future pickup timestamps"]
+    assert profile.simple_issues(df.select("VendorID")).count() == 0
+    assert "issues" in profile.profile_reports(df.select("VendorID", "fare_amount"))
+
+
+def test_unreadable_timestamps_and_counts(spark):
+    from tripstar.operators import clean
+    df = frame(spark, [trip(minute=1, passengers=float("nan")), trip(minute=2, passengers=1e12), trip(minute=3, passengers=2.5)])
+    df = df.withColumn("tpep_pickup_datetime", F.lit("soon"))
+    out = clean.clean_passengers(clean.add_duration(df)).orderBy("tpep_dropoff_datetime").collect()
+    assert [r["passenger_count_clean"] for r in out] == [1, 1, 3]
+    assert all(r["pickup_ts"] is None and r["trip_duration_minutes"] is None for r in out)

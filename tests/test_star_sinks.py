@@ -1,13 +1,14 @@
-import datetime as dt
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import frame, trip
-from tripstar.operators import clean, star
+from tripstar.operators import clean, extensions, star
+from tripstar.plans import analytics
 from tripstar.plans.etl import read_warehouse, run_etl
 from tripstar.session import scratch_path
 from tripstar.sources import landing
-from tripstar.sources.sinks import write_table
 
 
 def test_payment_labels(spark):
@@ -24,25 +25,53 @@ def _two_months(spark):
     return frame(spark, jan), frame(spark, feb)
 
 
-def test_stable_keys_do_not_collide_across_months(spark):
+def test_parity_keys_are_refused_beside_another_load(spark):
     jan, feb = _two_months(spark)
-    out = scratch_path(spark, "two-months")
-    for month in (jan, feb):
-        c = clean.finish(clean.prepare(month))
-        dim = star.dim_datetime(c, keys="stable")
-        write_table(dim, f"{out}/dim_datetime", star.PARTITION_COLUMNS)
-        write_table(star.fact_trips(c, dim), f"{out}/fact_trips", star.PARTITION_COLUMNS)
-    fact = spark.read.parquet(f"{out}/fact_trips")
-    dim = spark.read.parquet(f"{out}/dim_datetime")
-    assert fact.count() == 6 and dim.count() == 6
-    # the join on the key alone does not fan out
-    assert fact.join(dim, "datetime_key").count() == 6
-    assert sorted(r[0] for r in dim.select("pickup_month").distinct().collect()) == [1, 2]
+    out = scratch_path(spark, "parity")
+    run_etl(spark, jan, out, keys="parity", load_month=202401)
+    run_etl(spark, jan, out, keys="parity", load_month=202401)  # the same load again
+    with pytest.raises(ValueError, match="other loads"):
+        run_etl(spark, feb, out, keys="parity", load_month=202402)
+    assert read_warehouse(spark, out)["fact_trips"].count() == 3
+
+
+@pytest.mark.parametrize("order", [(0, 1), (1, 0), (0, 1, 0), (1, 0, 1)])
+def test_loads_do_not_touch_each_other(spark, order):
+    """Each file has a stray pickup of the other month and a NULL pickup; the
+    session is left at Spark's default overwrite mode."""
+    day = 24 * 60
+    files = [[trip(minute=i * 61, fare=10.0 + i) for i in range(5)]
+             + [trip(minute=31 * day + 61, fare=30.0), trip(minute=7, fare=31.0, pickup_null=True)],
+             [trip(minute=31 * day + i * 61, fare=20.0 + i) for i in range(5)]
+             + [trip(minute=61, fare=40.0), trip(minute=9, fare=41.0, pickup_null=True)]]
+    out = scratch_path(spark, "loads")
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        for k in order:
+            result = run_etl(spark, frame(spark, files[k]), out, load_month=202401 + k)
+            assert {r["severity"] for r in result.load_check.collect()} == {"pass"}
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    t = read_warehouse(spark, out)
+    assert sorted(r["fare_amount_clean"] for r in t["fact_trips"].collect()) == sorted(r[5] for f in files for r in f)
+    q1 = analytics.q1_hour_weekday_volume_fare(t["fact_trips"], t["dim_datetime"])
+    assert q1.agg(F.sum("trip_count")).first()[0] == 12
+    assert t["dim_datetime"].select("datetime_key").distinct().count() == t["dim_datetime"].count()
+
+
+def test_a_load_that_loses_rows_is_reported(spark):
+    jan, _ = _two_months(spark)
+    staged = clean.prepare(jan, keep_copies=True)
+    got = {r["check"]: r["severity"] for r in star.check_load(jan, staged, jan.limit(2), clean.COPIES).collect()}
+    assert sorted(got.values()) == ["fail", "pass"]
+    got = star.check_load(jan.union(jan), staged, jan, clean.COPIES).collect()
+    assert [r["severity"] for r in got] == ["fail", "pass"]
 
 
 def test_parity_keys_number_hours_from_one(spark):
     jan, _ = _two_months(spark)
-    dim = star.dim_datetime(clean.finish(clean.prepare(jan)))
+    dim = star.dim_datetime(clean.finish(clean.prepare(jan)), keys="parity")
     assert sorted(r["datetime_key"] for r in dim.collect()) == [1, 2, 3]
 
 
@@ -56,20 +85,51 @@ def test_dynamic_overwrite_keeps_other_months(spark):
     assert [(r["month"], r["count"]) for r in got] == [(1, 1), (2, 3)]
 
 
+def _severity(report):
+    return {r["check"]: r["severity"] for r in report.collect()}
+
+
 def test_landing_check_and_gate(spark):
     jan, _ = _two_months(spark)
     base = scratch_path(spark, "landing")
     leaf = landing.land_raw(jan, base, 2024, 1)
-    checks = {r["check"]: r["severity"] for r in landing.landing_check(spark, leaf).collect()}
-    assert checks["exists"] == "pass" and checks["readable"] == "pass"
-    missing = {r["check"]: r["severity"] for r in landing.landing_check(spark, base + "/nope").collect()}
-    assert missing["exists"] == "fail"
+    assert leaf.endswith("/year=2024/month=01")
+    assert set(_severity(landing.check_copy(spark, leaf, 3)).values()) == {"pass"}
+    assert _severity(landing.check_copy(spark, leaf, 4))["rows_landed"] == "fail"
+    assert _severity(landing.check_source(spark, base + "/nope")) == {"exists": "fail"}
     gate = {r["check"]: r for r in landing.gate_raw(jan).collect()}
     assert gate["row_count"]["severity"] == "warn" and gate["row_count"]["observed"] == 3
     assert gate["column_count"]["severity"] == "pass"
     assert landing.gate_passed(landing.gate_raw(jan))
 
 
+def _files(folder):
+    return sorted(p for p in Path(folder).rglob("*.parquet"))
+
+
+@pytest.mark.parametrize("damage", ["junk", "pages", "empty"])
+def test_damaged_source_is_not_landed(spark, tmp_path, damage):
+    src, base = tmp_path / "src", tmp_path / "lake"
+    spark.range(200_000).selectExpr("id", "cast(id * 7 as string) AS s").repartition(6).write.parquet(str(src))
+    good = [r["observed"] for r in landing.check_source(spark, str(src)).collect() if r["check"] == "readable"]
+    assert good == [200_000]
+    victim = _files(src)[3]
+    data = bytearray(victim.read_bytes())
+    if damage == "junk":
+        victim.write_bytes(b"not a parquet file at all" * 10)
+    elif damage == "pages":
+        data[4:len(data) // 2] = bytes(len(data) // 2 - 4)
+        victim.write_bytes(bytes(data))
+    else:
+        victim.write_bytes(b"")
+    for crc in src.glob(".*.crc"):
+        crc.unlink()
+    passed, reports = landing.land_checked(spark, str(src), str(base), 2024, 1)
+    assert not passed and not base.exists()
+    bad = {k for k, v in _severity(reports[-1]).items() if v == "fail"}
+    assert bad == ({"empty_files"} if damage == "empty" else {"readable"}) or "empty_files" in bad
+
+
 def test_sample_is_exact_size(spark):
     df = spark.range(5000).withColumn("x", F.col("id") * 2)
     s = landing.sample_n(df, n=700, seed=7)
@@ -77,6 +137,12 @@ def test_sample_is_exact_size(spark):
     assert landing.sample_n(df, n=10_000).count() == 5000
 
 
+def test_sample_draws_copies_one_by_one(spark):
+    df = spark.range(10).selectExpr("id AS x", "explode(sequence(1, 100)) AS _").select("x")
+    got = {r["x"]: r["count"] for r in landing.sample_n(df, n=100).groupBy("x").count().collect()}
+    assert sum(got.values()) == 100 and len(got) == 10 and max(got.values()) < 30
+
+
 def test_etl_end_to_end(spark, sf_small):
     from tripstar.sources.tables import raw_trips
     out = scratch_path(spark, "etl")
@@ -93,7 +159,6 @@ def test_etl_end_to_end(spark, sf_small):
 
 def test_forward_fill_matches_ordered_fill(spark):
     import pandas as pd
-    from tripstar.operators import extensions
     rows = []
     for i in range(300):
         vendor = 1 if i % 3 else 2
@@ -107,14 +172,23 @@ def test_forward_fill_matches_ordered_fill(spark):
     assert ((merged["pickup_filled"] == merged["want"]) | (merged["want"].isna() & merged["pickup_filled"].isna())).all()
 
 
-def test_unreadable_file_fails_the_landing_check(spark):
-    import os
-    from tripstar.session import local_folder_for_tests
-    folder = local_folder_for_tests(spark, "corrupt")
-    with open(os.path.join(folder, "part-0.parquet"), "wb") as fh:
-        fh.write(b"not a parquet file at all" * 10)
-    checks = {r["check"]: r["severity"] for r in landing.landing_check(spark, folder).collect()}
-    assert checks["exists"] == "pass" and checks["readable"] == "fail"
+@pytest.mark.parametrize("slices", [1, 64, 300])
+def test_forward_fill_of_null_vendors(spark, slices):
+    rows = [trip(minute=i, vendor=None if i % 2 else 1, fare=float(i), pickup_null=i % 3 > 0) for i in range(200)]
+    got = {r["fare_amount"]: r["pickup_filled"] for r in
+           extensions.forward_fill(frame(spark, rows), slices=slices).collect()}
+    for start in (0, 1):
+        last = None
+        for i in range(start, 200, 2):
+            last = rows[i][1] or last
+            assert got[float(i)] == last, i
+
+
+def test_mode_ties_go_to_the_smallest_value(spark):
+    rows = [trip(minute=i, vendor=v, payment=p) for i, (v, p) in enumerate(
+        [(10, 3), (9, 3), (10, 1), (9, 1), (None, None), (2, None)])]
+    got = extensions.impute_mode(frame(spark, rows)).where("minute(tpep_pickup_datetime) = 4").first()
+    assert got["VendorID"] == 9 and got["payment_type"] == 1
 
 
 def test_views_for_adhoc_sql(spark, sf_small):
@@ -126,7 +200,6 @@ def test_views_for_adhoc_sql(spark, sf_small):
 
 
 def test_warehouse_invariants(spark, sf_small):
-    from tripstar.plans import analytics
     from tripstar.plans.warehouse import warehouse
     t = warehouse(spark, sf_small)
     fact = t["fact_trips"]

@@ -2,7 +2,7 @@
 
     python -m tripstar.cli ingest    --src FILE_OR_DIR --raw-base DIR [--year 2024 --month 1]
     python -m tripstar.cli profile   --raw PATH --out DIR [--as-of TS]
-    python -m tripstar.cli etl       --raw PATH --out DIR [--keys parity|stable] [--approx-accuracy N]
+    python -m tripstar.cli etl       --raw PATH --out DIR [--year 2024 --month 1] [--keys stable|parity] [--approx-accuracy N]
     python -m tripstar.cli analytics --warehouse DIR --out DIR
 
 Paths default to the environment variables ``TRIPSTAR_RAW_BASE``,
@@ -21,16 +21,10 @@ from tripstar.session import build_session
 
 def _ingest(spark, args) -> int:
     from tripstar.sources import landing
-    from tripstar.sources.tables import read_raw
-    src = read_raw(spark, args.src)
-    gate = landing.gate_raw(src)
-    gate.show(truncate=False)
-    if not landing.gate_passed(gate):
-        return 1
-    leaf = landing.land_raw(src, args.raw_base, args.year, args.month)
-    check = landing.landing_check(spark, leaf)
-    check.show(truncate=False)
-    return 0 if landing.gate_passed(check) else 1
+    passed, reports = landing.land_checked(spark, args.src, args.raw_base, args.year, args.month)
+    for report in reports:
+        report.show(truncate=False)
+    return 0 if passed else 1
 
 
 def _profile(spark, args) -> int:
@@ -39,15 +33,20 @@ def _profile(spark, args) -> int:
     from tripstar.sources.tables import read_raw
     df = profile.profile_frame(read_raw(spark, args.raw))
     for name, rep in profile.profile_reports(df, args.as_of).items():
-        write_csv(rep, f"{args.out}/{name}")
+        write_csv(rep, f"{args.out}/{name}", single_file=True)
     return 0
 
 
 def _etl(spark, args) -> int:
-    from tripstar.plans.etl import run_etl
+    from tripstar.plans.etl import LoadFailed, run_etl
     from tripstar.sources.tables import read_raw
-    result = run_etl(spark, read_raw(spark, args.raw), args.out, keys=args.keys,
-                     accuracy=args.approx_accuracy)
+    try:
+        result = run_etl(spark, read_raw(spark, args.raw), args.out, keys=args.keys,
+                         accuracy=args.approx_accuracy, load_month=args.year * 100 + args.month)
+    except LoadFailed as exc:
+        print(f"load failed: {exc}", file=sys.stderr)
+        return 1
+    result.load_check.show(truncate=False)
     result.validation.show(truncate=False)
     return 0
 
@@ -62,7 +61,7 @@ def _analytics(spark, args) -> int:
     results = {name: df.cache() for name, df in
                analytics.run_queries(t["fact_trips"], t["dim_datetime"], t["dim_payment"]).items()}
     for name, df in results.items():
-        write_csv(df, f"{args.out}/{name}")
+        write_csv(df, f"{args.out}/{name}", single_file=True)
     chart_feeds = {
         "feed_line": feeds.feed_line(results["q1_hour_weekday_volume_fare"]),
         "feed_bar": feeds.feed_bar(results["q5_top_location_pairs"]),
@@ -71,7 +70,7 @@ def _analytics(spark, args) -> int:
         "feed_tip": feeds.feed_tip(results["q4_avg_tip_by_segments"]),
     }
     for name, df in chart_feeds.items():
-        write_csv(df, f"{args.out}/{name}")
+        write_csv(df, f"{args.out}/{name}", single_file=True)
     return 0
 
 
@@ -91,7 +90,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     s = sub.add_parser("etl")
     s.add_argument("--raw", default=env("TRIPSTAR_RAW_BASE"))
     s.add_argument("--out", default=env("TRIPSTAR_WAREHOUSE"))
-    s.add_argument("--keys", choices=("parity", "stable"), default="parity")
+    s.add_argument("--year", type=int, default=2024, help="with --month, the load that is replaced")
+    s.add_argument("--month", type=int, default=1)
+    s.add_argument("--keys", choices=("parity", "stable"), default="stable")
     s.add_argument("--approx-accuracy", type=int, default=None,
                    help="use percentile_approx with this accuracy instead of exact quantiles")
     s = sub.add_parser("analytics")

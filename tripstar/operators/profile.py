@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tripstar.functions.histogram import histogram
 from tripstar.functions.money import pct_of
 from tripstar.functions.quantiles import Quantile, exact_quantiles
+from tripstar.session import staged_table
 
 # Preferred histogram columns, report labels and their decimals.
 KEY_COLUMNS = ("trip_distance", "fare_amount", "passenger_count", "tip_amount",
@@ -30,16 +31,26 @@ ISSUES = (
     ("Future pickup timestamps", 4),
     ("Tip greater than fare", 4),
 )
+ISSUE_SCHEMA = "position int, issue string, n long, pct double, display string"
 SAMPLE_CHARS = 50
 IQR_FACTOR = 1.5
 
 
+def value_of(df: DataFrame, name: str) -> Column:
+    """A numeric column as DOUBLE with NaN as missing, as the reports count it."""
+    x = F.col(name).cast("double")
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(x), x)
+    return x
+
+
 def profile_frame(raw: DataFrame) -> DataFrame:
-    """Timestamps parsed and a fractional duration in minutes."""
+    """Timestamps parsed (NULL where they cannot be read) and a
+    fractional duration in minutes."""
     df = raw
     if "tpep_pickup_datetime" in df.columns and "tpep_dropoff_datetime" in df.columns:
-        pickup = F.unix_micros(F.to_timestamp("tpep_pickup_datetime"))
-        dropoff = F.unix_micros(F.to_timestamp("tpep_dropoff_datetime"))
+        pickup = F.unix_micros(F.col("tpep_pickup_datetime").try_cast("timestamp"))
+        dropoff = F.unix_micros(F.col("tpep_dropoff_datetime").try_cast("timestamp"))
         df = df.withColumn("trip_duration_minutes", (dropoff - pickup) / F.lit(60_000_000.0))
     return df
 
@@ -111,17 +122,17 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def _stats_aggs(cols: Sequence[str]) -> list[Column]:
+def _stats_aggs(df: DataFrame, cols: Sequence[str]) -> list[Column]:
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = value_of(df, c)
         aggs += [F.avg(x).alias(f"_a{i}"), F.stddev_samp(x).alias(f"_s{i}"),
                  F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}")]
     return aggs
 
 
-def _median_specs(cols: Sequence[str]) -> list[Quantile]:
-    return [Quantile(f"_q{i}", c, 0.5, "cont") for i, c in enumerate(cols)]
+def _median_specs(df: DataFrame, cols: Sequence[str]) -> list[Quantile]:
+    return [Quantile(f"_q{i}", value_of(df, c), 0.5, "cont") for i, c in enumerate(cols)]
 
 
 def _stats_rows(agg: DataFrame, cols: Sequence[str], medians: DataFrame, scale: int) -> DataFrame:
@@ -139,7 +150,7 @@ def _stats_rows(agg: DataFrame, cols: Sequence[str], medians: DataFrame, scale:
 def numeric_stats(df: DataFrame, scale: int = 2) -> DataFrame:
     """Mean, median, sample std, min, max per numeric column (rounded)."""
     cols = numeric_columns(df)
-    return _stats_rows(df.agg(*_stats_aggs(cols)), cols, exact_quantiles(df, _median_specs(cols)), scale)
+    return _stats_rows(df.agg(*_stats_aggs(df, cols)), cols, exact_quantiles(df, _median_specs(df, cols)), scale)
 
 
 def histogram_columns(df: DataFrame) -> list[str]:
@@ -150,7 +161,8 @@ def histogram_columns(df: DataFrame) -> list[str]:
 
 def distribution_report(df: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width histograms of the key columns."""
-    return histogram(df, histogram_columns(df), bins)
+    columns = histogram_columns(df)
+    return histogram(df.select(*[value_of(df, c).alias(c) for c in columns]), columns, bins)
 
 
 # P9-P16 data-quality issues -------------------------------------------------
@@ -158,6 +170,8 @@ def _issue_rows(agg: DataFrame, entries: Sequence[tuple[str, Column]]) -> DataFr
     decimals = dict(ISSUES)
     position = {name: i for i, (name, _) in enumerate(ISSUES, start=1)}
     structs = []
+    if not entries:  # no column of these issues is present
+        return agg.sparkSession.createDataFrame([], ISSUE_SCHEMA)
     for name, n in entries:
         pct = pct_of(n, F.col("_rows"), decimals[name])
         shown = F.concat(n.cast("string"), F.lit(" ("),
@@ -188,32 +202,32 @@ def _non_integer(c: Column) -> Column:
     return (c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf"))) | (c != F.rint(c)))
 
 
-def _simple_aggs() -> list[Column]:
-    return [
-        F.count_if(F.col("fare_amount") < 0).alias("_neg_fare"),
-        F.count_if(F.col("passenger_count") == 0).alias("_zero_pass"),
-        F.count_if(_non_integer(F.col("passenger_count"))).alias("_non_int"),
-        F.count_if(F.col("tip_amount") > F.col("fare_amount")).alias("_tip_gt_fare"),
+def _simple(df: DataFrame) -> list[tuple[str, str, Column]]:
+    """(issue, aggregate name, count) for the issues whose columns are present."""
+    rules = [
+        ("Negative fare amount", "_neg_fare", ("fare_amount",), lambda fare: fare < 0),
+        ("Zero passenger count", "_zero_pass", ("passenger_count",), lambda n: n == 0),
+        ("Passenger count non-integer", "_non_int", ("passenger_count",), _non_integer),
+        ("Tip greater than fare", "_tip_gt_fare", ("tip_amount", "fare_amount"), lambda tip, fare: tip > fare),
     ]
-
-
-_SIMPLE = [("Negative fare amount", "_neg_fare"), ("Zero passenger count", "_zero_pass"),
-           ("Passenger count non-integer", "_non_int"), ("Tip greater than fare", "_tip_gt_fare")]
+    return [(issue, name, F.count_if(rule(*[value_of(df, c) for c in needs])).alias(name))
+            for issue, name, needs, rule in rules if set(needs) <= set(df.columns)]
 
 
 def simple_issues(df: DataFrame) -> DataFrame:
-    """P10, P11, P12, P15 in one aggregate."""
-    agg = df.agg(_rows_agg(), *_simple_aggs())
-    return _issue_rows(agg, [(name, F.col(c)) for name, c in _SIMPLE])
+    """P10, P11, P12, P15 in one aggregate, for the columns that are present."""
+    rules = _simple(df)
+    return _issue_rows(df.agg(_rows_agg(), *[n for *_, n in rules]), [(issue, F.col(name)) for issue, name, _ in rules])
 
 
-def _iqr_specs(column: str) -> list[Quantile]:
-    return [Quantile("_iq1", column, 0.25, "cont"), Quantile("_iq3", column, 0.75, "cont")]
+def _iqr_specs(df: DataFrame, column: str) -> list[Quantile]:
+    x = value_of(df, column)
+    return [Quantile("_iq1", x, 0.25, "cont"), Quantile("_iq3", x, 0.75, "cont")]
 
 
 def _iqr_count(df: DataFrame, quartiles: DataFrame, column: str) -> DataFrame:
     q = quartiles.select(F.struct("_iq1", "_iq3").alias("s")).scalar()
-    df = df.select(column).withColumn("_q", q)
+    df = df.select(value_of(df, column).alias(column)).withColumn("_q", q)
     q1, q3 = F.col("_q._iq1"), F.col("_q._iq3")
     iqr = q3 - q1
     x = F.col(column)
@@ -224,7 +238,7 @@ def _iqr_count(df: DataFrame, quartiles: DataFrame, column: str) -> DataFrame:
 
 def iqr_outliers(df: DataFrame, column: str = "trip_distance") -> DataFrame:
     """Values outside [Q1 - 1.5 IQR, Q3 + 1.5 IQR] (interpolated quartiles)."""
-    agg = _iqr_count(df, exact_quantiles(df, _iqr_specs(column)), column)
+    agg = _iqr_count(df, exact_quantiles(df, _iqr_specs(df, column)), column)
     return _issue_rows(agg, [("Trip distance outliers (IQR)", F.col("_out"))])
 
 
@@ -237,7 +251,7 @@ def _as_of(as_of: str | Column | None) -> Column:
 
 
 def _future_agg(as_of: str | Column | None) -> Column:
-    return F.count_if(F.to_timestamp("tpep_pickup_datetime") > _as_of(as_of)).alias("_future")
+    return F.count_if(F.col("tpep_pickup_datetime").try_cast("timestamp") > _as_of(as_of)).alias("_future")
 
 
 def future_pickups(df: DataFrame, as_of: str | Column | None = None) -> DataFrame:
@@ -246,42 +260,52 @@ def future_pickups(df: DataFrame, as_of: str | Column | None = None) -> DataFram
     return _issue_rows(agg, [("Future pickup timestamps", F.col("_future"))])
 
 
-def issue_report(df: DataFrame, as_of: str | Column | None = None) -> DataFrame:
-    """All seven issues in report order."""
-    parts = [duplicate_rows(df), simple_issues(df), iqr_outliers(df), future_pickups(df, as_of)]
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.orderBy("position")
 
 
+def issue_report(df: DataFrame, as_of: str | Column | None = None) -> DataFrame:
+    """The seven issues in report order, each if its columns are present."""
+    return _union(_issue_parts(df, as_of, None))
+
+
+def _issue_parts(df: DataFrame, as_of: str | Column | None, quartiles: DataFrame | None) -> list[DataFrame]:
+    """Three passes: the duplicate groups, the counters, the IQR count (plus
+    the quartiles, unless they are given)."""
+    rules, has_pickup = _simple(df), "tpep_pickup_datetime" in df.columns
+    counters = [n for *_, n in rules] + ([_future_agg(as_of)] if has_pickup else [])
+    entries = [(issue, F.col(name)) for issue, name, _ in rules]
+    if has_pickup:
+        entries.append(("Future pickup timestamps", F.col("_future")))
+    parts = [_issue_rows(_duplicates(df), [("Duplicate rows", F.col("_dups"))]),
+             _issue_rows(df.agg(_rows_agg(), *counters), entries)]
+    if "trip_distance" in df.columns:
+        if quartiles is None:
+            quartiles = exact_quantiles(df, _iqr_specs(df, "trip_distance"))
+        parts.append(_issue_rows(_iqr_count(df, quartiles, "trip_distance"), [("Trip distance outliers (IQR)", F.col("_out"))]))
+    return parts
+
+
 # The whole profile with shared passes ---------------------------------------
 def profile_reports(df: DataFrame, as_of: str | Column | None = None,
                     bins: int = HISTOGRAM_BINS) -> dict[str, DataFrame]:
-    """All reports with five passes over ``df`` instead of one per report:
-
-    1. one aggregate for everything that is a per-column total (samples,
-       NULL counts, mean/std/min/max, issue counters, future pickups);
-    2. one exact-quantile plan for the medians and the IQR quartiles;
-    3. the histogram counts; 4. the duplicate groups; 5. the IQR count.
-
-    The two one-row results of passes 1 and 2 are cached (one row each) and
-    every report is a projection of them.
+    """All reports with passes over ``df`` shared between them: one aggregate
+    for samples, NULL counts and statistics; one exact-quantile plan for the
+    medians and the IQR quartiles (written when this is called); the histogram's
+    ranges and counts; the duplicate groups; the issue counters; the IQR count.
     """
     cols = numeric_columns(df)
-    overview = df.agg(_rows_agg(), *_schema_aggs(df), *_missing_aggs(df), *_stats_aggs(cols),
-                      *_simple_aggs(), _future_agg(as_of)).cache()
-    quant = exact_quantiles(df, [*_median_specs(cols), *_iqr_specs("trip_distance")]).cache()
-    iqr = _iqr_count(df, quant, "trip_distance")
-    issues = (_issue_rows(_duplicates(df), [("Duplicate rows", F.col("_dups"))])
-              .unionByName(_issue_rows(overview, [(name, F.col(c)) for name, c in _SIMPLE]))
-              .unionByName(_issue_rows(iqr, [("Trip distance outliers (IQR)", F.col("_out"))]))
-              .unionByName(_issue_rows(overview, [("Future pickup timestamps", F.col("_future"))]))
-              .orderBy("position"))
+    iqr = _iqr_specs(df, "trip_distance") if "trip_distance" in df.columns else []
+    # one row each, written once: nothing stays cached in executors
+    overview = staged_table(df.agg(_rows_agg(), *_schema_aggs(df), *_missing_aggs(df), *_stats_aggs(df, cols)), "profile")
+    quant = staged_table(exact_quantiles(df, [*_median_specs(df, cols), *iqr]), "profile-quantiles")
     return {
         "schema": _schema_rows(overview, df.schema),
         "missing": _missing_rows(overview, df.schema),
         "statistics": _stats_rows(overview, cols, quant, 2),
         "histograms": distribution_report(df, bins),
-        "issues": issues,
+        "issues": _union(_issue_parts(df, as_of, quant)),
     }

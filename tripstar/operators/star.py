@@ -8,11 +8,11 @@ match as joining on all six columns.
 
 Keys
 ----
-* ``parity`` (default): ``datetime_key`` numbers the hours from 1 in
-  (date, hour) order, as the published tables do.  The numbering restarts on
-  every load, so it is only safe for a single-month warehouse.
-* ``stable``: ``datetime_key = yyyyMMddHH`` as a number; loads of different
-  months never reuse a key.
+* ``stable`` (default): ``datetime_key = yyyyMMddHH`` as a number; loads of
+  different months never reuse a key.
+* ``parity``: ``datetime_key`` numbers the hours from 1 in (date, hour) order,
+  as the published tables do.  The numbering restarts on every load, so it is
+  only for a warehouse that holds one load.
 
 The dimension joins for payment and trip category select nothing from the
 right side and cannot fan out (the dimensions are distinct on the key), so
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from tripstar.functions.buckets import payment_desc, time_of_day, trip_category_desc
 from tripstar.plans.joins import lookup_join
 
+# Published output columns, and the key columns that are checked.
 DIM_DATETIME_COLUMNS = ("datetime_key", "pickup_date", "pickup_year", "pickup_month",
                         "pickup_hour", "pickup_weekday", "time_of_day")
 FACT_COLUMNS = (
@@ -48,7 +49,7 @@ TABLE_KEYS = {
 }
 
 
-def dim_datetime(cleaned: DataFrame, keys: str = "parity") -> DataFrame:
+def dim_datetime(cleaned: DataFrame, keys: str = "stable") -> DataFrame:
     """One row per pickup hour present in the data (NULL pickup dropped)."""
     hours = (cleaned.select(F.date_trunc("hour", "pickup_ts").alias("_h"))
                     .where(F.col("_h").isNotNull())
@@ -103,7 +104,7 @@ class Star:
                 "dim_trip_category": self.dim_trip_category, "fact_trips": self.fact_trips}
 
 
-def build_star(cleaned: DataFrame, keys: str = "parity") -> Star:
+def build_star(cleaned: DataFrame, keys: str = "stable") -> Star:
     dt = dim_datetime(cleaned, keys)
     return Star(dt, dim_payment(cleaned), dim_trip_category(cleaned), fact_trips(cleaned, dt))
 
@@ -137,3 +138,21 @@ def validate_star(tables: dict[str, DataFrame], raw: DataFrame | None = None,
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def check_load(raw: DataFrame, staged: DataFrame, fact: DataFrame, copies: str) -> DataFrame:
+    """Whether a load lost or doubled rows: the raw rows, counted on their own,
+    against the copies the dedupe counted, and the distinct rows against the
+    fact rows that were written.  Rows ``(check, observed, expected, severity)``;
+    a difference is a ``fail``."""
+    def one(df: DataFrame, what) -> DataFrame:
+        return df.agg(F.coalesce(what, F.lit(0)).cast("long").alias("n"))
+
+    counts = {"raw": one(raw, F.count(F.lit(1))), "copies": one(staged, F.sum(copies)),
+              "distinct": one(staged, F.count(F.lit(1))), "fact": one(fact, F.count(F.lit(1)))}
+    row = raw.sparkSession.range(1).select(*[df.scalar().alias(name) for name, df in counts.items()])
+    checks = F.array(*[F.struct(F.lit(name).alias("check"), F.col(a).alias("observed"), F.col(b).alias("expected"),
+                                F.when(F.col(a) == F.col(b), "pass").otherwise("fail").alias("severity"))
+                       for name, a, b in (("raw rows are all counted by the dedupe", "copies", "raw"),
+                                          ("distinct rows are all in the fact", "fact", "distinct"))])
+    return row.select(F.explode(checks).alias("_c")).select("_c.*")

@@ -1,9 +1,19 @@
 """The ETL job: raw trips -> cleaned -> star schema on disk -> validation.
 
+Loads
+-----
+One run is one *load* (``load_month``, for instance 202401).  ``dim_datetime``
+and ``fact_trips`` are partitioned by load month first and by pickup year and
+month below it, and a run replaces its own load month as a whole.  A month's
+file always has a few stray pickups of other months; they stay with the load
+they came in, so no load touches another's rows, in whatever order loads run
+or run again.  An hour that occurs in two loads has one key (``stable`` keys are
+a function of the hour), and :func:`read_warehouse` shows it once.
+
 Passes over the data
 --------------------
 1. dedupe (T1) + timestamps, duration, distance bin (T2-T4), written once as
-   a staged Parquet table under the output folder.  This is the only
+   a staged Parquet table in the shared work folder.  This is the only
    full-width shuffle; every later pass is a pruned scan of the staged rows,
    and the staged table cuts the lineage (a lost executor re-reads files
    instead of recomputing the dedupe).
@@ -11,12 +21,12 @@ Passes over the data
    then read back so the fact join uses exactly the written keys.
 3. bin medians (two narrow columns) -> small lookup, size-checked broadcast.
 4. global statistics (p99 + four medians) -> a one-row scalar subquery.
-5. the fact table, partitioned by pickup year and month; the statistics
-   subquery runs once, inside this job.
+5. the fact table; the statistics subquery runs once, inside this job.
 6. ``dim_payment`` / ``dim_trip_category``: distinct values of one written
-   fact column each.
-7. validation reads the written tables back (row counts, NULL keys); the raw
-   row count is the sum of the copy counts kept by the dedupe.
+   fact column each, over all loads.
+7. validation reads the written tables back (row counts, NULL keys), and
+   :func:`tripstar.operators.star.check_load` ties raw, distinct and fact rows
+   of this load together.
 """
 
 from __future__ import annotations
@@ -27,26 +37,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstar.operators import clean, star
-from tripstar.plans import joins
+from tripstar.session import scratch_path
+from tripstar.sources.files import list_names, remove_tree
 from tripstar.sources.sinks import write_json, write_table
 from tripstar.sources.tables import RAW_COLUMNS
 
 TABLES = ("dim_datetime", "dim_payment", "dim_trip_category", "fact_trips")
 STAGED_COLUMNS = (*RAW_COLUMNS, "pickup_ts", "dropoff_ts", "trip_duration_minutes", "distance_bin",
                   clean.COPIES)
-PARTITIONED = {"dim_datetime": star.PARTITION_COLUMNS, "fact_trips": star.PARTITION_COLUMNS}
+LOAD = "load_month"
+VALIDATION_SCHEMA = "table_name string, row_count long, key_column string, null_count long"
+CHECK_SCHEMA = "check string, observed long, expected long, severity string"
+
+
+class LoadFailed(RuntimeError):
+    """A load that lost or doubled rows."""
 
 
 @dataclass
 class EtlResult:
     out_dir: str
     validation: DataFrame
+    load_check: DataFrame
 
 
 def read_warehouse(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
-    """The written tables (S2).  Partition columns are discovered from the
-    ``pickup_year=/pickup_month=`` folders."""
-    return {name: spark.read.parquet(f"{out_dir}/{name}") for name in TABLES}
+    """The written tables (S2).  Load month and pickup year and month come from
+    the folder names.  All columns of an hour follow from its key, so an hour
+    that several loads have is one row."""
+    tables = {name: spark.read.parquet(f"{out_dir}/{name}") for name in TABLES}
+    if len(loads(spark, out_dir)) > 1:
+        tables["dim_datetime"] = tables["dim_datetime"].drop(LOAD).distinct()
+    else:
+        tables["dim_datetime"] = tables["dim_datetime"].drop(LOAD)
+    return tables
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:
@@ -55,9 +79,26 @@ def register_views(tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def run_etl(spark: SparkSession, raw: DataFrame, out_dir: str, keys: str = "parity",
-            accuracy: int | None = None, validate: bool = True) -> EtlResult:
-    staged_path = f"{out_dir}/_staging/trips_prepared"
+def loads(spark: SparkSession, out_dir: str) -> list[int]:
+    """Load months that the fact table holds."""
+    prefix = f"{LOAD}="
+    return sorted(int(n[len(prefix):]) for n in list_names(spark, f"{out_dir}/fact_trips") if n.startswith(prefix))
+
+
+def run_etl(spark: SparkSession, raw: DataFrame, out_dir: str, keys: str = "stable",
+            accuracy: int | None = None, validate: bool = True, load_month: int = 0) -> EtlResult:
+    """Load ``raw`` as ``load_month`` (0: a warehouse of one unnamed load)."""
+    if keys == "parity" and set(loads(spark, out_dir)) - {load_month}:
+        raise ValueError(f"{out_dir} holds other loads: parity keys start at 1 in each load and would "
+                         "mix their hours; use stable keys")
+    staged_path = scratch_path(spark, "trips-prepared")
+    try:
+        return _run(spark, raw, out_dir, keys, accuracy, validate, load_month, staged_path)
+    finally:
+        remove_tree(spark, staged_path)
+
+
+def _run(spark, raw, out_dir, keys, accuracy, validate, load_month, staged_path) -> EtlResult:
     prepared = clean.prepare(raw, keep_copies=True)
     # Dedupe compares every raw column; later steps only read the named ones,
     # so the unnamed raw columns are not staged.
@@ -65,14 +106,14 @@ def run_etl(spark: SparkSession, raw: DataFrame, out_dir: str, keys: str = "pari
     write_table(prepared.select(*keep), staged_path)
     staged = spark.read.parquet(staged_path)
 
-    write_table(star.dim_datetime(staged, keys), f"{out_dir}/dim_datetime",
-                PARTITIONED["dim_datetime"])
-    dim_dt = spark.read.parquet(f"{out_dir}/dim_datetime")
+    def load_path(table: str) -> str:
+        return f"{out_dir}/{table}/{LOAD}={int(load_month)}"
+
+    write_table(star.dim_datetime(staged, keys), load_path("dim_datetime"), star.PARTITION_COLUMNS, overwrite="static")
+    dim_dt = spark.read.parquet(load_path("dim_datetime"))
 
     cleaned = clean.finish(staged, accuracy)
-    write_table(star.fact_trips(cleaned, dim_dt), f"{out_dir}/fact_trips",
-                PARTITIONED["fact_trips"])
-    joins.release_lookups()
+    write_table(star.fact_trips(cleaned, dim_dt), load_path("fact_trips"), star.PARTITION_COLUMNS, overwrite="static")
     # The two small dimensions are distinct sets of fact columns: read them
     # from the written fact (one pruned column each) instead of recomputing
     # the cleaning statistics.
@@ -80,12 +121,14 @@ def run_etl(spark: SparkSession, raw: DataFrame, out_dir: str, keys: str = "pari
     write_table(star.dim_payment(fact), f"{out_dir}/dim_payment")
     write_table(star.dim_trip_category(fact), f"{out_dir}/dim_trip_category")
 
-    tables = read_warehouse(spark, out_dir)
-    raw_rows = staged.agg(F.sum(clean.COPIES).alias("n"))
-    validation = star.validate_star(tables, raw_rows=raw_rows)
+    # Everything below is written too, so nothing reads the staged rows later.
+    check_path, validation_path = f"{out_dir}/_load_check/{LOAD}={int(load_month)}", f"{out_dir}/_validation"
+    write_json(star.check_load(raw, staged, spark.read.parquet(load_path("fact_trips")), clean.COPIES), check_path)
+    check = spark.read.schema(CHECK_SCHEMA).json(check_path)
+    failed = [r.asDict() for r in check.where("severity = 'fail'").collect()]
+    if failed:
+        raise LoadFailed(f"load {load_month}: {failed}")
     if validate:
-        write_json(validation, f"{out_dir}/_validation")
-        validation = spark.read.json(f"{out_dir}/_validation",
-                                     schema="table_name string, row_count long, "
-                                            "key_column string, null_count long")
-    return EtlResult(out_dir, validation)
+        raw_rows = staged.agg(F.sum(clean.COPIES).alias("n"))
+        write_json(star.validate_star(read_warehouse(spark, out_dir), raw_rows=raw_rows), validation_path)
+    return EtlResult(out_dir, spark.read.schema(VALIDATION_SCHEMA).json(validation_path) if validate else check, check)

@@ -11,15 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-# Lookup frames persisted by ``lookup_join``; a job releases them when done.
-_PERSISTED: list[DataFrame] = []
+from tripstar.session import staged_table
 
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 _WIDTH = {"ByteType": 1, "BooleanType": 1, "ShortType": 2, "IntegerType": 4, "FloatType": 4,
           "DateType": 4, "LongType": 8, "DoubleType": 8, "TimestampType": 8,
@@ -45,17 +42,12 @@ def fits_broadcast(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "left",
-                max_bytes: int = DEFAULT_BROADCAST_BYTES, persist: bool = True) -> DataFrame:
-    """Join ``big`` to a lookup frame, broadcasting it only if it fits."""
-    if persist:
-        small = small.persist(StorageLevel.MEMORY_AND_DISK)
-        _PERSISTED.append(small)
-    if fits_broadcast(small, max_bytes):
-        return big.join(F.broadcast(small), on=list(on) if not isinstance(on, str) else on, how=how)
-    return big.join(small, on=list(on) if not isinstance(on, str) else on, how=how)
-
-
-def release_lookups() -> None:
-    """Unpersist every lookup frame cached by :func:`lookup_join`."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
+                max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Join ``big`` to a lookup frame, broadcasting it only if it fits.
+
+    The lookup is written once in the shared folder when the join is built, and
+    counted there: the check and the join read the same rows, and nothing stays
+    persisted in executors."""
+    small = staged_table(small, "lookup")
+    keys = [on] if isinstance(on, str) else list(on)
+    return big.join(F.broadcast(small) if fits_broadcast(small, max_bytes) else small, on=keys, how=how)

@@ -18,9 +18,6 @@ Engine differences bridged here:
 
 from __future__ import annotations
 
-from tripstar.functions.buckets import (DISTANCE_BUCKETS, PAYMENT_DESC, TIME_OF_DAY,
-                                        TRIP_CATEGORY_DESC, weekday_order_sql)
-
 RAW = ("VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance, "
        "fare_amount, tip_amount, payment_type, PULocationID, DOLocationID")
 
@@ -56,16 +53,19 @@ def _pct(n: str, total: str, digits: int) -> str:
     return f"(CAST({_half_up(f'({n}) * {k}', total)} AS DOUBLE) / {10 ** digits})"
 
 
-def _case(expr: str, pairs, default: str) -> str:
-    whens = " ".join(f"WHEN {expr} = {v!r} THEN '{label}'" if isinstance(v, str)
-                     else f"WHEN {expr} = {v} THEN '{label}'" for v, label in pairs)
-    return f"CASE {whens} ELSE '{default}' END"
-
-
-_TIME_OF_DAY = ("CASE " + " ".join(f"WHEN pickup_hour >= {lo} AND pickup_hour < {hi} THEN '{n}'"
-                                   for n, lo, hi in TIME_OF_DAY) + " ELSE 'night' END")
-_BUCKET = ("CASE " + " ".join(f"WHEN trip_distance_clean < {u} THEN '{n}'"
-                              for n, u in DISTANCE_BUCKETS) + " ELSE 'long' END")
+# Fixed values, written out here a second time on purpose: a wrong bound or
+# label in the production tables must not be wrong on this side too.
+_TIME_OF_DAY = ("CASE WHEN pickup_hour >= 5 AND pickup_hour < 12 THEN 'morning' "
+                "WHEN pickup_hour >= 12 AND pickup_hour < 17 THEN 'afternoon' "
+                "WHEN pickup_hour >= 17 AND pickup_hour < 22 THEN 'evening' ELSE 'night' END")
+_BUCKET = ("CASE WHEN trip_distance_clean < 2 THEN 'short' WHEN trip_distance_clean < 7 THEN 'medium' "
+           "ELSE 'long' END")
+_PAYMENT = ("CASE payment_type WHEN 1 THEN 'Credit card' WHEN 2 THEN 'Cash' WHEN 3 THEN 'No charge' "
+            "WHEN 4 THEN 'Dispute' WHEN 5 THEN 'Unknown' WHEN 6 THEN 'Voided' ELSE 'Other' END")
+_CATEGORY = ("CASE distance_bucket WHEN 'short' THEN '< 2 miles' WHEN 'medium' THEN '2 to < 7 miles' "
+             "ELSE '>= 7 miles' END")
+_WEEKDAY = ("CASE pickup_weekday WHEN 'Mon' THEN 1 WHEN 'Tue' THEN 2 WHEN 'Wed' THEN 3 WHEN 'Thu' THEN 4 "
+            "WHEN 'Fri' THEN 5 WHEN 'Sat' THEN 6 WHEN 'Sun' THEN 7 ELSE 8 END")
 
 _TS = "TIMESTAMP '2024-01-01 00:00:00'"
 
@@ -158,10 +158,10 @@ dim_datetime AS (
   FROM (SELECT DISTINCT pickup_date, pickup_year, pickup_month, pickup_hour, pickup_weekday, time_of_day
         FROM clean WHERE pickup_date IS NOT NULL)),
 dim_payment AS (
-  SELECT payment_type, {_case('payment_type', PAYMENT_DESC, 'Other')} AS payment_desc
+  SELECT payment_type, {_PAYMENT} AS payment_desc
   FROM (SELECT DISTINCT payment_type FROM clean)),
 dim_trip_category AS (
-  SELECT distance_bucket, {_case('distance_bucket', TRIP_CATEGORY_DESC, '>= 7 miles')} AS trip_category_desc
+  SELECT distance_bucket, {_CATEGORY} AS trip_category_desc
   FROM (SELECT DISTINCT distance_bucket FROM clean)),
 fact_trips AS (
   SELECT d.datetime_key, c.payment_type, c.distance_bucket, c.VendorID, c.PULocationID, c.DOLocationID,
@@ -310,14 +310,38 @@ def _missing_sql() -> str:
     return f"WITH {_PROFILE}\n" + " UNION ALL ".join(rows)
 
 
-def _stats_sql() -> str:
+def _stats_sql(source: str = _PROFILE) -> str:
     rows = []
     for i, c in enumerate(_NUMERIC, start=1):
         x = f"CAST({c} AS DOUBLE)"
         rows.append(f"SELECT {i} AS position, '{c}' AS column_name, {_sround(f'avg({x})', 2)} AS mean, "
                     f"{_sround(f'quantile_cont({x}, 0.5)', 2)} AS median, {_sround(f'stddev_samp({x})', 2)} AS std, "
                     f"{_sround(f'min({x})', 2)} AS min, {_sround(f'max({x})', 2)} AS max FROM profile")
-    return f"WITH {_PROFILE}\n" + " UNION ALL ".join(rows)
+    return f"WITH {source}\n" + " UNION ALL ".join(rows)
+
+
+# Dirty rows: NaN is missing in every report, an unreadable time is no time.
+_DIRTY = RAW_TRIPS.replace("raw_trips AS (", "clean_raw AS (", 1) + """,
+raw_trips AS (
+  SELECT VendorID, CASE WHEN passenger_count = 1.5 THEN NULL ELSE tpep_pickup_datetime END AS tpep_pickup_datetime,
+         tpep_dropoff_datetime, CASE WHEN passenger_count = 2.5 THEN NULL ELSE passenger_count END AS passenger_count,
+         CASE WHEN trip_distance = 500 THEN NULL ELSE trip_distance END AS trip_distance, fare_amount,
+         CASE WHEN tip_amount = 0 THEN NULL ELSE tip_amount END AS tip_amount, payment_type, PULocationID, DOLocationID
+  FROM clean_raw)"""
+_DIRTY_PROFILE = (_DIRTY + ",\nprofile AS (SELECT *, (epoch_us(tpep_dropoff_datetime) - epoch_us(tpep_pickup_datetime))"
+                  " / 60000000.0 AS trip_duration_minutes FROM raw_trips)")
+_TWO_LOADS = f"""
+, files AS (
+  SELECT DISTINCT CAST(CASE WHEN PULocationID <= 2 THEN 202401 ELSE 202402 END AS INTEGER) AS load_month,
+         {RAW.replace("tpep_pickup_datetime", "tpep_pickup_datetime + to_days(CASE WHEN PULocationID <= 2 THEN 0 ELSE 20 END) AS pickup")
+             .replace("tpep_dropoff_datetime", "tpep_dropoff_datetime + to_days(CASE WHEN PULocationID <= 2 THEN 0 ELSE 20 END) AS dropoff")}
+  FROM raw_trips),
+trips AS (
+  SELECT load_month, CAST(year(pickup) AS INTEGER) AS pickup_year, CAST(month(pickup) AS INTEGER) AS pickup_month,
+         COUNT(*) AS trips, CAST(COUNT(pickup) AS BIGINT) AS keyed_trips,
+         CAST(SUM(greatest(1, CAST({_sround('passenger_count', 0)} AS INTEGER))) AS BIGINT) AS passengers
+  FROM files GROUP BY 1, 2, 3)
+SELECT l.loads, t.* FROM trips t, (VALUES ('reload'), ('reverse')) l(loads)""".replace("\n, files", ", files", 1)
 
 
 _DQ_SIMPLE = [
@@ -389,6 +413,15 @@ def oracle_sql() -> dict[str, str]:
             "CASE WHEN COUNT(*) >= 500000 THEN 'pass' ELSE 'warn' END AS severity, 'rows in the raw data' AS detail "
             "FROM raw_trips UNION ALL "
             f"SELECT 'column_count', CAST(10 AS BIGINT), CAST(8 AS BIGINT), 'pass', '{dtypes}'"),
+        "landing_check": ("SELECT * FROM (VALUES ('exists', CAST(1 AS BIGINT), 'pass'), ('empty_files', 0, 'pass'), "
+                          "('non_parquet_files', 0, 'pass'), ('readable', 1, 'pass')) t(\"check\", threshold, severity) "
+                          "UNION ALL " + "SELECT * FROM (" + _raw_with("SELECT 'rows_landed', COUNT(*), 'pass' FROM raw_trips") + ")"),
+        # a sample of 10,000 rows: all of it comes from the raw rows
+        "sample_n": _raw_with("SELECT CAST(least(10000, COUNT(*)) AS BIGINT) AS sampled_rows, "
+                              "CAST(0 AS BIGINT) AS rows_not_in_source FROM raw_trips"),
+        "two_loads": _raw_with(_TWO_LOADS),
+        "profile_dirty": _stats_sql(_DIRTY_PROFILE),
+        "dq_dirty": f"WITH {_DIRTY}\n" + " UNION ALL ".join([_DQ_DUP, _DQ_SIMPLE_SQL, _DQ_IQR, _DQ_FUTURE]),
         # profile
         "profile_duration": f"WITH {_PROFILE}\nSELECT * FROM profile",
         "schema_report": _schema_sql(),
@@ -436,7 +469,7 @@ def oracle_sql() -> dict[str, str]:
         "dynamic_overwrite": _with(f"SELECT {FACT_OUTPUT} FROM fact_trips"),
         # business queries
         "q1_hour_weekday_volume_fare": _with(
-            f"SELECT * FROM q1 ORDER BY {weekday_order_sql('pickup_weekday')}, pickup_hour", queries=True),
+            f"SELECT * FROM q1 ORDER BY {_WEEKDAY}, pickup_hour", queries=True),
         "q2_distance_fare_correlation": _with("SELECT * FROM q2 ORDER BY distance_bin", queries=True),
         "q3_payment_preference_time_location": _with("SELECT * FROM q3", queries=True),
         "q4_avg_tip_by_segments": _with("SELECT * FROM q4", queries=True),

@@ -3,8 +3,10 @@
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame computed from
 the given tables (or from tables Spark derived from them), over all rows.
 
-* source, profile and cleaning entries are lazy plans over the raw trips;
-* star-schema entries build the tables lazily (no writes);
+* source and profile entries are plans over the raw trips;
+* cleaning, star and extension entries read the deduplicated rows, staged
+  once per application and data folder; exact quantiles write their sliced
+  values when the plan is built, so building these plans runs jobs;
 * analytics entries and feeds read the warehouse written by the ETL job,
   as the analytics step does in production;
 * sink entries write to a fresh folder under the shared work folder and
@@ -20,7 +22,8 @@ from pyspark.sql import functions as F
 
 from tripstar.operators import clean, extensions, profile, star
 from tripstar.plans import analytics, feeds
-from tripstar.plans.warehouse import validation, warehouse
+from tripstar.plans.etl import LOAD, read_warehouse, run_etl
+from tripstar.plans.warehouse import prepared, validation, warehouse
 from tripstar.session import apply_pipeline_conf, scratch_path
 from tripstar.sources import landing
 from tripstar.sources.sinks import write_csv, write_table
@@ -40,7 +43,12 @@ def _raw(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _prepared(spark, sf):
-    return clean.prepare(_raw(spark, sf))
+    return prepared(spark, sf)
+
+
+def _distinct(spark, sf):
+    """T1 of the raw columns."""
+    return _prepared(spark, sf).select(*RAW)
 
 
 def _after_tip(spark, sf):
@@ -54,7 +62,7 @@ def _cleaned(spark, sf):
 
 
 def _star(spark, sf) -> star.Star:
-    return star.build_star(_cleaned(spark, sf))
+    return star.build_star(_cleaned(spark, sf), keys="parity")
 
 
 def _wh(spark, sf):
@@ -92,9 +100,75 @@ def _land_raw(spark, sf):
 
 
 def _landing_check(spark, sf):
-    base = scratch_path(spark, "landing")
-    leaf = landing.land_raw(_raw(spark, sf), base, 2024, 1)
-    return landing.landing_check(spark, leaf)
+    """The checks of a landed month; observed sizes depend on the file system."""
+    base, raw = scratch_path(spark, "landing"), _raw(spark, sf)
+    leaf = landing.land_raw(raw, base, 2024, 1)
+    return landing.check_copy(spark, leaf, raw.count()).select("check", "threshold", "severity")
+
+
+SAMPLED = 10_000
+
+
+def _sample(spark, sf):
+    """What can be said of any sample: its size, and that it holds no row more
+    often than the raw data do."""
+    raw = _raw(spark, sf)
+    picked = landing.sample_n(raw, SAMPLED).groupBy(*RAW).agg(F.count(F.lit(1)).alias("picked"))
+    there = raw.groupBy(*RAW).agg(F.count(F.lit(1)).alias("there"))
+    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"r.{c}")) for c in RAW]
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    joined = picked.alias("p").join(there.alias("r"), on, "left")
+    return joined.agg(F.sum("picked").alias("sampled_rows"),
+                      F.count_if(F.coalesce("there", F.lit(0)) < F.col("picked")).alias("rows_not_in_source"))
+
+
+# Two loads derived from the raw trips: the trips from pick-up location 1 and 2
+# are January's file, the others are moved 20 days on and are February's, so
+# February's file has strays of January and both have NULL pickups.
+FIRST_LOAD, SECOND_LOAD, SHIFT_DAYS = 202401, 202402, 20
+
+
+def two_load_frames(spark: SparkSession, sf: str) -> dict[int, DataFrame]:
+    raw = _raw(spark, sf)
+    moved = {c: F.expr(f"timestampadd(DAY, {SHIFT_DAYS}, {c})") for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")}
+    first = F.col("PULocationID") <= 2
+    return {FIRST_LOAD: raw.where(first), SECOND_LOAD: raw.where(~first).withColumns(moved)}
+
+
+def _two_loads(spark, sf):
+    """The warehouse after January, February, January again; and after February,
+    January: trips by load and pickup month, with and without an hour key."""
+    frames, out = two_load_frames(spark, sf), []
+    for name, order in (("reload", (FIRST_LOAD, SECOND_LOAD, FIRST_LOAD)), ("reverse", (SECOND_LOAD, FIRST_LOAD))):
+        path = scratch_path(spark, "two-loads")
+        for load in order:
+            run_etl(spark, frames[load], path, load_month=load)
+        t = read_warehouse(spark, path)
+        hours = t["dim_datetime"].groupBy("datetime_key").agg(F.count(F.lit(1)).alias("hour_rows"))
+        fact = t["fact_trips"].join(hours, "datetime_key", "left")
+        out.append(fact.groupBy(F.lit(name).alias("loads"), F.col(LOAD).alias("load_month"), "pickup_year", "pickup_month")
+                       .agg(F.count(F.lit(1)).alias("trips"), F.coalesce(F.sum("hour_rows"), F.lit(0)).alias("keyed_trips"),
+                            F.sum("passenger_count_clean").alias("passengers")))
+    return out[0].unionByName(out[1])
+
+
+def dirty_trips(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw trips with NaN numbers and timestamps that cannot be read."""
+    raw = _raw(spark, sf)
+    nan = F.lit(float("nan"))
+    return raw.withColumns({
+        "passenger_count": F.when(F.col("passenger_count") == 2.5, nan).otherwise(F.col("passenger_count")),
+        "trip_distance": F.when(F.col("trip_distance") == 500, nan).otherwise(F.col("trip_distance")),
+        "tip_amount": F.when(F.col("tip_amount") == 0, nan).otherwise(F.col("tip_amount")),
+        "tpep_pickup_datetime": F.when(F.col("passenger_count") == 1.5, F.lit("not a time"))
+                                 .otherwise(F.date_format("tpep_pickup_datetime", "yyyy-MM-dd HH:mm:ss")),
+    })
+
+
+def _dirty_profile(spark, sf):
+    return profile.profile_frame(dirty_trips(spark, sf))
 
 
 def _dynamic_overwrite(spark, sf):
@@ -131,7 +205,7 @@ def queries() -> dict[str, Query]:
         "land_raw": _land_raw,
         "landing_check": _landing_check,
         "gate_raw": lambda s, sf: landing.gate_raw(_raw(s, sf)),
-        "sample_n": lambda s, sf: landing.sample_n(_raw(s, sf)),
+        "sample_n": _sample,
         # profile
         "profile_duration": _profile,
         "schema_report": lambda s, sf: profile.schema_report(_profile(s, sf)),
@@ -143,35 +217,39 @@ def queries() -> dict[str, Query]:
         "dq_iqr": lambda s, sf: profile.iqr_outliers(_raw(s, sf)),
         "dq_future": lambda s, sf: profile.future_pickups(_raw(s, sf), FUTURE_AS_OF),
         "dq_report": lambda s, sf: profile.issue_report(_raw(s, sf), FUTURE_AS_OF),
+        "profile_dirty": lambda s, sf: profile.numeric_stats(_dirty_profile(s, sf)),
+        "dq_dirty": lambda s, sf: profile.issue_report(dirty_trips(s, sf), FUTURE_AS_OF),
         # cleaning, one entry per step
-        "clean_dedupe": lambda s, sf: clean.drop_exact_duplicates(_raw(s, sf)),
-        "clean_duration": lambda s, sf: clean.add_duration(clean.drop_exact_duplicates(_raw(s, sf)))
+        "clean_dedupe": _distinct,
+        "clean_duration": lambda s, sf: clean.add_duration(_distinct(s, sf))
                                              .select(*RAW, "trip_duration_minutes"),
         "fare_medians": lambda s, sf: clean.fare_bin_medians(_prepared(s, sf)),
         "clean_fare": lambda s, sf: clean.clean_fare(_prepared(s, sf), clean.fare_bin_medians(_prepared(s, sf)))
                                          .select(*RAW, "distance_bin", "fare_amount_clean"),
-        "clean_passengers": lambda s, sf: clean.clean_passengers(clean.drop_exact_duplicates(_raw(s, sf)))
+        "clean_passengers": lambda s, sf: clean.clean_passengers(_distinct(s, sf))
                                                .select(*RAW, "passenger_count_clean"),
         "clean_tip": lambda s, sf: _after_tip(s, sf).select(*RAW, "fare_amount_clean", "tip_amount_clean"),
         "global_stats": lambda s, sf: clean.global_stats(_after_tip(s, sf)),
         "clean_distance": lambda s, sf: _cap(s, sf).select(*RAW, "trip_distance_clean"),
         "clean_impute": lambda s, sf: _impute(s, sf).select(*RAW, *clean.IMPUTED),
-        "clean_defaults": lambda s, sf: clean.fill_categorical_defaults(clean.drop_exact_duplicates(_raw(s, sf))),
+        "clean_defaults": lambda s, sf: clean.fill_categorical_defaults(_distinct(s, sf)),
         "derive_calendar": lambda s, sf: clean.derive_calendar(clean.add_duration(
-            clean.drop_exact_duplicates(_raw(s, sf)))).select(
+            _distinct(s, sf))).select(
                 *RAW, "pickup_date", "pickup_year", "pickup_month", "pickup_hour", "pickup_weekday"),
         "derive_buckets": lambda s, sf: _cleaned(s, sf).select(
             *RAW, "time_of_day", "total_revenue", "distance_bucket"),
         "clean_trips": lambda s, sf: _cleaned(s, sf).drop("pickup_ts", "dropoff_ts"),
         # star schema
-        "dim_datetime": lambda s, sf: star.dim_datetime(_prepared(s, sf)),
-        "dim_payment": lambda s, sf: star.dim_payment(_cleaned(s, sf)),
+        "dim_datetime": lambda s, sf: star.dim_datetime(_prepared(s, sf), keys="parity"),
+        # codes only need T11, not the cleaning statistics
+        "dim_payment": lambda s, sf: star.dim_payment(clean.fill_categorical_defaults(_distinct(s, sf))),
         "dim_trip_category": lambda s, sf: star.dim_trip_category(_cleaned(s, sf)),
         "fact_trips": lambda s, sf: _star(s, sf).fact_trips,
         "validate_star": lambda s, sf: validation(s, sf),
         "scan_star": _scan_star,
         "roundtrip_fact": lambda s, sf: _wh(s, sf)["fact_trips"].select(*star.FACT_COLUMNS),
         "dynamic_overwrite": _dynamic_overwrite,
+        "two_loads": _two_loads,
         "export_csv": _export_csv,
         # business queries
         "q1_hour_weekday_volume_fare": _q("q1_hour_weekday_volume_fare"),
@@ -191,7 +269,7 @@ def queries() -> dict[str, Query]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q1 end to end from the raw trips, fully lazy (no writes)."""
+    """Q1 end to end from the raw trips."""
     s = _star(spark, sf_dir)
     return analytics.q1_hour_weekday_volume_fare(s.fact_trips, s.dim_datetime)
 
@@ -199,7 +277,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _extensions() -> dict[str, Query]:
     return {
         "ext_future_fix": lambda s, sf: extensions.fix_future_pickups(
-            clean.drop_exact_duplicates(_raw(s, sf)), FUTURE_AS_OF),
-        "ext_mode_impute": lambda s, sf: extensions.impute_mode(clean.drop_exact_duplicates(_raw(s, sf))),
-        "ext_ffill": lambda s, sf: extensions.forward_fill(clean.drop_exact_duplicates(_raw(s, sf))),
+            _distinct(s, sf), FUTURE_AS_OF),
+        "ext_mode_impute": lambda s, sf: extensions.impute_mode(_distinct(s, sf)),
+        "ext_ffill": lambda s, sf: extensions.forward_fill(_distinct(s, sf)),
     }

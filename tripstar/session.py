@@ -11,11 +11,11 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 PIPELINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -53,32 +53,29 @@ def build_session(master: str | None = None, app_name: str = "tripstar",
 def apply_pipeline_conf(spark: SparkSession) -> None:
     """Apply the runtime SQL settings to an existing session."""
     for key, value in PIPELINE_CONF.items():
-        try:
+        if spark.conf.isModifiable(key):
             spark.conf.set(key, value)
-        except Exception:  # static conf on a shared session: leave as is
-            pass
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        raise RuntimeError("the pipeline needs spark.sql.session.timeZone=UTC")
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for staged tables and checkpoints.
+    """Shared folder for staged tables and checkpoints: the one the cluster
+    names in ``spark.checkpoint.dir``.
 
-    On a cluster this is the folder the cluster names in
-    ``spark.checkpoint.dir``; a cluster job without it fails fast rather
-    than write to a machine-local folder.  Only a local session without the
-    setting (tests) gets a temporary folder of its own.
+    Without the setting a job fails rather than write to a machine-local
+    folder.  Only a session in one JVM (``local``, as in tests), where every
+    task shares the driver's disk, sets one of its own, for its lifetime.
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    configured = (spark.conf.get("spark.checkpoint.dir", None)
+                  or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir())
     if not configured:
-        configured = sc.getCheckpointDir()
-    if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
                                "(staged tables and checkpoints are written there)")
-        configured = tempfile.mkdtemp(prefix="tripstar-ckpt-")
-        sc.setCheckpointDir(configured)
-    elif not sc.getCheckpointDir():
+        configured = tempfile.mkdtemp(prefix="tripstar-work-")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 
@@ -90,10 +87,9 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return f"{base}/tripstar/{leaf}"
 
 
-def local_folder_for_tests(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the work folder, as a local path (local mode
-    only: tests that write files by hand)."""
-    path = scratch_path(spark, name)
-    local = path[len("file:"):] if path.startswith("file:") else path
-    os.makedirs(local, exist_ok=True)
-    return local
+def staged_table(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once in the shared folder and read back: later uses
+    read files instead of computing the rows again, also after lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

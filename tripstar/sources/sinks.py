@@ -8,28 +8,28 @@ from pyspark.sql import DataFrame
 
 
 def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (),
-                mode: str = "overwrite") -> str:
+                mode: str = "overwrite", overwrite: str = "dynamic") -> str:
     """Parquet table, optionally partitioned.
 
-    With ``spark.sql.sources.partitionOverwriteMode=dynamic`` (set by the
-    session) an overwrite replaces only the partitions present in ``df``
-    (S6).  Rows are not repartitioned by the partition columns first: that
-    would put a whole month into one task.  Each task writes the partitions
-    it holds (Spark sorts locally by the partition columns).
+    ``overwrite`` is set on the write itself, so the result does not depend on
+    the session: "dynamic" replaces only the partitions present in ``df`` (S6),
+    "static" replaces everything under ``path``.  A partitioned write is
+    rebalanced on the partition columns: adaptive execution splits a large
+    partition over tasks and merges small ones, instead of every task writing a
+    file into every partition.
     """
-    writer = df.write.mode(mode).format("parquet")
+    if partition_cols:
+        df = df.hint("rebalance", *partition_cols)
+    writer = df.write.mode(mode).format("parquet").option("partitionOverwriteMode", overwrite)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.save(path)
     return path
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = True) -> str:
-    """Query result as CSV with a header.
-
-    Only for bounded results (query outputs); ``coalesce(1)`` gives the one
-    file a report reader expects.
-    """
+def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
+    """Query result as CSV with a header (S7).  ``single_file`` puts all rows
+    into one task: only for results with a bound (query outputs)."""
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
     return path
