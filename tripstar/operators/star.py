@@ -121,12 +121,37 @@ def validate_table(name: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
               .select("table_name", "row_count", "_k.key_column", "_k.null_count")
 
 
+def fact_summary(fact: DataFrame) -> DataFrame:
+    """One row per (payment type, distance bucket): trips, and trips without an
+    hour key.  The two small dimensions and the fact's validation follow from
+    it, so the fact is read once for all of them."""
+    return fact.groupBy("payment_type", "distance_bucket").agg(
+        F.count(F.lit(1)).alias("trips"), F.count_if(F.col("datetime_key").isNull()).alias("no_key"))
+
+
+def validate_fact(summary: DataFrame) -> DataFrame:
+    """D6 for the fact, from its summary."""
+    def trips_where(condition):
+        return F.sum(F.when(condition, F.col("trips")).otherwise(0))
+
+    nulls = {"datetime_key": F.sum("no_key"), "payment_type": trips_where(F.col("payment_type").isNull()),
+             "distance_bucket": trips_where(F.col("distance_bucket").isNull())}
+    zero = F.lit(0).cast("long")
+    agg = summary.agg(F.coalesce(F.sum("trips"), zero).alias("row_count"),
+                      *[F.coalesce(n, zero).alias(k) for k, n in nulls.items()])
+    stacked = F.explode(F.array(*[F.struct(F.lit(k).alias("key_column"), F.col(k).alias("null_count")) for k in nulls]))
+    return (agg.select(F.lit("fact_trips").alias("table_name"), "row_count", stacked.alias("_k"))
+               .select("table_name", "row_count", "_k.key_column", "_k.null_count"))
+
+
 def validate_star(tables: dict[str, DataFrame], raw: DataFrame | None = None,
-                  raw_rows: DataFrame | None = None) -> DataFrame:
-    """Row and key-NULL counts for every table, plus the raw row count
-    (counted from ``raw``, or given as a one-row frame ``raw_rows(n)``)."""
-    parts = [validate_table(name, tables[name], keys) for name, keys in TABLE_KEYS.items()
-             if name in tables]
+                  raw_rows: DataFrame | None = None, summary: DataFrame | None = None) -> DataFrame:
+    """Row and key-NULL counts for every table (the fact's from its summary,
+    if given), plus the raw row count (counted from ``raw``, or given as a
+    one-row frame ``raw_rows(n)``)."""
+    parts = [validate_fact(summary) if name == "fact_trips" and summary is not None
+             else validate_table(name, tables[name], keys)
+             for name, keys in TABLE_KEYS.items() if name in tables]
     if raw is not None and raw_rows is None:
         raw_rows = raw.agg(F.count(F.lit(1)).alias("n"))
     if raw_rows is not None:

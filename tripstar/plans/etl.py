@@ -22,8 +22,8 @@ Passes over the data
 3. bin medians (two narrow columns) -> small lookup, size-checked broadcast.
 4. global statistics (p99 + four medians) -> a one-row scalar subquery.
 5. the fact table; the statistics subquery runs once, inside this job.
-6. ``dim_payment`` / ``dim_trip_category``: distinct values of one written
-   fact column each, over all loads.
+6. one grouped pass over the written fact (all loads) gives
+   ``dim_payment``, ``dim_trip_category`` and the fact's validation.
 7. validation reads the written tables back (row counts, NULL keys), and
    :func:`tripstar.operators.star.check_load` ties raw, distinct and fact rows
    of this load together.
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstar.operators import clean, star
-from tripstar.session import scratch_path
+from tripstar.session import scratch_path, staged_table
 from tripstar.sources.files import list_names, remove_tree
 from tripstar.sources.sinks import write_json, write_table
 from tripstar.sources.tables import RAW_COLUMNS
@@ -114,21 +114,23 @@ def _run(spark, raw, out_dir, keys, accuracy, validate, load_month, staged_path)
 
     cleaned = clean.finish(staged, accuracy)
     write_table(star.fact_trips(cleaned, dim_dt), load_path("fact_trips"), star.PARTITION_COLUMNS, overwrite="static")
-    # The two small dimensions are distinct sets of fact columns: read them
-    # from the written fact (one pruned column each) instead of recomputing
-    # the cleaning statistics.
-    fact = spark.read.parquet(f"{out_dir}/fact_trips")
-    write_table(star.dim_payment(fact), f"{out_dir}/dim_payment")
-    write_table(star.dim_trip_category(fact), f"{out_dir}/dim_trip_category")
+    # The two small dimensions and the fact's validation follow from one
+    # grouped pass over two columns and the key, instead of three scans.
+    summary = staged_table(star.fact_summary(spark.read.parquet(f"{out_dir}/fact_trips")), "fact-summary")
+    write_table(star.dim_payment(summary), f"{out_dir}/dim_payment")
+    write_table(star.dim_trip_category(summary), f"{out_dir}/dim_trip_category")
 
     # Everything below is written too, so nothing reads the staged rows later.
-    check_path, validation_path = f"{out_dir}/_load_check/{LOAD}={int(load_month)}", f"{out_dir}/_validation"
-    write_json(star.check_load(raw, staged, spark.read.parquet(load_path("fact_trips")), clean.COPIES), check_path)
-    check = spark.read.schema(CHECK_SCHEMA).json(check_path)
+    check = star.check_load(raw, staged, spark.read.parquet(load_path("fact_trips")), clean.COPIES).collect()
+    check = spark.createDataFrame(check, CHECK_SCHEMA)
+    write_json(check, f"{out_dir}/_load_check/{LOAD}={int(load_month)}")
     failed = [r.asDict() for r in check.where("severity = 'fail'").collect()]
     if failed:
         raise LoadFailed(f"load {load_month}: {failed}")
+    validation = check
     if validate:
         raw_rows = staged.agg(F.sum(clean.COPIES).alias("n"))
-        write_json(star.validate_star(read_warehouse(spark, out_dir), raw_rows=raw_rows), validation_path)
-    return EtlResult(out_dir, spark.read.schema(VALIDATION_SCHEMA).json(validation_path) if validate else check, check)
+        write_json(star.validate_star(read_warehouse(spark, out_dir), raw_rows=raw_rows, summary=summary),
+                   f"{out_dir}/_validation")
+        validation = spark.read.schema(VALIDATION_SCHEMA).json(f"{out_dir}/_validation")
+    return EtlResult(out_dir, validation, check)
