@@ -15,7 +15,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from tripstar.plans import registry as entry  # noqa: E402
 from tripstar.session import build_session  # noqa: E402
 
 KEYS = ("clean_trips", "fare_medians", "global_stats", "fact_trips", "dim_datetime",
@@ -81,12 +81,11 @@ def main() -> None:
     print(f"# Physical plans (executed, {os.path.basename(sf)})\n")
     print("Generated by `scripts/plan_report.py` from the final adaptive plans after one")
     print("run. One section per query: shuffles, join strategies, windows, and the")
-    print("columns each scan reads. Quantile steps read checkpointed value slices, so the")
-    print("scans above a checkpoint belong to the earlier job that wrote it. Counts include")
-    print("nested subquery plans and the plans of cached lookups. The only sort-merge")
-    print("joins are on quantile slices `(_g, _col, _s)`: rows of distinct values, already")
-    print("partitioned on that key by the slice window. No plan contains a Cartesian")
-    print("product or a Python UDF.\n")
+    print("columns each scan reads. Quantile steps read value slices, lookups and the")
+    print("deduplicated rows that earlier jobs wrote. Counts include nested subquery plans.")
+    print("Sort-merge joins are on quantile slices `(_g, _col, _s)`: rows of distinct")
+    print("values, already partitioned on that key by the slice window. No plan contains a")
+    print("Cartesian product or a Python UDF.\n")
     for name in KEYS:
         df = qs[name](spark, sf)
         df.collect()
