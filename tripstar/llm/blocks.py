@@ -13,6 +13,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,7 +29,9 @@ from pyspark.sql import functions as F
 from tripstar.session import scratch_path
 
 BLOCK_BYTES = 1 << 20
-PART_BYTES = 12 << 20
+BLOCK_ROWS = 2_000
+BATCH_ROWS = 1_000  # rows that travel to a Python worker at once
+PART_BYTES = 16 << 20
 PARTS_PER_TASK = 1000
 PART_SCHEMA = ("part int, seq int, ids binary, id_null binary, lens binary, "
                "text_null binary, payload binary, rest binary")
@@ -74,7 +78,7 @@ def iter_blocks(batches: Iterator[pa.RecordBatch], block_bytes: int = BLOCK_BYTE
         for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
             t = t.as_py()
             n = 0 if t is None else len(t)
-            if ids and (size + n > block_bytes or len(ids) >= 20_000):
+            if ids and (size + n > block_bytes or len(ids) >= BLOCK_ROWS):
                 yield _block(ids, texts)
                 ids, texts, size = [], [], 0
             ids.append(i)
@@ -84,9 +88,18 @@ def iter_blocks(batches: Iterator[pa.RecordBatch], block_bytes: int = BLOCK_BYTE
         yield _block(ids, texts)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts travel to Python workers in batches of at most ``BATCH_ROWS`` rows
+    (a session setting; a smaller one is left alone)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns an operator reads; whatever else the input has, and
     however it is named, never meets the operator's own columns."""
+    small_batches(df.sparkSession)
     return df.select(F.col(id_col).cast("long").alias("_id"),
                      F.col(text_col).cast("binary").alias("_text"))
 
@@ -112,6 +125,7 @@ def _pack(batches):
                 "payload": [comp.compress(b.data)], "rest": [None if rest is None else comp.compress(_ipc(rest))]},
                 schema=PART_ARROW)
             at, seq = at + len(b.lens), seq + 1
+    give_back()
 
 
 def _ipc(batch: pa.RecordBatch) -> bytes:
@@ -148,7 +162,7 @@ def stage_parts(df: DataFrame, id_col: str, text_col: str, name: str, carry: boo
     """Write ``(id, text)`` as compressed blocks bucketed by ``part``; with
     ``carry``, the other columns too (see :func:`whole_rows`)."""
     columns = id_text(df, id_col, text_col)
-    if carry:
+    if carry:  # by place, so that no name can clash
         plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
         spot = df.columns.index(text_col)
         columns = plain.select(F.col(f"c{df.columns.index(id_col)}").cast("long").alias("_id"),
@@ -180,6 +194,17 @@ def block_order(table: pa.Table) -> list[int]:
     return np.argsort(table.column("seq").to_numpy(), kind="stable").tolist()
 
 
+def give_back() -> None:
+    """Return freed memory to the system.  Python workers are reused, and the
+    allocators would keep what the last part or bucket needed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def squeeze(a: np.ndarray, level: int = 1) -> bytes:
     return zstandard.ZstdCompressor(level=level).compress(np.ascontiguousarray(a).tobytes())
 

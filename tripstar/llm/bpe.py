@@ -28,6 +28,7 @@ import json
 import os
 import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +36,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstar.llm.blocks import expand, n_buckets, squeeze, stage_parts, unpack
+from tripstar.llm.blocks import expand, give_back, n_buckets, squeeze, stage_parts, unpack
 
 # The characters that the tokenizer's \s matches.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORD = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]")
-_CHUNK = 50_000
+_CHUNK = 10_000
 
 
 def words(text: str, specials: re.Pattern | None) -> list[str]:
@@ -85,6 +86,12 @@ class Vocabulary:
         return b"".join(map(self.pieces.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=1)
+def vocabulary_of(spec: str) -> Vocabulary:
+    """The vocabulary of a worker process, built once."""
+    return Vocabulary(spec)
+
+
 def _bucket(word: str, n: int) -> int:
     return zlib.crc32(word.encode("utf-8")) % n
 
@@ -146,7 +153,8 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
     n = n_buckets(spark)
 
     def ask(key, table):
-        vocabulary = Vocabulary(spec.value)
+        give_back()
+        vocabulary = vocabulary_of(spec.value)
         part = key[0].as_py()
         distinct: set[str] = set()
         for block in unpack(table):
@@ -157,7 +165,8 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
 
     def encode(table):
         """One bucket of the distinct-word table: encode, answer every part."""
-        vocabulary = Vocabulary(spec.value)
+        give_back()
+        vocabulary = vocabulary_of(spec.value)
         asked = [_unpack_words(b.as_py()) for b in table.column("words")]
         distinct = sorted(set().union(*asked))
         known: dict[bytes, bytes] = {}
@@ -174,7 +183,8 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
                                      pa.array(out, pa.binary())], schema=_ANSWER_ARROW)
 
     def join(left, right):
-        vocabulary = Vocabulary(spec.value)
+        give_back()
+        vocabulary = vocabulary_of(spec.value)
         blocks, number = _positions(left, vocabulary.specials)
         grouped, ids_of = _by_bucket(number, n), [b""] * len(number)
         for k, b in enumerate(right.column("bucket").to_pylist()):

@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripstar.llm.blocks import small_batches
+
 ERROR_RATE = 0.05
 BLOCK_ITEM_BYTES = 4 << 20
 
@@ -190,6 +192,7 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
             item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document: the items found in it, their distances and the
     ends of the matches in the normalised text."""
+    small_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     blocks = [sc.broadcast(b) for b in item_blocks(items, item_id_col, item_text_col)]
 
@@ -209,6 +212,7 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
                       item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows in which no item was found, all columns kept."""
+    small_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     task = _Task([sc.broadcast(b) for b in item_blocks(items, item_id_col, item_text_col)])
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tripstar.llm.blocks import (block_order, expand, n_buckets, squeeze, stage_parts, unpack, whole_rows,
+from tripstar.llm.blocks import (block_order, expand, give_back, n_buckets, squeeze, stage_parts, unpack, whole_rows,
                                  write_bucketed)
 from tripstar.llm.components import components, written
 from tripstar.llm.kernels import distinct_per_doc, shingles, word_hashes, word_spans
@@ -204,6 +204,7 @@ def keep_first(docs: DataFrame, n: int = NEAR_N, threshold: int = NEAR_THRESHOLD
     schema = plain.withColumn(f"c{text_at}", F.col(f"c{text_at}").cast("string")).schema
 
     def keep(key, left, right):
+        give_back()
         wanted = np.sort(right.column("row").to_numpy()) & 0xFFFFFFFF
         out, at = [], 0
         for k, block in zip(block_order(left), unpack(left)):
@@ -226,9 +227,11 @@ def _placed(staged: DataFrame, n: int, threshold: int, block_sets: int) -> DataF
     buckets = n_buckets(staged.sparkSession)
 
     def ask(key, table):
+        give_back()
         return _rows(list(_Part(table, n, buckets).asked(key[0].as_py())), _ASK_ARROW)
 
     def count(table):
+        give_back()
         asked = [np.cumsum(expand(b.as_py(), np.uint32), dtype=np.uint32) for b in table.column("shingles")]
         counts = [expand(b.as_py(), np.uint8) for b in table.column("counts")]
         values, at = np.unique(np.concatenate(asked), return_inverse=True)
@@ -238,6 +241,7 @@ def _placed(staged: DataFrame, n: int, threshold: int, block_sets: int) -> DataF
                               map(squeeze, np.split(total[at], cuts)))), _DF_ARROW)
 
     def candidates(key, left, right):
+        give_back()
         if not left.num_rows:
             return _rows([], _SETS_ARROW)
         data = _Part(left, n, buckets)
@@ -315,6 +319,7 @@ def _gather(rows: DataFrame, placed: DataFrame) -> DataFrame:
     wanted = placed.select(F.expr("CAST(shiftright(node, 32) AS INT)").alias("part"), "node", "block", "tile", "label")
 
     def pick(key, left, right):
+        give_back()
         at = {r: k for k, r in enumerate(left.column("row").to_pylist())}
         node = right.column("node").to_pylist()
         index = pa.array([at[x] for x in node], pa.int64())

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripstar.llm.blocks import Block, _block, id_text, iter_blocks
+from tripstar.llm.blocks import Block, _block, give_back, id_text, iter_blocks, small_batches
 from tripstar.llm.kernels import distinct_per_doc, shingles, word_hashes, word_spans
 
 MAX_TRAIN_ROWS = 20_000
@@ -253,6 +253,7 @@ def score(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str =
         for block in iter_blocks(batches):
             s = model.value.score(features(block))
             yield pa.RecordBatch.from_arrays([pa.array(block.ids, mask=block.id_null), pa.array(s)], schema=_SCORE)
+        give_back()
 
     scored = id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "score",
@@ -261,6 +262,7 @@ def score(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str =
 
 def keep_good(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame:
     """The rows whose text scores at least ``KEEP_SCORE``, all columns kept."""
+    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(trees)
 
     @F.pandas_udf("boolean")

@@ -30,6 +30,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripstar.llm.blocks import small_batches
+
 # The three kinds of secrets, in the order they are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.IGNORECASE | re.ASCII)
@@ -240,6 +242,7 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("n_assign", pa.int64()), ("n_access
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: base counts, digest of the base spans, all spans."""
+    small_batches(df.sparkSession)
     return (df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
               .mapInArrow(_scan, SCHEMA))
 
@@ -257,6 +260,8 @@ def mask(text: str, spans) -> str:
 
 def redact(df: DataFrame, text_col: str = "text") -> DataFrame:
     """All rows and columns, with the secrets of ``text_col`` masked."""
+    small_batches(df.sparkSession)
+
     @F.pandas_udf("string")
     def masked(texts):
         return texts.map(lambda t: t if t is None else mask(t, spans_of(t)[1]))
