@@ -7,7 +7,7 @@ that are alone in their group drop out after each pass, and the groups that are
 left after the last digit are exactly the repeated windows.
 
 Digit 0 is shared out by Spark.  It is the window's *anchor*: the smallest
-24-byte gram (by hash) inside the window.  Equal windows have equal anchors at
+36-byte gram (by hash) inside the window.  Equal windows have equal anchors at
 equal places, and neighbouring windows mostly share theirs, so the windows of
 one anchor travel as one *run* of bytes instead of one row per suffix.
 
@@ -47,12 +47,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstar.llm.blocks import Block, expand, n_buckets, squeeze, stage_parts, unpack
+from tripstar.llm.blocks import Block, expand, give_back, n_buckets, squeeze, stage_parts, unpack
 from tripstar.llm.kernels import BASE, BYTE_TABLE, INVERSE, mix, power
 from tripstar.session import scratch_path
 
 THRESHOLD = 50
-GRAM = 24
+GRAM = 36  # long enough that grams rarely meet by chance, also in a much larger corpus
 HOT_PARTS = 64  # an anchor in more scan tasks than this has its windows dealt one by one
 SEGMENT = 1 << 16  # window starts worked on at once: arrays stay in the processor's cache
 NO_ID = np.int64(2**63 - 1)  # null ids sort last
@@ -103,7 +103,8 @@ def _segment_runs(buf: np.ndarray, base: int):
     cut = np.flatnonzero(at[1:] != at[:-1]) + 1
     first = np.concatenate([[0], cut])
     last = np.concatenate([cut, [len(at)]]) - 1
-    return first + base, last + base, grams[at[first]]
+    # the smallest hashes crowd at the low end: mixed again before they are dealt
+    return first + base, last + base, mix(grams[at[first]] + np.uint64(0x9E3779B97F4A7C15))
 
 
 def runs_of(block: Block) -> Runs:
@@ -304,9 +305,9 @@ class _Part:
                 continue
             pieces = [self.blocks[w][0].data[f:ll + THRESHOLD]
                       for w, f, ll in zip(self.where[heads].tolist(), self.first[heads].tolist(), self.last[heads].tolist())]
-            head = np.column_stack([self.spread[self.run_cuts[b]:self.run_cuts[b + 1]].view(np.int64), self.ids[heads],
-                                    self.last[heads] - self.first[heads] + 1])
-            yield part, b, squeeze(head.T), squeeze(np.frombuffer(b"".join(pieces), np.uint8), 3)
+            steps = np.diff(self.spread[self.run_cuts[b]:self.run_cuts[b + 1]], prepend=np.uint64(0))  # sorted: small
+            head = np.stack([steps.view(np.int64), self.ids[heads], self.last[heads] - self.first[heads] + 1])
+            yield part, b, squeeze(head, 3), squeeze(np.frombuffer(b"".join(pieces), np.uint8), 6)
 
     def removed(self, owners: pa.Table):
         """Rows of the result, from the smallest id of every window."""
@@ -356,9 +357,11 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n = n_buckets(docs.sparkSession)
 
     def ask(key, table):
+        give_back()
         return _table(list(_Part(table, n).asked(key[0].as_py())), _ASK_ARROW)
 
     def answer(table):
+        give_back()
         asked = [np.cumsum(expand(b.as_py(), np.uint32), dtype=np.uint32) for b in table.column("anchors")]
         values, counts = np.unique(np.concatenate(asked), return_counts=True)
         level = ((counts > 1).astype(np.uint8) + (counts > hot_parts))
@@ -366,14 +369,17 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return _table(list(zip(table.column("part").to_pylist(), table.column("bucket").to_pylist(), flags)), _FLAGS_ARROW)
 
     def send(key, left, right):
+        give_back()
         part = _Part(left, n)
         part.flag(right)
         return _table(list(part.runs(key[0].as_py())), _RUNS_ARROW)
 
     def order(table):
+        give_back()
         return _table(list(_bucket_owners(table)), _OWNERS_ARROW)
 
     def mark(key, left, flags_and_owners):
+        give_back()
         part = _Part(left, n)
         asked = pc.is_valid(flags_and_owners.column("flags"))
         part.flag(flags_and_owners.filter(asked))
@@ -395,7 +401,7 @@ def _written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-CHUNK_WINDOWS = 1 << 20
+CHUNK_WINDOWS = 1 << 18
 
 
 def _bucket_owners(table: pa.Table):
@@ -408,7 +414,7 @@ def _bucket_owners(table: pa.Table):
         head = expand(table.column("heads")[k].as_py(), np.int64).reshape(3, -1)
         text = expand(table.column("bytes")[k].as_py(), np.uint8)
         at = np.concatenate([[0], np.cumsum(head[2] + THRESHOLD - 1)])
-        parts.append((head[0].view(np.uint64), head[1], head[2], at, text))
+        parts.append((np.cumsum(head[0].view(np.uint64)), head[1], head[2], at, text))
     # equal runs of all parts: one content, with the smallest id
     of, contents = [], {}
     for _, _, w, at, text in parts:
@@ -444,4 +450,4 @@ def _bucket_owners(table: pa.Table):
     for k, (_, _, w, _, _) in enumerate(parts):
         step = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
         mine = owner[np.repeat(window_at[of[k]], w) + step]
-        yield (table.column("part")[k].as_py(), table.column("bucket")[k].as_py(), squeeze(np.diff(mine, prepend=0)))
+        yield (table.column("part")[k].as_py(), table.column("bucket")[k].as_py(), squeeze(np.diff(mine, prepend=0), 3))
