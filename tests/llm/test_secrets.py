@@ -1,11 +1,15 @@
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
+import zlib
 from urllib.parse import quote
 
 import pytest
+import zstandard
 
 from tests.llm.fixtures import SCHEMA, frame, mixed_rows
 from tripstar.llm import secrets
@@ -52,6 +56,68 @@ def test_hidden_layers_map_to_the_text(wrap):
     assert (10, 1, 10 + len(hidden)) in every
 
 
+def b64(data):
+    return base64.b64encode(data).decode()
+
+
+def wrapped(data, width, end="\n"):
+    text = b64(data)
+    return end.join(text[i:i + width] for i in range(0, len(text), width))
+
+
+@pytest.mark.parametrize("hidden", [
+    b64(KEY.encode("utf-16")), b64(KEY.encode("utf-16-be")), b64(b"x" + KEY.encode("utf-16-le")), b64(KEY.encode("utf-32-le")),
+    b64(b"\x1b[0m " + KEY.encode() + b" \0"), b64(b"caf\xe9 " + KEY.encode()), "%E9%20" + "".join(f"%{b:02X}" for b in KEY.encode()),
+    "".join(f"%{b:02X}" for b in KEY.encode("utf-16-le")), b64(b"x^2 " + KEY.encode())])
+def test_layers_that_are_not_plain_utf8(hidden):
+    base, every, _ = spans_of(f"one {hidden} three")
+    assert base == [] and {k for _, k, _ in every} == {1}
+    assert all(4 <= s < e <= 4 + len(hidden) for s, _, e in every)
+
+
+@pytest.mark.parametrize("width", [64, 76])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    ", "\\n"])
+def test_wrapped_base64(width, end):
+    for at in range(0, 100, 7):
+        hidden = wrapped(b"a" * at + b" " + KEY.encode() + b" " + b"z" * 150, width, end)
+        for before in ("", "some words\n", "-----BEGIN CERTIFICATE-----\n", "data:", "here\n\n"):
+            text = f"{before}{hidden}\nbye"
+            base, every, _ = spans_of(text)
+            assert base == [] and any(text[s:e] in hidden for s, k, e in every if k == 1), (at, before)
+    noise = random.Random(3).randbytes(2000)
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress):
+        hidden = wrapped(pack(noise + b" " + KEY.encode() + b" "), width, end)
+        assert (4, 1, 4 + len(hidden.rstrip("="))) in spans_of(f"one\n{hidden}")[1]
+
+
+def test_wrapped_secret_takes_its_lines_only():
+    lines = [b64(bytes([110 + i]) * 48) for i in range(4)]
+    lines[2] = b64(f" {KEY} ".ljust(48).encode())
+    assert spans_of("\n".join(lines))[1] == [(130, 1, 194)]
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_every_member_is_read(pack):
+    hidden = b64(pack(b"nothing") + pack(b"") + pack(KEY.encode()))
+    assert spans_of(hidden)[1] == [(0, 1, len(hidden.rstrip("=")))] or spans_of(hidden)[1] == [(0, 1, len(hidden))]
+    hidden = b64(pack(b"nothing") + b"and " + KEY.encode())
+    assert {k for _, k, _ in spans_of(hidden)[1]} == {1}
+
+
+def test_large_layers_are_scanned_in_windows(monkeypatch):
+    monkeypatch.setattr(secrets, "WINDOW", 4000)
+    monkeypatch.setattr(secrets, "OVERLAP", 1000)
+    for at in range(0, 30_000, 990):
+        text = b" " * at + KEY.encode() + b" " * (30_000 - at)
+        for pack in (gzip.compress, bz2.compress, lambda x: gzip.compress(zstandard.compress(x))):
+            assert {k for _, k, _ in spans_of(b64(pack(text)))[1]} == {1}, at
+
+
+def test_layer_past_64_mb():
+    hidden = b64(gzip.compress(b" " * (65 << 20) + KEY.encode(), 1))
+    assert {k for _, k, _ in spans_of(hidden)[1]} == {1}
+
+
 def test_partly_escaped_secret_keeps_exact_places():
     base, every, _ = spans_of("x pass%77ord=abcd%65f1 y")
     assert base == [] and every == [(2, 0, 22)]
