@@ -52,3 +52,29 @@ def test_declared():
 def test_empty_table_and_long_page(spark):
     assert language.identify(spark.createDataFrame([], SCHEMA)).count() == 0
     assert len(language.trigrams("ab " * 300_000)) > 800_000
+
+
+def test_declared_wherever_it_stands():
+    for long in ("<!-- <html lang='de'> " + "licence " * 5_000 + "-->", "<script>var x = \"<html lang='de'>\";" + "x();" * 9_000 + "</script>",
+                 "<style>" + "p { }" * 9_000 + "</style>"):
+        assert language.declared(long + '<html data-x="a>b" class="c" lang="fr">') == "fr"
+        assert language.declared(f'<html><head>{long}<meta http-equiv="Content-Language" content="es, en">') == "es"
+    assert language.declared("<meta name='description' content='de'><html data-x=' lang=en '>") == "none"
+    assert language.declared("<html lang='und'>") == "other" and language.declared_code("<html lang='it-IT'>") == "it"
+
+
+def test_languages_are_counted_and_others_told(spark):
+    it = "che non una della con sono gli nel anche più perché essere questo".split()
+    pl = "nie jest się na przez który jego był dla oraz została".split()
+    more = [(1000 + i, f"http://it.example.it/{i}", f'<html lang="it"><p>{" ".join(it[(i * j + j) % len(it)] for j in range(20))}</p>')
+            for i in range(30)]
+    more += [(2000, "http://x.org/1", f'<html lang="pl"><p>{" ".join(pl * 2)}</p>'),
+             (2001, "http://y.org/1", "<p>Это совсем другой текст о погоде и о людях в большом городе</p>"),
+             (2002, "http://z.net/1", f"<p>{' '.join(it)}</p>")]
+    known = [(i, u, h.replace("<p>", "<p>" + " ".join(WORDS[u[7:9]].split() * 40) + " ")) for i, u, h in pages()]
+    got = {r.page_id: r for r in run(spark, known + more).values()}
+    assert all(got[i].lang == u[7:9] for i, u, _ in known) and all(got[1000 + i].lang == "it" for i in range(30))
+    assert got[1000].declared == "it" and got[2000].declared == "other"
+    assert [got[i].lang for i in (2000, 2001, 2002)] == ["other", "other", "it"]
+    field = language.identify(spark.createDataFrame(known + more, SCHEMA)).schema["posterior"]
+    assert field.metadata["languages"] == ["de", "en", "es", "fr", "it", "other"] and len(got[2002].posterior) == 6
