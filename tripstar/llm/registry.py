@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from tripstar.llm import bpe, decontaminate, html_text, jaccard, language, perplexity, quality, secrets, sharding, suffix_dedup
+from tripstar.llm import (bpe, decontaminate, filter_audit, html_text, jaccard, language, perplexity, quality, secrets, sharding,
+                          suffix_dedup)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,11 +59,15 @@ def op10_decontamination(spark, sf):
     return decontaminate.matches(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
 
+def op11_filter_audit(spark, sf):
+    return filter_audit.audit(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_suffix_dedup, op2_html_extraction, op3_secret_scan, op4_perplexity_rules, op5_extendible_sharding, op6_language_id, op7_quality_classifier,
-        op8_bpe_round_trip, op9_ngram_jaccard, op10_decontamination)}
+        op8_bpe_round_trip, op9_ngram_jaccard, op10_decontamination, op11_filter_audit)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_extendible_sharding": sharding.oracle_sql()}
+    return {"op5_extendible_sharding": sharding.oracle_sql(), "op11_filter_audit": filter_audit.oracle_sql()}
