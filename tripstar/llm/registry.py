@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from tripstar.llm import (bpe, decontaminate, filter_audit, html_text, jaccard, language, perplexity, quality, secrets, sharding,
+from tripstar.llm import (bpe, chosen_path, decontaminate, filter_audit, html_text, jaccard, language, perplexity, quality, secrets, sharding,
                           spelling, suffix_dedup)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def op11_filter_audit(spark, sf):
     return filter_audit.audit(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+def op12_chosen_path_dedup(spark, sf):
+    return chosen_path.near_duplicates(_table(spark, sf, "documents"))
+
+
 def op13_spelling_variants(spark, sf):
     return spelling.group(_table(spark, sf, "documents"))
 
@@ -70,7 +74,8 @@ def op13_spelling_variants(spark, sf):
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_suffix_dedup, op2_html_extraction, op3_secret_scan, op4_perplexity_rules, op5_extendible_sharding, op6_language_id, op7_quality_classifier,
-        op8_bpe_round_trip, op9_ngram_jaccard, op10_decontamination, op11_filter_audit, op13_spelling_variants)}
+        op8_bpe_round_trip, op9_ngram_jaccard, op10_decontamination, op11_filter_audit, op12_chosen_path_dedup,
+        op13_spelling_variants)}
 
 
 def oracle_sql() -> dict[str, str]:
