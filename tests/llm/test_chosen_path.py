@@ -50,7 +50,7 @@ def near_copies(seed, n, edits):
     return rows + rows[:4]
 
 
-@pytest.mark.parametrize("node_sets", [64, 6])
+@pytest.mark.parametrize("node_sets", [1_000, 6])
 def test_components_match_brute_force(spark, node_sets):
     """Also with nodes so small that groups are branched on."""
     rows = near_copies(5, 160, [0, 0, 1, 1, 2, 3, 6])

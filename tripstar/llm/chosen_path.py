@@ -12,14 +12,17 @@
    trees that two classes at the threshold need to meet with probability
    ``RECALL``; more similar classes meet more often.
 3. *Nodes.*  Nodes with the same members (as told by count and hash) are looked at
-   once.  Every member is paired with the smallest class of its node; then the
-   nodes of at most ``NODE_SETS`` classes are compared exhaustively in one task,
-   for the pairs that no verified links connect yet.  Larger nodes that are not
-   connected are branched on, until no such node is left.
-4. Pairs that the minwise tokens put at least 4 deviations below the threshold go;
-   all others are confirmed on the full sets, which travel from the staged texts
-   to their pair.  The component of a document follows from the confirmed links.
-   Pairs inside one component are not confirmed again: they change no result.
+   once.  Every member is paired with the smallest class of its node.  Then small
+   nodes are compared exhaustively, each in one task, for the pairs that no
+   confirmed links connect yet: a node is small when the classes outside its
+   largest component, times all its classes, are at most ``NODE_SETS`` squared.
+   The sets (as 32-bit hashes) meet in the node's task, their overlaps are matrix
+   products, and the task returns as many links as unite its components, not its
+   pairs.  Larger nodes are branched on, until none is left.
+4. Pairs with the smallest class that the minwise tokens put at least 4 deviations
+   below the threshold go; all others, and all links of step 3, are confirmed on
+   the full sets, which travel from the staged texts to their pair.  The component
+   of a document follows from the confirmed links.
 
 A group of any size is dealt as its members: its nodes are merged in every task
 before they are shuffled, its stars are dealt in stretches of ``STAR`` pairs, and
@@ -55,7 +58,10 @@ EMBED = 128
 DEPTH = 3
 RECALL = 0.9999
 MEET_DEPTH = 5  # levels that two classes at the threshold survive together, in the count of trees
-NODE_SETS = 64
+NODE_SETS = 1_000
+TASK_SETS = 20  # a task holds at most this many times NODE_SETS classes of a node
+TASK_TOKENS = 16 << 20  # and this many shingles
+LEVELS = 2  # levels of a branch between two looks at the nodes
 MAX_DEPTH = 24  # nodes this deep are compared whatever their size
 STAR = 1_000
 DEVIATIONS = 4
@@ -173,11 +179,13 @@ def _first_paths(trees: int, threshold: int):
 
 
 def _next_paths(threshold: int):
-    """(path, node, sketch) -> (path, node), one level deeper."""
+    """(path, node, sketch) -> (path, node), ``LEVELS`` deeper."""
     def run(batches):
         for batch in batches:
             tokens = places(_sketches(batch.column(2)))
-            owner, paths = branch(tokens, np.arange(len(tokens)), batch.column(0).to_numpy().view(np.uint64), threshold)
+            owner, paths = np.arange(len(tokens)), batch.column(0).to_numpy().view(np.uint64)
+            for _ in range(LEVELS):
+                owner, paths = branch(tokens, owner, paths, threshold)
             yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), pa.array(batch.column(1).to_numpy()[owner])],
                                              names=["path", "node"])
 
@@ -226,28 +234,82 @@ def _groups(batches, keys: int):
         yield held
 
 
+def overlaps(sets: list[np.ndarray], some: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets ``some`` with all, by products of
+    0/1 matrices over stretches of the tokens that two or more sets hold."""
+    flat, lens = np.concatenate(sets), np.array([len(s) for s in sets])
+    values, token, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), lens)
+    held = np.zeros(len(values), bool)
+    held[token[np.isin(owner, some)]] = True
+    use = held & (counts > 1)
+    column = np.cumsum(use) - 1
+    at = np.flatnonzero(use[token])
+    at = at[np.argsort(column[token[at]], kind="stable")]
+    column, owner = column[token[at]], owner[at]
+    out = np.zeros((len(some), len(sets)), np.float32)
+    width = max(64, (4 << 20) // len(sets))
+    for k in range(0, int(use.sum()), width):
+        lo, hi = np.searchsorted(column, [k, k + width])
+        held_by = np.zeros((len(sets), width), np.float32)
+        held_by[owner[lo:hi], column[lo:hi] - k] = 1
+        out += held_by[some] @ held_by.T
+    return out
+
+
 def _compare_nodes(threshold: int):
-    """Every two members (path, node, label, size, code) of a node that are in
-    different components and may link.  The pairs with the smallest member are known."""
+    """Links between the components of a node's members (path, node, label, size,
+    tokens): as many as unite what the node's links unite."""
     def run(batches):
         for rows in _groups(batches, 1):
             node = np.array([r[1] for r in rows])
-            order = np.argsort(node)
-            node = node[order]
-            label = np.array([r[2] for r in rows])[order]
-            size = np.array([r[3] for r in rows])[order]
-            code = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(-1, EMBED)[order]
-            for i in range(1, len(node) - 1):
-                j = np.flatnonzero((label[i + 1:] != label[i]) & sizes_fit(size[i + 1:], size[i], threshold)) + i + 1
-                if len(j):
-                    near = estimate(code[j], code[i])
-                    j, near = j[near >= cutoff(threshold)], near[near >= cutoff(threshold)]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), node[i])), pa.array(node[j]), pa.array(near)],
-                                                     names=["a", "b", "near"])
+            size = np.array([r[3] for r in rows])
+            sets = [np.frombuffer(r[4], np.uint32) for r in rows]
+            names, label, counts = np.unique([r[2] for r in rows], return_inverse=True, return_counts=True)
+            del rows
+            outside = np.flatnonzero(label != np.argmax(counts))
+            both = overlaps(sets, outside)
+            link = 100 * both >= threshold * (size[outside][:, None] + size[None, :] - both)
+            link &= label[outside][:, None] != label[None, :]
+            up = np.arange(len(names))  # the components that links have united
+            a, b = [], []
+            for i, row in zip(outside, link):
+                others = label[row]
+                _, first = np.unique(up[others], return_index=True)  # one link to each other component
+                for j in np.flatnonzero(row)[first].tolist():
+                    if up[label[i]] != up[label[j]]:
+                        a.append(min(node[i], node[j]))
+                        b.append(max(node[i], node[j]))
+                        up[up == up[label[j]]] = up[label[i]]
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
 
+def _pick_short(n: int, seed: int):
+    """The sets of the wanted documents of one part, as 32-bit hashes."""
+    def run(key, left, right):
+        give_back()
+        node, at = np.unique(right.column("node").to_numpy()), 0
+        place, tokens = node & 0xFFFFFFFF, []
+        for block in unpack(left):
+            wanted = place[(place >= at) & (place < at + len(block.lens))] - at
+            if len(wanted):
+                tokens += [((mix(h + np.uint64(seed))) >> np.uint64(32)).astype(np.uint32).tobytes() for h in _few_sets(block, wanted, n)]
+            at += len(block.lens)
+        return pa.Table.from_arrays([pa.array(node, pa.int64()), pa.array(tokens, pa.binary())], names=["node", "tokens"])
+
+    return run
+
+
+def _few_sets(block: Block, wanted: np.ndarray, n: int) -> list[np.ndarray]:
+    texts = block.texts()
+    few = [texts[k] for k in wanted]
+    h, owner = sets_of(Block(wanted, wanted < 0, np.array([len(t) for t in few], np.int64), wanted < 0, b"".join(few)), n)
+    bounds = np.searchsorted(owner, np.arange(len(few) + 1))
+    return [h[bounds[j]:bounds[j + 1]] for j in range(len(few))]
+
+
 _SETS = "a long, deal long, kind int, node long, tokens binary"
 
 
@@ -260,12 +322,7 @@ def _pick(n: int):
         for block in unpack(left):
             wanted = np.unique(node[(node >= at) & (node < at + len(block.lens))]) - at
             if len(wanted):
-                texts = block.texts()
-                few = [texts[k] for k in wanted]
-                h, owner = sets_of(Block(wanted, wanted < 0, np.array([len(t) for t in few], np.int64), wanted < 0, b"".join(few)), n)
-                bounds = np.searchsorted(owner, np.arange(len(few) + 1))
-                for j, k in enumerate(wanted.tolist()):
-                    tokens[at + k] = h[bounds[j]:bounds[j + 1]].tobytes()
+                tokens.update((at + k, h.tobytes()) for k, h in zip(wanted.tolist(), _few_sets(block, wanted, n)))
             at += len(block.lens)
         return pa.Table.from_arrays([right.column("a"), right.column("deal"), right.column("kind"), right.column("node"),
                                      pa.array([tokens[k] for k in node.tolist()], pa.binary())],
@@ -302,7 +359,7 @@ class _Search:
         self.staged, self.sketches, self.n, self.threshold = staged, sketches, n, threshold
         self.codes = written(sketches.select("node", "size", "sketch").mapInArrow(_shorten, "node long, size long, code binary"), "codes")
         self.labels: DataFrame | None = None  # (node, label) of the classes with links
-        self.tested: list[DataFrame] = []
+        self.tested: DataFrame | None = None
 
     def labelled(self, df: DataFrame, column: str, name: str) -> DataFrame:
         if self.labels is None:
@@ -312,11 +369,12 @@ class _Search:
 
     def apart(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are not known and whose classes are not connected."""
-        for known in self.tested:
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
+        if self.tested is not None:
+            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         if self.labels is None:
             return pairs
-        return self.labelled(self.labelled(pairs, "a", "la"), "b", "lb").where("la <> lb").drop("la", "lb")
+        names = pairs.columns
+        return self.labelled(self.labelled(pairs, "a", "la"), "b", "lb").where("la <> lb").select(*names)
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """(a, b, near) of the pairs that sizes and minwise tokens do not rule out."""
@@ -325,8 +383,8 @@ class _Search:
         return pairs.select("a", "b", "size_a", "code_a", "size_b", "code_b").mapInArrow(
             _likely(self.threshold), "a long, b long, near double")
 
-    def confirm(self, pairs: DataFrame) -> None:
-        """Compare the full sets of pairs (a, b) and unite what links."""
+    def confirm(self, pairs: DataFrame) -> DataFrame:
+        """Compare the full sets of pairs (a, b) and unite what links; the links."""
         counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR).cast("long").alias("deals"))
         dealt = pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("deals")).alias("deal"))
         wanted = (dealt.select("a", "deal", F.lit(1).alias("kind"), F.col("b").alias("node"))
@@ -335,51 +393,66 @@ class _Search:
         sets = self.staged.groupBy("part").cogroup(wanted.groupBy("part")).applyInArrow(_pick(self.n), _SETS)
         links = written(sets.repartition(n_buckets(pairs.sparkSession), "a", "deal").sortWithinPartitions("a", "deal", "kind")
                             .mapInArrow(_confirm(self.threshold), "a long, b long"), "links-found")
-        self.tested.append(pairs.select("a", "b"))
+        known = pairs.select("a", "b")
+        self.tested = known if self.tested is None else written(self.tested.unionByName(known), "tested")
         if links.isEmpty():
-            return
+            return links
         if self.labels is None:
             self.labels = components(links)
-            return
+            return links
         ends = self.labelled(self.labelled(links, "a", "la"), "b", "lb")
         merged = components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")))
         old = self.labels.unionByName(merged.select("node", F.col("node").alias("label"))).groupBy("node").agg(F.min("label").alias("old"))
         self.labels = written(old.join(merged.select(F.col("node").alias("old"), "label"), "old", "left")
                                  .select("node", F.coalesce("label", "old").alias("label")), "labels")
-
-    def settle(self, pairs: DataFrame) -> None:
-        """Confirm likely pairs (a, b, near): first the best of each class, then
-        those that are still apart."""
-        pairs = written(pairs, "likely")
-        best = pairs.groupBy("b").agg(F.max_by("a", F.struct("near", "a")).alias("a")).select("a", "b")
-        first = written(best, "best-pairs")
-        if first.isEmpty():
+        return links
+
+    def stars(self, inside: DataFrame) -> None:
+        """Every member with the smallest class of its node: the best such pair of
+        each class first, then those that are still apart."""
+        pairs = inside.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+        pairs = written(self.likely(self.apart(pairs)), "stars")
+        best = written(pairs.groupBy("b").agg(F.max_by("a", F.struct("near", "a")).alias("a")).select("a", "b"), "best-pairs")
+        if best.isEmpty():
             return
-        self.confirm(first)
+        self.confirm(best)
         rest = written(self.apart(pairs.select("a", "b")), "rest-pairs")
         if not rest.isEmpty():
             self.confirm(rest)
 
+    def open_nodes(self, inside: DataFrame, node_sets: int, last: bool) -> DataFrame:
+        """(path, node, label, size, small) of the nodes with several components."""
+        inside = self.labelled(inside.where("k > 2"), "node", "label")
+        parts = inside.groupBy("path", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("tokens")).groupBy("path").agg(
+            F.sum("n").alias("k"), F.max("n").alias("largest"), F.sum("tokens").alias("tokens"))
+        fits = (F.expr("(k - largest) * k") <= node_sets**2) & (F.col("k") <= node_sets * TASK_SETS) & (F.col("tokens") <= TASK_TOKENS)
+        parts = parts.where("largest < k").select("path", (fits | F.lit(last)).alias("small"))
+        return written(inside.join(parts, "path").select("path", "node", "label", "size", "small"), "open-nodes")
+
+    def compare(self, small: DataFrame, seed: int) -> bool:
+        """Compare the members of small nodes; whether every link found holds."""
+        wanted = small.select("node").distinct().withColumn("part", F.expr("CAST(shiftright(node, 32) AS INT)"))
+        sets = self.staged.groupBy("part").cogroup(wanted.groupBy("part")).applyInArrow(_pick_short(self.n, seed), "node long, tokens binary")
+        found = (small.join(sets, "node").select("path", "node", "label", "size", "tokens")
+                      .repartition(n_buckets(small.sparkSession), "path").sortWithinPartitions("path")
+                      .mapInArrow(_compare_nodes(self.threshold), "a long, b long").distinct())
+        found = written(found, "open-links")
+        n = found.count()
+        return not n or self.confirm(found).count() == n
+
     def level(self, paths: DataFrame, depth: int, node_sets: int) -> DataFrame | None:
         """Look at the nodes of one level; the paths of the next, if any."""
         nodes = paths.groupBy("path").agg(F.count(F.lit(1)).alias("k"), F.min("node").alias("hub"),
                                           F.bit_xor(F.xxhash64("node")).alias("members")).where("k > 1")
         nodes = written(nodes.groupBy("members", "k").agg(F.min("path").alias("path"), F.min("hub").alias("hub")).select("path", "k", "hub"), "nodes")
-        inside = written(paths.join(nodes, "path"), "node-members")
-        stars = inside.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-        self.settle(self.likely(self.apart(stars)))
-
-        inside = self.labelled(inside.where("k > 2"), "node", "label")
-        open_ = inside.groupBy("path").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("path")
-        open_ = written(inside.join(open_, "path").select("path", "k", "node", "label"), "open-nodes")
-        small = open_ if depth >= MAX_DEPTH else open_.where(F.col("k") <= node_sets)
-        pairs = (small.join(self.codes, "node").select("path", "node", "label", "size", "code")
-                      .repartition(n_buckets(paths.sparkSession), "path").sortWithinPartitions("path")
-                      .mapInArrow(_compare_nodes(self.threshold), "a long, b long, near double"))
-        self.settle(self.apart(pairs.distinct()))
-
-        large = open_.where(F.col("k") > node_sets)
-        if depth >= MAX_DEPTH or large.isEmpty():
+        inside = written(paths.join(nodes, "path").join(self.codes.select("node", "size"), "node"), "node-members")
+        self.stars(inside)
+        seed, last = 0, depth >= MAX_DEPTH
+        open_ = self.open_nodes(inside, node_sets, last)
+        while not self.compare(open_.where("small"), seed):  # two short hashes met: once more, with others
+            seed, open_ = seed + 1, self.open_nodes(inside, node_sets, last)
+        large = open_.where("NOT small")
+        if large.isEmpty():
             return None
         return written(large.select("path", "node").join(self.sketches, "node").select("path", "node", "sketch")
                             .mapInArrow(_next_paths(self.threshold), "path long, node long"), "paths")
@@ -398,7 +471,7 @@ def near_duplicates(docs: DataFrame, n: int = N, threshold: int = THRESHOLD, rec
     paths, depth = written(sketches.select("node", "sketch").mapInArrow(_first_paths(trees_for(recall, threshold), threshold),
                                                                         "path long, node long"), "paths"), DEPTH
     while paths is not None:
-        paths, depth = search.level(paths, depth, node_sets), depth + 1
+        paths, depth = search.level(paths, depth, node_sets), depth + LEVELS
 
     # from classes back to documents
     label = search.labelled(classes, "node", "label")
