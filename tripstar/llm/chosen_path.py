@@ -58,8 +58,8 @@ EMBED = 128
 DEPTH = 3
 RECALL = 0.9999
 MEET_DEPTH = 5  # levels that two classes at the threshold survive together, in the count of trees
-NODE_SETS = 1_000
-TASK_SETS = 20  # a task holds at most this many times NODE_SETS classes of a node
+NODE_SETS = 3_000
+TASK_SETS = 8  # a task holds at most this many times NODE_SETS classes of a node
 TASK_TOKENS = 16 << 20  # and this many shingles
 LEVELS = 2  # levels of a branch between two looks at the nodes
 MAX_DEPTH = 24  # nodes this deep are compared whatever their size
@@ -269,14 +269,12 @@ def _compare_nodes(threshold: int):
             del rows
             outside = np.flatnonzero(label != np.argmax(counts))
             both = overlaps(sets, outside)
-            link = 100 * both >= threshold * (size[outside][:, None] + size[None, :] - both)
-            link &= label[outside][:, None] != label[None, :]
             up = np.arange(len(names))  # the components that links have united
             a, b = [], []
-            for i, row in zip(outside, link):
-                others = label[row]
-                _, first = np.unique(up[others], return_index=True)  # one link to each other component
-                for j in np.flatnonzero(row)[first].tolist():
+            for i, shared in zip(outside, both):
+                row = np.flatnonzero((100 * shared >= threshold * (size[i] + size - shared)) & (up[label] != up[label[i]]))
+                _, first = np.unique(up[label[row]], return_index=True)  # one link to each other component
+                for j in row[first].tolist():
                     if up[label[i]] != up[label[j]]:
                         a.append(min(node[i], node[j]))
                         b.append(max(node[i], node[j]))
