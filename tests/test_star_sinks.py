@@ -7,7 +7,8 @@ from tests.helpers import frame, trip
 from tripstar.operators import clean, extensions, star
 from tripstar.plans import analytics
 from tripstar.plans.etl import read_warehouse, run_etl
-from tripstar.session import scratch_path
+from tripstar.session import scratch_path, staged_table
+from tripstar.sources.files import list_names, remove_tree, swap_in
 from tripstar.sources import landing
 
 
@@ -219,3 +220,76 @@ def test_warehouse_invariants(spark, sf_small):
         clean.prepare(raw_trips(spark, sf_small)),
         clean.fare_bin_medians(clean.prepare(raw_trips(spark, sf_small))))))).first()
     assert row["max_dist"] <= stats["p99_distance"]
+
+
+def _fact_rows(spark, out):
+    return sorted(map(str, read_warehouse(spark, out)["fact_trips"].collect()))
+
+
+def test_a_load_that_fails_its_check_leaves_the_former_rows(spark, monkeypatch):
+    """Rows lost on the way stop the job before readers see anything of the load."""
+    from tripstar.plans import etl
+    jan, feb = _two_months(spark)
+    out = scratch_path(spark, "publish")
+    run_etl(spark, jan, out, load_month=202401)
+    run_etl(spark, feb, out, load_month=202402)
+    before, names = _fact_rows(spark, out), sorted(list_names(spark, out))
+    whole = etl.star.fact_trips
+    monkeypatch.setattr(etl.star, "fact_trips", lambda *a, **k: whole(*a, **k).limit(1))
+    with pytest.raises(etl.LoadFailed):
+        run_etl(spark, jan.union(feb), out, load_month=202401)
+    assert _fact_rows(spark, out) == before
+    assert sorted(list_names(spark, out)) == names  # no half-written folder is left
+    monkeypatch.undo()
+    run_etl(spark, jan.union(feb), out, load_month=202401)
+    assert len(_fact_rows(spark, out)) > len(before)
+
+
+def test_folders_are_back_when_a_rename_fails(spark, tmp_path):
+    new, place = tmp_path / "new", tmp_path / "place"
+    for folder, text in ((new / "a", "new"), (place / "a", "old"), (place / "b", "old")):
+        folder.mkdir(parents=True)
+        (folder / "x").write_text(text)
+    with pytest.raises(OSError):
+        swap_in(spark, [(str(new / "a"), str(place / "a")), (str(new / "missing"), str(place / "b"))], str(tmp_path / "aside"))
+    assert [(place / n / "x").read_text() for n in "ab"] == ["old", "old"] and (new / "a" / "x").read_text() == "new"
+
+
+def test_a_load_reads_no_fact_row_of_other_loads(spark, tmp_path):
+    """With the other load's fact files unreadable, a load still gives the
+    dimensions and the validation of both."""
+    jan, feb = _two_months(spark)
+    out = str(tmp_path / "warehouse")
+    run_etl(spark, jan, out, load_month=202401)
+    for f in _files(f"{out}/fact_trips/load_month=202401"):
+        f.write_bytes(b"not parquet")
+    result = run_etl(spark, feb, out, load_month=202402)
+    got = {(r["table_name"], r["key_column"]): r["row_count"] for r in result.validation.collect()}
+    assert got["fact_trips", "datetime_key"] == 6 and got["raw", None] == 3
+    # a load written without a summary is summarised from its fact
+    again = str(tmp_path / "older")
+    run_etl(spark, jan, again, load_month=202401)
+    remove_tree(spark, f"{again}/_fact_summary")
+    result = run_etl(spark, feb, again, load_month=202402)
+    assert {r["row_count"] for r in result.validation.collect() if r["table_name"] == "fact_trips"} == {6}
+
+
+def test_etl_leaves_no_scratch_folder_and_scans_once(spark, sf_small):
+    from tripstar.session import work_dir
+    from tripstar.sources.tables import raw_trips
+    out = scratch_path(spark, "etl")
+    before = set(list_names(spark, f"{work_dir(spark)}/tripstar"))
+    run_etl(spark, raw_trips(spark, sf_small), out)
+    assert set(list_names(spark, f"{work_dir(spark)}/tripstar")) - before == {out.rsplit("/", 1)[1]}
+    assert not [n for n in list_names(spark, out) if n.startswith("_new")]
+
+
+def test_statistics_from_counted_values_equal_those_of_the_rows(spark, sf_small):
+    from tripstar.sources.tables import raw_trips
+    staged = staged_table(clean.prepare(raw_trips(spark, sf_small)), "staged")
+    values = staged_table(clean.value_counts(staged), "values")
+    medians = staged_table(clean.medians_of_values(values), "medians")
+    plain = clean.fare_bin_medians(staged)
+    assert sorted(map(str, medians.collect())) == sorted(map(str, plain.collect()))
+    rows = clean.global_stats(clean.clean_tip(clean.clean_passengers(clean.clean_fare(staged, plain)))).first()
+    assert clean.stats_of_values(values, medians).first() == rows

@@ -11,20 +11,18 @@ Semantics
 
 Plan
 ----
-1. unpivot the measured columns to ``(_col, _v)`` and pre-aggregate
-   ``count(*)`` per ``(keys, _col, _v)``.  Partial (map-side) aggregation
-   collapses repeated values before the shuffle, so a group that holds a
-   third of all rows shrinks to its distinct values.
-2. the distinct values are range-partitioned on ``(keys, _col, _v)`` into
-   even slices.  A window per slice gives the running count inside the
-   slice; a small table with one row per (group, slice) gives the count of
-   all earlier slices of the same group and the group total.  No task holds
-   a whole group: a hot group with many distinct values is spread over many
-   slices, and every window sees one row per distinct value, not per input
-   row.  The sliced values are checkpointed once (slice bounds come from a
-   sample), so the per-slice table and the windows see the same slices.
-3. one aggregate per ``keys`` picks, for each requested quantile, the
-   smallest value whose running count reaches the target rank.
+1. unpivot the measured columns to ``(_col, _v)`` and pre-aggregate the rows (or
+   the weights) per ``(keys, _col, _v)``.  Partial (map-side) aggregation
+   collapses repeated values before the shuffle, so a group that holds a third
+   of all rows shrinks to its distinct values.
+2. the distinct values are counted into *cells*: ranges of nearly equal
+   logarithm, in the order of the values.  A running sum over the cells of a
+   group, which no group has many of, tells which cell holds each wanted rank.
+3. only the values of those cells are ranked: a window per cell, over distinct
+   values, not rows.  No task sorts a group, no range bounds are sampled and
+   nothing is checkpointed: both uses of the distinct values read the same
+   exchange.
+4. one aggregate per ``keys`` picks the smallest value that reaches each rank.
 
 Unlike ``percentile_approx`` the answer is exact at any scale, and unlike the
 exact built-ins (``percentile``, ``median``) no per-group hash map of all
@@ -39,8 +37,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripstar.session import work_dir
-
 
 @dataclass(frozen=True)
 class Quantile:
@@ -55,16 +51,30 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+CELLS = 4096  # cells between a value and e times that value
+
+
+def _cell(v: Column, cells: int) -> Column:
+    """An integer that never falls as ``v`` grows (-inf and numbers up to +inf,
+    then NaN).  ``ln`` is semi-monotonic, so rounding cannot change the order."""
+    size = F.floor((F.ln(F.abs(v)) + F.lit(750.0)) * F.lit(float(cells)))
+    ends = F.lit(float(1 << 40))
+    number = F.when(v == 0, F.lit(0.0)).when(v > 0, size.cast("double")).otherwise(-size.cast("double"))
+    return (F.when(F.isnan(v), ends * 2).when(v == F.lit(float("inf")), ends).when(v == F.lit(float("-inf")), -ends)
+             .otherwise(number))
+
+
 def exact_quantiles(df: DataFrame, specs: Sequence[Quantile], by: Sequence[str] = (),
-                    slices: int | None = None) -> DataFrame:
+                    slices: int | None = None, weight: str | None = None) -> DataFrame:
     """Return one row per group of ``by`` (one row if empty) with a column
-    per spec.  Groups with no non-null value get NULL.
+    per spec.  Groups with no non-null value get NULL or no row.
 
-    ``slices`` (default: ``spark.sql.shuffle.partitions``) is the number of
-    value ranges the distinct values are split into; see the module notes.
+    ``slices`` (default ``CELLS``) is the number of cells between a value and e
+    times that value; it changes the work, not the result.  ``weight`` names a
+    column that says how many rows a row stands for.
     """
     by = list(by)
-    # The same source expression measured at several q is sorted only once.
+    # The same source expression measured at several q is ranked only once.
     sources: dict[str, Column] = {}
     source_of: dict[str, str] = {}
     for spec in specs:
@@ -80,59 +90,58 @@ def exact_quantiles(df: DataFrame, specs: Sequence[Quantile], by: Sequence[str]
         F.struct(F.lit(tags[key]).alias("_col"), expr.cast("double").alias("_v"))
         for key, expr in sources.items()
     ])
-    long = (df.select(group.alias("_g"), F.explode(entries).alias("_e"))
-              .select("_g", "_e._col", "_e._v")
+    rows = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    long = (df.select(group.alias("_g"), rows.alias("_w"), F.explode(entries).alias("_e"))
+              .select("_g", "_w", "_e._col", "_e._v")
               .where(F.col("_v").isNotNull()))
-    counts = long.groupBy("_g", "_col", "_v").agg(F.count(F.lit(1)).alias("_c"))
-
-    # Running counts without putting a whole group into one task: the
-    # distinct values are range-partitioned into even slices, each slice is
-    # ranked on its own, and a small table (one row per group and slice)
-    # gives the count of every slice's predecessors.
-    n_slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (counts.repartitionByRange(n_slices, "_g", "_col", "_v")
-                    .withColumn("_s", F.spark_partition_id()))
-    # The slice bounds come from a sample, and two executions of the range
-    # shuffle could sample differently; both uses below must see the same
-    # slices, so the sliced distinct values are checkpointed once to the
-    # shared checkpoint folder (this also cuts the lineage).
-    work_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
-    per_slice = ranged.groupBy("_g", "_col", "_s").agg(F.sum("_c").alias("_sc"))
-    grp = Window.partitionBy("_g", "_col")
-    offsets = per_slice.select(
-        "_g", "_col", "_s",
-        F.coalesce(F.sum("_sc").over(grp.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0).cast("long")).alias("_before"),
-        F.sum("_sc").over(grp).alias("_n"))
-    inside = Window.partitionBy("_g", "_col", "_s").orderBy("_v") \
-                   .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # The window leaves the slice rows hash-partitioned on (_g, _col, _s),
-    # the join key, so only the small offsets table moves for this join.
-    ranked = ranged.withColumn("_in", F.sum("_c").over(inside)) \
-        .join(offsets, on=["_g", "_col", "_s"], how="inner") \
-        .withColumn("_cum", F.col("_before") + F.col("_in"))
+    counts = (long.groupBy("_g", "_col", "_v").agg(F.sum("_w").alias("_c"))
+                  .withColumn("_cell", _cell(F.col("_v"), slices or CELLS)))
 
-    aggs = []
+    # The ranks that are wanted.
+    n = F.col("_n").cast("double")
+    wanted: list[tuple[str, str, Column]] = []  # (key, tag, rank)
     for spec in specs:
-        tag = F.col("_col") == F.lit(source_of[spec.name])
-        n = F.col("_n").cast("double")
         q = F.lit(float(spec.q))
         if spec.method == "disc":
-            rank = F.greatest(F.lit(1).cast("long"), F.ceil(q * n))
-            aggs.append(F.min(F.when(tag & (F.col("_cum") >= rank), F.col("_v"))).alias(spec.name))
+            wanted.append((f"{spec.name}:d", source_of[spec.name], F.greatest(F.lit(1).cast("long"), F.ceil(q * n))))
         elif spec.method == "cont":
-            h = (n - F.lit(1.0)) * q
-            lo_rank = F.floor(h) + 1
-            hi_rank = F.least(lo_rank + 1, F.col("_n"))
-            frac = h - F.floor(h)
-            lo = F.min(F.when(tag & (F.col("_cum") >= lo_rank), F.col("_v")))
-            hi = F.min(F.when(tag & (F.col("_cum") >= hi_rank), F.col("_v")))
-            fr = F.max(F.when(tag, frac))
-            aggs.append((lo + (hi - lo) * fr).alias(spec.name))
+            low = F.floor((n - F.lit(1.0)) * q) + 1
+            wanted.append((f"{spec.name}:l", source_of[spec.name], low))
+            wanted.append((f"{spec.name}:h", source_of[spec.name], F.least(low + 1, F.col("_n"))))
         else:
             raise ValueError(f"unknown quantile method {spec.method!r}")
 
+    # The cells that hold them, and the ranks inside the cell.
+    grp = Window.partitionBy("_g", "_col")
+    cells = counts.groupBy("_g", "_col", "_cell").agg(F.sum("_c").alias("_cc")).select(
+        "_g", "_col", "_cell", "_cc", F.sum("_cc").over(grp).alias("_n"),
+        (F.sum("_cc").over(grp.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_cc")).alias("_before"))
+
+    def inside(tag: str, rank: Column) -> Column:
+        at = rank.cast("long") - F.col("_before")
+        return F.when((F.col("_col") == tag) & (at > 0) & (at <= F.col("_cc")), at)
+
+    cells = cells.select("_g", "_col", "_cell", "_n", F.struct(
+        *[inside(tag, rank).alias(f"r{i}") for i, (_, tag, rank) in enumerate(wanted)]).alias("_r"))
+    cells = cells.where(F.coalesce(*[F.col(f"_r.r{i}") for i in range(len(wanted))]).isNotNull())
+
+    order = Window.partitionBy("_g", "_col", "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.join(cells, ["_g", "_col", "_cell"]).withColumn("_cum", F.sum("_c").over(order))
+    place = {key: i for i, (key, _, _) in enumerate(wanted)}
+
+    def value(key: str) -> Column:
+        return F.min(F.when(F.col("_cum") >= F.col(f"_r.r{place[key]}"), F.col("_v")))
+
+    aggs = []
+    for spec in specs:
+        if spec.method == "disc":
+            aggs.append(value(f"{spec.name}:d").alias(spec.name))
+        else:
+            h = (n - F.lit(1.0)) * F.lit(float(spec.q))
+            part = F.max(F.when(F.col("_col") == source_of[spec.name], h - F.floor(h)))
+            low, high = value(f"{spec.name}:l"), value(f"{spec.name}:h")
+            aggs.append((low + (high - low) * part).alias(spec.name))
+
     out = ranked.groupBy("_g").agg(*aggs)
     if by:
         return out.select(*[F.col(f"_g.{b}").alias(b) for b in by], *[s.name for s in specs])

@@ -51,9 +51,11 @@ TABLE_KEYS = {
 
 def dim_datetime(cleaned: DataFrame, keys: str = "stable") -> DataFrame:
     """One row per pickup hour present in the data (NULL pickup dropped)."""
-    hours = (cleaned.select(F.date_trunc("hour", "pickup_ts").alias("_h"))
-                    .where(F.col("_h").isNotNull())
-                    .distinct())
+    return dim_of_hours(cleaned.select(F.date_trunc("hour", "pickup_ts").alias("_h")).where(F.col("_h").isNotNull()).distinct(), keys)
+
+
+def dim_of_hours(hours: DataFrame, keys: str = "stable") -> DataFrame:
+    """D2 from the distinct hours ``(_h)``."""
     dim = hours.select(
         F.to_date("_h").alias("pickup_date"),
         F.year("_h").alias("pickup_year"),
@@ -85,10 +87,11 @@ def dim_trip_category(cleaned: DataFrame) -> DataFrame:
                    .withColumn("trip_category_desc", trip_category_desc(F.col("distance_bucket"))))
 
 
-def fact_trips(cleaned: DataFrame, dim_dt: DataFrame) -> DataFrame:
-    """One row per cleaned trip with its hour key (NULL pickup -> NULL key)."""
+def fact_trips(cleaned: DataFrame, dim_dt: DataFrame, written: bool = False) -> DataFrame:
+    """One row per cleaned trip with its hour key (NULL pickup -> NULL key).
+    ``written``: the dimension is a written table already."""
     keys = dim_dt.select("pickup_date", "pickup_hour", "datetime_key")
-    joined = lookup_join(cleaned, keys, on=["pickup_date", "pickup_hour"], how="left")
+    joined = lookup_join(cleaned, keys, on=["pickup_date", "pickup_hour"], how="left", written=written)
     return joined.select(*FACT_COLUMNS)
 
 
@@ -176,6 +179,11 @@ def check_load(raw: DataFrame, staged: DataFrame, fact: DataFrame, copies: str)
     counts = {"raw": one(raw, F.count(F.lit(1))), "copies": one(staged, F.sum(copies)),
               "distinct": one(staged, F.count(F.lit(1))), "fact": one(fact, F.count(F.lit(1)))}
     row = raw.sparkSession.range(1).select(*[df.scalar().alias(name) for name, df in counts.items()])
+    return load_checks(row)
+
+
+def load_checks(row: DataFrame) -> DataFrame:
+    """The checks of a load from its counts ``(raw, copies, distinct, fact)``."""
     checks = F.array(*[F.struct(F.lit(name).alias("check"), F.col(a).alias("observed"), F.col(b).alias("expected"),
                                 F.when(F.col(a) == F.col(b), "pass").otherwise("fail").alias("severity"))
                        for name, a, b in (("raw rows are all counted by the dedupe", "copies", "raw"),

@@ -14,31 +14,35 @@ Passes over the data
 --------------------
 1. dedupe (T1) + timestamps, duration, distance bin (T2-T4), written once as
    a staged Parquet table in the shared work folder.  This is the only
-   full-width shuffle; every later pass is a pruned scan of the staged rows,
-   and the staged table cuts the lineage (a lost executor re-reads files
-   instead of recomputing the dedupe).
-2. ``dim_datetime``: distinct pickup hours from the staged rows, written,
-   then read back so the fact join uses exactly the written keys.
-3. bin medians (two narrow columns) -> small lookup, size-checked broadcast.
-4. global statistics (p99 + four medians) -> a one-row scalar subquery.
-5. the fact table; the statistics subquery runs once, inside this job.
-6. one grouped pass over the written fact (all loads) gives
-   ``dim_payment``, ``dim_trip_category`` and the fact's validation.
-7. validation reads the written tables back (row counts, NULL keys), and
-   :func:`tripstar.operators.star.check_load` ties raw, distinct and fact rows
-   of this load together.
+   full-width shuffle and the only scan of the raw rows; the raw, copy and
+   distinct counts are observed while it runs.  The staged table cuts the lineage
+   (a lost executor re-reads files instead of recomputing the dedupe).
+2. one scan of the staged rows counts the values that all statistics and the date
+   dimension follow from (:func:`tripstar.operators.clean.value_counts`).
+3. a second scan of the staged rows writes the fact; the medians are a small
+   written lookup, the global statistics a scalar subquery.
+4. one scan of the new fact gives its summary, from which the load check, the two
+   small dimensions and the fact's validation follow.  The summary is kept beside
+   the fact, so a later load folds it in and reads no fact row of this one.
+
+Publishing
+----------
+A load is written to a fresh folder, checked there, and put in place by renames
+(:func:`tripstar.sources.files.swap_in`).  Until then, and for good if a check
+fails, readers find the former rows.  Other loads are never touched.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripstar.operators import clean, star
-from tripstar.session import scratch_path, staged_table
-from tripstar.sources.files import list_names, remove_tree
+from tripstar.session import scratch_path
+from tripstar.sources.files import exists, list_names, remove_tree, swap_in
 from tripstar.sources.sinks import write_json, write_table
 from tripstar.sources.tables import RAW_COLUMNS
 
@@ -46,6 +50,7 @@ TABLES = ("dim_datetime", "dim_payment", "dim_trip_category", "fact_trips")
 STAGED_COLUMNS = (*RAW_COLUMNS, "pickup_ts", "dropoff_ts", "trip_duration_minutes", "distance_bin",
                   clean.COPIES)
 LOAD = "load_month"
+SUMMARY = "_fact_summary"
 VALIDATION_SCHEMA = "table_name string, row_count long, key_column string, null_count long"
 CHECK_SCHEMA = "check string, observed long, expected long, severity string"
 
@@ -91,46 +96,94 @@ def run_etl(spark: SparkSession, raw: DataFrame, out_dir: str, keys: str = "stab
     if keys == "parity" and set(loads(spark, out_dir)) - {load_month}:
         raise ValueError(f"{out_dir} holds other loads: parity keys start at 1 in each load and would "
                          "mix their hours; use stable keys")
-    staged_path = scratch_path(spark, "trips-prepared")
+    scratch, new = scratch_path(spark, "etl"), f"{out_dir}/_new-{uuid.uuid4().hex[:12]}"
     try:
-        return _run(spark, raw, out_dir, keys, accuracy, validate, load_month, staged_path)
+        return _run(spark, raw, out_dir, keys, accuracy, validate, int(load_month), scratch, new)
     finally:
-        remove_tree(spark, staged_path)
+        remove_tree(spark, scratch)
+        remove_tree(spark, new)
 
 
-def _run(spark, raw, out_dir, keys, accuracy, validate, load_month, staged_path) -> EtlResult:
-    prepared = clean.prepare(raw, keep_copies=True)
+def _stage(spark: SparkSession, raw: DataFrame, path: str) -> tuple[DataFrame, dict[str, int]]:
+    """The deduplicated rows, written, and the counts observed on the way."""
+    seen, kept = Observation("raw"), Observation("distinct")
+    prepared = clean.prepare(raw.observe(seen, F.count(F.lit(1)).alias("raw")), keep_copies=True)
     # Dedupe compares every raw column; later steps only read the named ones,
     # so the unnamed raw columns are not staged.
-    keep = [c for c in prepared.columns if c in STAGED_COLUMNS]
-    write_table(prepared.select(*keep), staged_path)
-    staged = spark.read.parquet(staged_path)
-
-    def load_path(table: str) -> str:
-        return f"{out_dir}/{table}/{LOAD}={int(load_month)}"
-
-    write_table(star.dim_datetime(staged, keys), load_path("dim_datetime"), star.PARTITION_COLUMNS, overwrite="static")
-    dim_dt = spark.read.parquet(load_path("dim_datetime"))
-
-    cleaned = clean.finish(staged, accuracy)
-    write_table(star.fact_trips(cleaned, dim_dt), load_path("fact_trips"), star.PARTITION_COLUMNS, overwrite="static")
-    # The two small dimensions and the fact's validation follow from one
-    # grouped pass over two columns and the key, instead of three scans.
-    summary = staged_table(star.fact_summary(spark.read.parquet(f"{out_dir}/fact_trips")), "fact-summary")
-    write_table(star.dim_payment(summary), f"{out_dir}/dim_payment")
-    write_table(star.dim_trip_category(summary), f"{out_dir}/dim_trip_category")
-
-    # Everything below is written too, so nothing reads the staged rows later.
-    check = star.check_load(raw, staged, spark.read.parquet(load_path("fact_trips")), clean.COPIES).collect()
-    check = spark.createDataFrame(check, CHECK_SCHEMA)
-    write_json(check, f"{out_dir}/_load_check/{LOAD}={int(load_month)}")
+    prepared = prepared.select(*[c for c in prepared.columns if c in STAGED_COLUMNS])
+    write_table(prepared.observe(kept, F.count(F.lit(1)).alias("distinct"),
+                                 F.coalesce(F.sum(clean.COPIES), F.lit(0)).alias("copies")), path)
+    counts = {k: int(v) for k, v in {**seen.get, **kept.get}.items()}
+    if counts["raw"] != counts["copies"]:
+        # a task that ran twice (lost executor) is observed twice: count again
+        again = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("d"), F.coalesce(F.sum(clean.COPIES), F.lit(0)).alias("c")).first()
+        counts = {"raw": raw.count(), "distinct": int(again["d"]), "copies": int(again["c"])}
+    return spark.read.parquet(path), counts
+
+
+def _summaries(spark: SparkSession, out_dir: str, load_month: int) -> DataFrame | None:
+    """The fact summaries of the other loads.  A load that was written without one
+    is summarised from its fact, once."""
+    found = None
+    for month in loads(spark, out_dir):
+        path = f"{out_dir}/{SUMMARY}/{LOAD}={month}"
+        if month != load_month:
+            if not exists(spark, path):
+                write_table(star.fact_summary(spark.read.parquet(f"{out_dir}/fact_trips/{LOAD}={month}")), path)
+            one = spark.read.parquet(path)
+            found = one if found is None else found.unionByName(one)
+    return found
+
+
+def _run(spark, raw, out_dir, keys, accuracy, validate, load_month, scratch, new) -> EtlResult:
+    staged, counts = _stage(spark, raw, f"{scratch}/trips")
+
+    def put(df: DataFrame, path: str, *partition_cols: str) -> DataFrame:
+        return spark.read.parquet(write_table(df, path, partition_cols, overwrite="static"))
+
+    values = put(clean.value_counts(staged), f"{scratch}/values")
+    dim_dt = put(star.dim_of_hours(clean.pickup_hours(values), keys), f"{new}/dim_datetime", *star.PARTITION_COLUMNS)
+    if accuracy is None:
+        medians = put(clean.medians_of_values(values), f"{scratch}/medians")
+        stats = put(clean.stats_of_values(values, medians), f"{scratch}/stats")
+    else:
+        medians, stats = put(clean.fare_bin_medians(staged, accuracy), f"{scratch}/medians"), None
+    cleaned = clean.finish(staged, accuracy, medians, stats)
+    fact = put(star.fact_trips(cleaned, dim_dt, written=True), f"{new}/fact_trips", *star.PARTITION_COLUMNS)
+    own = put(star.fact_summary(fact), f"{new}/{SUMMARY}")
+
+    counts["fact"] = int(own.agg(F.coalesce(F.sum("trips"), F.lit(0))).first()[0])
+    names = ("raw", "copies", "distinct", "fact")
+    row = spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} long" for n in names))
+    check = spark.createDataFrame(star.load_checks(row).collect(), CHECK_SCHEMA)
+    write_json(check, f"{out_dir}/_load_check/{LOAD}={load_month}")
     failed = [r.asDict() for r in check.where("severity = 'fail'").collect()]
     if failed:
         raise LoadFailed(f"load {load_month}: {failed}")
+
+    others = _summaries(spark, out_dir, load_month)
+    summary = own if others is None else own.unionByName(others)
+    dims = {"dim_payment": star.dim_payment(summary), "dim_trip_category": star.dim_trip_category(summary)}
+    written = {name: put(df.coalesce(1), f"{new}/{name}") for name, df in dims.items()}
+    # One row for each payment type and bucket of a load: a few, so they travel.
+    summary = spark.createDataFrame(summary.collect(), summary.schema)
+    tables = {**written, "dim_datetime": _all_hours(spark, out_dir, load_month, dim_dt)}
+    found = None
+    if validate:
+        raw_rows = spark.createDataFrame([(counts["copies"],)], "n long")
+        found = star.validate_star({**tables, "fact_trips": fact}, raw_rows=raw_rows, summary=summary).collect()
+    swap_in(spark, [(f"{new}/{name}", f"{out_dir}/{name}/{LOAD}={load_month}") for name in ("dim_datetime", "fact_trips", SUMMARY)]
+            + [(f"{new}/{name}", f"{out_dir}/{name}") for name in dims], f"{new}/replaced")
     validation = check
     if validate:
-        raw_rows = staged.agg(F.sum(clean.COPIES).alias("n"))
-        write_json(star.validate_star(read_warehouse(spark, out_dir), raw_rows=raw_rows, summary=summary),
-                   f"{out_dir}/_validation")
+        write_json(spark.createDataFrame(found, VALIDATION_SCHEMA), f"{out_dir}/_validation")
         validation = spark.read.schema(VALIDATION_SCHEMA).json(f"{out_dir}/_validation")
     return EtlResult(out_dir, validation, check)
+
+
+def _all_hours(spark: SparkSession, out_dir: str, load_month: int, own: DataFrame) -> DataFrame:
+    """The date dimension as readers will see it once the load is in place."""
+    both = own
+    for month in set(loads(spark, out_dir)) - {load_month}:
+        both = both.unionByName(spark.read.parquet(f"{out_dir}/dim_datetime/{LOAD}={month}"))
+    return both if both is own else both.distinct()

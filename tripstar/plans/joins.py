@@ -42,12 +42,13 @@ def fits_broadcast(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "left",
-                max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                max_bytes: int = DEFAULT_BROADCAST_BYTES, written: bool = False) -> DataFrame:
     """Join ``big`` to a lookup frame, broadcasting it only if it fits.
 
-    The lookup is written once in the shared folder when the join is built, and
-    counted there: the check and the join read the same rows, and nothing stays
-    persisted in executors."""
-    small = staged_table(small, "lookup")
+    The lookup is written once in the shared folder when the join is built (unless
+    it is ``written`` already), and counted there: the check and the join read the
+    same rows, and nothing stays persisted in executors."""
+    if not written:
+        small = staged_table(small, "lookup")
     keys = [on] if isinstance(on, str) else list(on)
     return big.join(F.broadcast(small) if fits_broadcast(small, max_bytes) else small, on=keys, how=how)
