@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from py4j.protocol import Py4JError
 
+from tripstar.session import staged_table
 from tripstar.sources.files import exists
 from tripstar.sources.sinks import write_table
 
@@ -144,16 +145,17 @@ def sample_n(df: DataFrame, n: int = SAMPLE_ROWS, seed: int = SAMPLE_SEED,
     distributed filter, and only those ~n are ordered to cut exactly n.
     """
     columns = df.columns
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    total = counted.agg(F.sum("_n")).first()[0] or 0
+    total = df.count()
     if total <= n:
         return df
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
     key = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in columns], F.col("_copy")), F.lit(2 ** 53)) / F.lit(float(2 ** 53))
     keyed = (counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
                     .withColumn("_key", key))
     frac = min(1.0, oversample * n / total + 10.0 / total)
     while True:
-        picked = keyed.where(F.col("_key") < F.lit(frac))
+        # written once: the grouping of all rows runs for this write only
+        picked = staged_table(keyed.where(F.col("_key") < F.lit(frac)).select(*columns, "_key"), "sample")
         if frac >= 1.0 or picked.count() >= n:
             break
         frac = min(1.0, frac * 1.5)
