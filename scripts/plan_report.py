@@ -81,11 +81,10 @@ def main() -> None:
     print(f"# Physical plans (executed, {os.path.basename(sf)})\n")
     print("Generated by `scripts/plan_report.py` from the final adaptive plans after one")
     print("run. One section per query: shuffles, join strategies, windows, and the")
-    print("columns each scan reads. Quantile steps read value slices, lookups and the")
+    print("columns each scan reads. Quantile steps read counted values, lookups and the")
     print("deduplicated rows that earlier jobs wrote. Counts include nested subquery plans.")
-    print("Sort-merge joins are on quantile slices `(_g, _col, _s)`: rows of distinct")
-    print("values, already partitioned on that key by the slice window. No plan contains a")
-    print("Cartesian product or a Python UDF.\n")
+    print("Joins on `(_g, _col, _cell)` meet distinct values with the cells that hold a")
+    print("wanted rank. No plan contains a Cartesian product or a Python UDF.\n")
     for name in KEYS:
         df = qs[name](spark, sf)
         df.collect()

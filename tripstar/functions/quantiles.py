@@ -60,8 +60,10 @@ def _cell(v: Column, cells: int) -> Column:
     size = F.floor((F.ln(F.abs(v)) + F.lit(750.0)) * F.lit(float(cells)))
     ends = F.lit(float(1 << 40))
     number = F.when(v == 0, F.lit(0.0)).when(v > 0, size.cast("double")).otherwise(-size.cast("double"))
-    return (F.when(F.isnan(v), ends * 2).when(v == F.lit(float("inf")), ends).when(v == F.lit(float("-inf")), -ends)
-             .otherwise(number))
+    cell = F.when(F.isnan(v), ends * 2).when(v == F.lit(float("inf")), ends).when(v == F.lit(float("-inf")), -ends).otherwise(number)
+    # never NULL, and said so: a NULL test on one use only would keep the two uses
+    # of the counted values from sharing their exchange
+    return F.coalesce(cell, F.lit(0.0))
 
 
 def exact_quantiles(df: DataFrame, specs: Sequence[Quantile], by: Sequence[str] = (),
