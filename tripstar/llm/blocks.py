@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstar.session import scratch_path
@@ -96,6 +96,13 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+def valid_text(col: str) -> Column:
+    """A text as valid UTF-8: bytes that are no character are read as U+FFFD, one for
+    each longest start of a character (as Python's ``replace`` does).  Python workers
+    cannot read a string with other bytes; operators on bytes need not call it."""
+    return F.make_valid_utf8(F.col(col).cast("string"))
+
+
 def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns an operator reads; whatever else the input has, and
     however it is named, never meets the operator's own columns."""
@@ -175,7 +182,8 @@ def whole_rows(block: Block, rest: bytes, text_at: int, keep: np.ndarray) -> pa.
     """The kept rows of a block with all their columns, in the input's order."""
     with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(rest)) as stream:
         table = stream.read_all()
-    text = pa.array([None if null else t.decode("utf-8") for t, null in zip(block.texts(), block.text_null)], pa.string())
+    text = pa.array([None if null else t for t, null in zip(block.texts(), block.text_null)], pa.binary())
+    text = text.cast(pa.string(), safe=False)  # the row's own bytes, also where they are not UTF-8
     return table.add_column(text_at, f"c{text_at}", text).filter(pa.array(keep))
 
 

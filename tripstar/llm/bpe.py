@@ -16,7 +16,7 @@
 Special tokens inside a text are taken as the tokenizer takes them: they end
 the words around them and have ids of their own.
 
-Defined results: null and empty texts have no tokens and decode to the empty
+Defined results: bytes that are not UTF-8 are read as U+FFFD; null and empty texts have no tokens and decode to the empty
 string; repeated rows each get a row; null ids stay null; an empty table gives
 an empty result; other columns are not read.  A task holds one scan split, its
 distinct words and their ids.
@@ -112,7 +112,7 @@ def _positions(table: pa.Table, specials) -> tuple[list, dict[str, int]]:
     for block in unpack(table):
         at = []
         for t in block.texts():
-            ws = words(t.decode("utf-8"), specials)
+            ws = words(t.decode("utf-8", "replace"), specials)
             at.append(np.fromiter((number.setdefault(w, len(number)) for w in ws), np.int32, len(ws)))
         blocks.append((block.id_list(), at))
     return blocks, number
@@ -159,7 +159,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
         distinct: set[str] = set()
         for block in unpack(table):
             for t in block.texts():
-                distinct.update(words(t.decode("utf-8"), vocabulary.specials))
+                distinct.update(words(t.decode("utf-8", "replace"), vocabulary.specials))
         rows = [(part, b, _pack_words(ws)) for b, ws in _by_bucket(distinct, n).items()]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 3, _ASK_ARROW)], schema=_ASK_ARROW)
 

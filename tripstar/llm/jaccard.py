@@ -21,7 +21,7 @@ reaches ``threshold`` percent; the result is the component of each document.
    the largest component are compared with all others, tile by tile, so no task
    holds more than two tiles and no pair of components is left out.
 
-Defined results: a document without words (null, empty or white space) has an
+Defined results: texts are bytes, valid UTF-8 or not, and kept as they are; a document without words (null, empty or white space) has an
 empty set and is its own component; fewer words than ``n`` give one shingle;
 repeated rows and exact copies are one class; rows with a null id take part,
 but a null id is never the smallest, and a component of null ids only has a

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripstar.llm.blocks import Block, iter_blocks, small_batches
+from tripstar.llm.blocks import Block, iter_blocks, small_batches, valid_text
 from tripstar.llm.components import written
 from tripstar.llm.kernels import mix, word_hashes, word_spans
 
@@ -229,7 +229,7 @@ class Model:
 def _select(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("binary").alias("_text"),
-                       F.col(lang_col).cast("string").alias("_lang"))
+                       valid_text(lang_col).alias("_lang"))
 
 
 def _blocks_with_lang(batches):
