@@ -145,3 +145,21 @@ def test_redact_keeps_rows_and_columns(spark):
     out = secrets.redact(df)
     assert out.columns == df.columns
     assert {r.doc_id: r.text for r in out.collect()} == {1: "key [access] end", 2: None, 3: "clean text"}
+
+
+@pytest.mark.parametrize("text", [r"\U00000070assword=abcdefg", r"\u{70}assword=abcdefg", "%u0070assword=abcdefg", r"\160assword=abcdefg",
+                                  "pass&#119;ord&equals;abcdefg", "pass&#x77;ord&colon; abcdefg"])
+def test_forms_of_escapes(text):
+    assert spans_of(f"an {text} here")[1] == [(3, 0, 3 + len(text))]
+
+
+def test_what_only_looks_like_an_escape():
+    for text in (r"C:\777 \U99999999 \u{fffffff} &nosuchname; AT&T", "&amp &;"):
+        assert spans_of(text)[1] == []
+
+
+def test_a_secret_in_one_line_of_base64_is_masked_alone():
+    body = b"ordinary words, " * 300 + b"password=hunter22 " + b"and more of them " * 30
+    text = f"a {b64(body)} b"
+    [(start, kind, end)] = spans_of(text)[1]
+    assert kind == 0 and (start - 2) % 4 == 0 and b"password=hunter22" in base64.b64decode(text[start:end]) and end - start <= 28

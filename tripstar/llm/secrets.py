@@ -1,7 +1,8 @@
-"""Op 3, secret scans: recursive decoding worklist.
+r"""Op 3, secret scans: recursive decoding worklist.
 
 Base patterns run over the whole text.  Then a worklist unwraps layers: percent
-escapes, Unicode and character escapes, base64 segments and compressed bytes.
+escapes, Unicode escapes (with ``\U``, ``\u{}``, ``%u`` and octal bytes), character
+references by number and name, base64 segments and compressed bytes.
 Every new layer is scanned with the same patterns and is itself unwrapped, until
 no layer is new; a layer that was seen before is not opened again, so cycles
 end.  Each character of a layer carries the root span it came from, so a match
@@ -9,13 +10,15 @@ in any layer is reported as a span of the original text.
 
 No layer is thrown away.  All patterns are ASCII, so bytes are read as Latin-1,
 which gives every byte a character, and runs of UTF-16 and UTF-32 are read
-besides.  Base64 that is wrapped over lines is joined; a match in it is reported
-from the first to the last line that holds a part of it.  Compressed bytes are
+besides.  A match in base64 is reported as the groups of four characters that hold
+it (in base64 of compressed bytes, all of it), or, where base64 is wrapped over lines and joined, from the first to the last
+line that holds a part of it.  Compressed bytes are
 inflated with all their members and what follows them.  What inflates to more
 than ``WINDOW`` bytes is scanned as a stream of windows that share ``OVERLAP``
 bytes, so memory stays bounded; the time is that of all the bytes inside.
 
-Defined results: a null or empty text has no spans; a repeated row is scanned
+Defined results: a null or empty text has no spans; bytes that are not UTF-8 are read
+as U+FFFD (:func:`redact` keeps them where it masks nothing); a repeated row is scanned
 like any other; an empty table gives an empty result; other columns are not
 read by :func:`scan` and are passed on unchanged by :func:`redact`.
 """
@@ -33,12 +36,13 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate, chain, groupby
 
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstar.llm.blocks import small_batches
+from tripstar.llm.blocks import small_batches, valid_text
 
 # The three kinds of secrets, in the order they are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -54,8 +58,10 @@ WINDOW, OVERLAP = 64 << 20, 16 << 20
 _PIECE, _STEP = 4 << 10, 1 << 20  # bytes given to a decompressor, and taken from it, at once
 
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
-_UNIT = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
+# code units in hexadecimal (two escapes can be one character), octal bytes, character references
+_UNIT = re.compile(r"(?:\\u|%u)([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|\\([0-7]{3})")
+_ESCAPE = re.compile(rf"(?:{_UNIT.pattern})+"
+                     r"|&(?:#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6})|[A-Za-z][A-Za-z0-9]{1,31});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 _EOL = r"[ \t]*+(?:\r\n?|\n|(?:\\r)?\\n)[ \t]*+"
@@ -213,6 +219,17 @@ class _Lines:
         return self.spans[first][0], self.spans[last][1]
 
 
+class _Groups:
+    """For each byte of base64 on one line, the span of its group of four characters."""
+
+    def __init__(self, layer: _Layer, start: int, end: int):
+        self.layer, self.start, self.end = layer, start, end
+
+    def __getitem__(self, i: int) -> tuple[int, int]:
+        at = self.start + i // 3 * 4
+        return self.layer.span(at, min(at + 4, self.end))
+
+
 def _in_place(layer: _Layer, pattern: re.Pattern, decode) -> _Layer | None:
     """The layer with every segment that decodes replaced, or None."""
     text, spans, last, changed = [], [], 0, False
@@ -252,13 +269,13 @@ def _escape(run: str):
         return [(c, 0, len(run))] if c != run else None
     out = []
     for m in _UNIT.finditer(run):
-        code = int(m[1] or m[2], 16)
+        code = int(m[5], 8) if m[5] else int(m[1] or m[2] or m[3] or m[4], 16)
         if out and 0xDC00 <= code < 0xE000 and isinstance(out[-1][0], int) and 0xD800 <= out[-1][0] < 0xDC00:
             high, s, _ = out.pop()
             out.append((0x10000 + ((high - 0xD800) << 10) + code - 0xDC00, s, m.end()))
         else:
             out.append((code, m.start(), m.end()))
-    return [("�" if 0xD800 <= c < 0xE000 else chr(c), s, e) for c, s, e in out]
+    return [("�" if 0xD800 <= c < 0xE000 or c > 0x10FFFF else chr(c), s, e) for c, s, e in out]
 
 
 def _base64(body: str) -> bytes:
@@ -311,8 +328,9 @@ def _segments(layer: _Layer) -> Iterator[_Layer]:
             yield _Layer(text, at, place=place) if same else _Layer(text, whole=place)
     for m in _BASE64.finditer(layer.text):
         data, whole = _base64(m[0].rstrip("=")), layer.span(m.start(), m.end())
-        for text, _ in () if known(m.start(), data) else _open(data):
-            yield _Layer(text, whole=whole)
+        at = None if layer.whole or _decompressor(data) else _Groups(layer, m.start(), m.end())
+        for text, same in () if known(m.start(), data) else _open(data):
+            yield _Layer(text, at, place=whole) if same and at else _Layer(text, whole=whole)
     for pattern, strip in ((_PERCENT, "%"), (_BYTES, "\\x")):
         if strip in layer.text:
             for m in pattern.finditer(layer.text):
@@ -325,7 +343,7 @@ def _children(layer: _Layer) -> Iterator[_Layer]:
     yield from _segments(layer)
     if "%" in layer.text and (x := _in_place(layer, _PERCENT, _percent)):
         yield x
-    if ("\\" in layer.text or "&#" in layer.text) and (x := _in_place(layer, _ESCAPE, _escape)):
+    if any(x in layer.text for x in ("\\", "&", "%u")) and (x := _in_place(layer, _ESCAPE, _escape)):
         yield x
 
 
@@ -385,7 +403,7 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("n_assign", pa.int64()), ("n_access
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: base counts, digest of the base spans, all spans."""
     small_batches(df.sparkSession)
-    return (df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return (df.select(F.col(id_col).cast("long").alias("doc_id"), valid_text(text_col).alias("text"))
               .mapInArrow(_scan, SCHEMA))
 
 
@@ -401,11 +419,13 @@ def mask(text: str, spans) -> str:
 
 
 def redact(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """All rows and columns, with the secrets of ``text_col`` masked."""
+    """All rows and columns, with the secrets of ``text_col`` masked.  A text without
+    secrets keeps its bytes as they are."""
     small_batches(df.sparkSession)
 
     @F.pandas_udf("string")
     def masked(texts):
-        return texts.map(lambda t: t if t is None else mask(t, spans_of(t)[1]))
+        spans = (None if t is None else spans_of(t)[1] for t in texts)
+        return pd.Series([mask(t, s) if s else None for t, s in zip(texts, spans)], dtype=object)
 
-    return df.withColumn(text_col, masked(F.col(text_col)))
+    return df.withColumn(text_col, F.coalesce(masked(valid_text(text_col)), F.col(text_col).cast("string")))
