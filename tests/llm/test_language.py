@@ -1,3 +1,6 @@
+import math
+from collections import Counter, defaultdict
+
 from tripstar.llm import language
 
 SCHEMA = "page_id long, url string, html string"
@@ -78,3 +81,85 @@ def test_languages_are_counted_and_others_told(spark):
     assert [got[i].lang for i in (2000, 2001, 2002)] == ["other", "other", "it"]
     field = language.identify(spark.createDataFrame(known + more, SCHEMA)).schema["posterior"]
     assert field.metadata["languages"] == ["de", "en", "es", "fr", "it", "other"] and len(got[2002].posterior) == 6
+
+
+SCRIPTS = {"ru": "это все как его только мне было вот меня еще нет ему теперь когда", "uk": "це все як його тільки мені було від мене ще ні йому тепер коли що",
+           "el": "και το να του η της με που την από για δεν είναι στο", "ar": "في من على أن إلى هذا التي الذي كان عن هذه مع بعد",
+           "zh": "我们 他们 这个 没有 什么 现在 知道 可以 自己 时候 因为 所以", "hi": "के है में की से का को हैं पर यह और ने नहीं"}
+
+
+def test_scripts_differ(spark):
+    rows, k = [], 0
+    for lang, words in SCRIPTS.items():
+        w = words.split()
+        for i in range(25):
+            text = " ".join(w[(i * j + 3 * j) % len(w)] for j in range(12))
+            rows.append((k, f"http://a.com/{k}", f'<html lang="{lang}"><p>{text}</p>'))
+            k += 1
+    odd = {lang: 1000 + i for i, lang in enumerate(SCRIPTS)}
+    rows += [(i, f"http://host{i}.net/", f"<p>{' '.join(SCRIPTS[lang].split()[::-1])}</p>") for lang, i in odd.items()]
+    got = {r.page_id: r for r in run(spark, pages() + rows).values()}
+    assert {lang: got[i].lang for lang, i in odd.items()} == {lang: lang for lang in SCRIPTS}
+
+
+def brute(rows):
+    """The posterior of every page from the formulas of the docstring, with plain dictionaries."""
+    cells = language.N_SYMBOLS ** 3
+    seen = []
+    for i, url, page in rows:
+        host = url.split("//")[1].split("/")[0].lower()
+        codes = language.trigrams(language._text(page or "")).tolist()
+        seen.append((i, host, host.rsplit(".", 1)[-1], language.declared_code(page or ""), codes))
+    pages_of = Counter(s[3] for s in seen if s[3])
+    names = [*language.LANGUAGES, *sorted(x for x, n in pages_of.items() if n >= language.MIN_PAGES and x not in (*language.LANGUAGES, "other")), "other"]
+    counts = {x: Counter() for x in names}
+    for *_, code, codes in seen:
+        if code:
+            counts[code if code in names else "other"].update(codes)
+
+    def log_p(x, t):
+        n, total, kinds = counts[x][t], sum(counts[x].values()), len(counts[x])
+        if x == "other":
+            return math.log((n / total + 1 / cells) / 2 if total else 1 / cells)
+        return math.log((n + kinds / cells) / (total + kinds) if total else language.UNTRAINED / cells)
+
+    def soft(scores):
+        w = [math.exp(s - max(scores)) for s in scores]
+        return [x / sum(w) for x in w]
+
+    text = []
+    for *_, codes in seen:
+        kept = Counter(c for c in codes if c > 0)
+        text.append([language.TEMPER * sum(n * log_p(x, t) for t, n in kept.items()) for x in names])
+    shares = [soft(t) for t in text]
+    said = [language.NONE if s[3] is None else s[3] if s[3] in names else "other" for s in seen]
+    sums = defaultdict(lambda: [0.0] * len(names))
+    for s, d, r in zip(seen, said, shares):
+        for key in ("all", ("suffix", s[2]), ("host", s[1]), ("said", d)):
+            sums[key] = [a + b for a, b in zip(sums[key], r)]
+    out = {}
+    for s, d, r, t in zip(seen, said, shares, text):
+        every, suffix, host, says = ([max(a - b, 0) for a, b in zip(sums[key], r)] for key in ("all", ("suffix", s[2]), ("host", s[1]), ("said", d)))
+        score = []
+        for k, x in enumerate(names):
+            p = (every[k] + 1) / (sum(every) + len(names))
+            p = (suffix[k] + language.SUFFIX_WEIGHT * p) / (sum(suffix) + language.SUFFIX_WEIGHT)
+            p = (host[k] + language.HOST_WEIGHT * p) / (sum(host) + language.HOST_WEIGHT)
+            own = language.SAYS_OWN if x == d else language.SAYS_OTHER
+            markup = (says[k] + own) / (every[k] + language.SAYS_OWN + language.SAYS_OTHER * len(names))
+            score.append(t[k] + math.log(markup) + math.log(p))
+        out[s[0]] = soft(score)
+    return names, out
+
+
+def test_posterior_against_brute_force(spark):
+    short = [(5000 + i, u, h[:h.index("<p>") + 16 + i % 9]) for i, u, h in pages()[::4]]
+    odd = [(900, "http://de.example.org/x", '<html lang="en"><p>der die</p>'), (901, "http://fr.example.com/y", "<p></p>"),
+           (902, "http://other.net/", '<html lang="es"></html>'), (903, "http://b.org/", "<p>так</p>"), (904, "http://b.org/2", '<html lang="pl"><p>nie jest</p>')]
+    rows = pages()[:70] + short + odd
+    names, want = brute(rows)
+    got = run(spark, rows)
+    assert len(got) == len(rows)
+    for (i, _), r in got.items():
+        assert max(abs(a - b) for a, b in zip(r.posterior, want[i])) < 1e-3, (i, list(r.posterior), want[i])
+        assert r.lang == names[max(range(len(names)), key=lambda k: r.posterior[k])]

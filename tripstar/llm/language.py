@@ -4,7 +4,8 @@ The languages are ``LANGUAGES`` and every ISO 639 code that ``MIN_PAGES`` pages
 or more declare, in order, and at last "other": any other language.  For every
 page and language ``l`` three kinds of evidence are added as log probabilities:
 
-* text: character trigrams of the page's text under a model of ``l``, counted
+* text: character trigrams (letters of all scripts, in lower case) of the page's text
+  under a model of ``l``, counted
   over all pages by their declared language (weak labels), scaled by ``TEMPER``
   because neighbouring trigrams are not independent; "other" is counted on the
   pages that declare any other code, and takes all trigrams alike besides;
@@ -24,7 +25,7 @@ markup table, at most (languages + 2) ** 2 cells; two and three letters bound th
 languages.  ``posterior`` has the languages in that order; the column's metadata
 names them.
 
-Defined results: a page without text is judged by markup and address alone;
+Defined results: bytes that are not UTF-8 are read as U+FFFD; a page without text is judged by markup and address alone;
 null html, null or unreadable URLs (host "" and suffix "") and unknown declared
 languages ("other"; "none" if nothing is declared) are values like others;
 repeated rows get equal rows, ties go to the first language in order; an empty
@@ -34,6 +35,7 @@ table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -50,7 +52,8 @@ TEMPER = 0.2
 HOST_WEIGHT = 5.0    # pages that the suffix prior counts for in a host's prior
 SUFFIX_WEIGHT = 20.0
 SAYS_OWN, SAYS_OTHER = 8.0, 0.5  # prior counts of declarations
-N_SYMBOLS = 64
+N_SYMBOLS = 96
+LATIN = 63  # numbers below stand for separators and Latin letters
 
 OTHER, NONE = "other", "none"
 NO_LANGUAGE = frozenset(("und", "mul", "mis", "zxx"))  # codes that name no single language
@@ -67,26 +70,37 @@ _CODE = re.compile(r"\s*([a-zA-Z]+)")
 
 
 def _alphabet() -> np.ndarray:
-    """0 for anything that separates words, then letters in lower case; letters
-    past Latin-1 and those that share a number only blur the model."""
-    table = np.zeros(0x250, dtype=np.int64)
-    for c in range(0x250):
-        low = chr(c).lower()
-        if low.isalpha() and len(low) == 1:
+    """For each code point 0 where it separates words, else its letter in lower case:
+    the Latin ones up to U+024F, then those of all other scripts, mixed over the
+    numbers that are left.  Letters that share a number only blur the model: a text is
+    told by its trigrams."""
+    table = np.zeros(0x20000, dtype=np.int64)
+    for c in range(len(table)):
+        x = chr(c)
+        if c >= 0x250 and unicodedata.category(x)[0] in "LM":  # with the vowel signs
+            low = x.lower()
+            table[c] = LATIN + _mixed(ord(low) if len(low) == 1 else c)
+        elif c < 0x250 and x.isalpha() and len(low := x.lower()) == 1:
             o = ord(low)
             table[c] = 1 + o - 97 if 97 <= o < 123 else 27 + (o - 0xDF) % 36
     return table
 
 
+def _mixed(point):
+    """A number below ``N_SYMBOLS - LATIN`` for a code point of another script."""
+    return (point * 0x9E3779B1 >> 15) % (N_SYMBOLS - LATIN)
+
+
 _FOLD = _alphabet()
 
 
 def trigrams(text: str) -> np.ndarray:
     """Codes of the trigrams of a text, words parted by one separator."""
-    points = np.frombuffer(f" {text} ".encode("utf-32-le", "replace"), np.uint32)
-    sym = np.where(points < 0x250, _FOLD[np.minimum(points, 0x24F)], 63)
+    points = np.frombuffer(f" {text} ".encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
+    known = points < len(_FOLD)
+    sym = np.where(known, _FOLD[np.where(known, points, 0)], LATIN + _mixed(points))
     sym = sym[np.concatenate([[True], (sym[1:] != 0) | (sym[:-1] != 0)])]
-    return (sym[:-2] << 12) + (sym[1:-1] << 6) + sym[2:]
+    return (sym[:-2] * N_SYMBOLS + sym[1:-1]) * N_SYMBOLS + sym[2:]
 
 
 def _declarations(page: str) -> Iterator[tuple[str, str]]:
@@ -164,7 +178,7 @@ def train(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
                 if lang is None:
                     continue
                 if lang not in held:
-                    if len(held) == 16:
+                    if len(held) == 8:
                         yield from rows(held)
                         held = {}
                     held[lang] = np.zeros(cells + 1, np.int64)
