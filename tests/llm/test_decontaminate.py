@@ -82,6 +82,32 @@ def test_rows_nulls_and_blocks(spark, monkeypatch):
     assert kept.count() == sum(r.n_items == 0 for r in out)
 
 
+def test_one_block_is_broadcast_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(d, "BLOCK_ITEM_BYTES", 40)
+    items = [(i, f"test item number {i} of the benchmark") for i in range(3)]
+    live, most, real = set(), [0], spark.sparkContext.broadcast
+
+    def counted(value):
+        out = real(value)
+        live.add(id(out))
+        most[0] = max(most[0], len(live))
+        destroy = out.destroy
+        out.destroy = lambda *a: (live.discard(id(out)), destroy(*a))
+        return out
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", counted)
+    docs = frame(spark, [(i, f"so test item number {i} of the benchmark is here") for i in range(5)])
+    table = spark.createDataFrame(items, ITEMS)
+    one = d.Matcher(items)
+    want = {i: [q for q, _, _ in one.find(d.normalise(f"so test item number {i} of the benchmark is here"))] for i in range(5)}
+    assert want[0] == [0, 1, 2]  # one edit apart
+    assert {r.doc_id: sorted(r["items"]) for r in d.matches(docs, table).collect()} == want
+    assert most[0] == 1 and len(live) == 1
+    live.clear()
+    assert {r.doc_id for r in d.drop_contaminated(docs, table).collect()} == {i for i in range(5) if not want[i]}
+    assert most[0] == 1
+
+
 def test_empty_tables(spark):
     no_docs, no_items = spark.createDataFrame([], SCHEMA), spark.createDataFrame([], ITEMS)
     docs = frame(spark, [(1, "text")])

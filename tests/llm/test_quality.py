@@ -68,3 +68,15 @@ def test_held_out_accuracy(spark):
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     got = quality.score(docs, quality.train(docs, labels)).join(labels, "doc_id").where("held_out").collect()
     assert sum(r.predicted == r.quality for r in got) >= 0.95 * len(got)
+
+
+def test_an_id_in_a_third_of_all_rows_is_learned_from_once(spark, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(quality, "fit", lambda x, y, **k: fitted.append((x, y)))
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)] + [(1, f"copy {i}") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(1, 1)] * 5, "doc_id long, quality int")
+    quality.train(docs.repartition(3), labels)
+    quality.train(docs.repartition(5), labels)
+    (x, y), (x2, y2) = fitted
+    assert len(y) == labels.where(~quality.held_out("doc_id")).select("doc_id").distinct().count()
+    assert (x == x2).all() and (y == y2).all()

@@ -13,9 +13,13 @@ windows of an item are merged, and Myers' bit-parallel algorithm decides the
 window exactly (one machine operation on an item-wide bit vector per byte).
 
 The documents are only scanned, never shuffled.  Test items are a query set
-run against all rows in blocks of ``BLOCK_ITEM_BYTES`` bytes of item text: one
-broadcast automaton per block, so the size of what is broadcast is bounded
-however large the benchmark table is.
+run against all rows in blocks of ``BLOCK_ITEM_BYTES`` bytes of item text, one pass
+for each: only one block is broadcast at a time and a task builds one matcher, so
+memory is bounded however large the benchmark table is.  (A benchmark of one block,
+the usual case, is one pass without a write.)
+
+Texts and items are bytes, valid UTF-8 or not.  Items match anywhere, also inside a
+longer word.
 
 Defined results: null or empty items (no words) match nothing; a null or empty
 document matches nothing; repeated items are reported per item id and repeated
@@ -33,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripstar.llm.blocks import small_batches
+from tripstar.llm.components import written
 
 ERROR_RATE = 0.05
 BLOCK_ITEM_BYTES = 4 << 20
@@ -100,7 +105,7 @@ def bit_masks(item: bytes) -> dict[int, int]:
 class Matcher:
     """Items ready for matching; small enough to broadcast (one block)."""
 
-    def __init__(self, items: list[tuple[int | None, str]]):
+    def __init__(self, items: list[tuple[int | None, str | bytes]]):
         self.items = [(i, n, budget(len(n)), bit_masks(n)) for i, t in items if (n := normalise(t))]
         where: dict[str, list[tuple[int, int, int]]] = {}
         for q, (_, n, _, _) in enumerate(self.items):
@@ -156,36 +161,46 @@ def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text
     """The items in blocks of bounded size: they stream through the driver one
     partition at a time, and only one block is held."""
     block, size = [], 0
-    rows = items.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).where("t is not null")
+    rows = items.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("binary").alias("t")).where("t is not null")
     for row in rows.toLocalIterator():
-        n = len(row.t.encode("utf-8"))
+        n = len(row.t)
         if block and size + n > BLOCK_ITEM_BYTES:
             yield block
             block, size = [], 0
-        block.append((row.i, row.t))
+        block.append((row.i, bytes(row.t)))
         size += n
     if block:
         yield block
 
 
-_HITS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_items", T.LongType()),
-                      T.StructField("items", T.ArrayType(T.LongType())), T.StructField("distances", T.ArrayType(T.LongType())),
-                      T.StructField("ends", T.ArrayType(T.LongType()))])
-_HITS_ARROW = pa.schema([("doc_id", pa.int64()), ("n_items", pa.int64()), ("items", pa.list_(pa.int64())),
-                         ("distances", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))])
+_HITS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("t", T.BinaryType()),
+                      *[T.StructField(c, T.ArrayType(T.LongType())) for c in ("items", "distances", "ends")]])
+_HITS_ARROW = pa.schema([("doc_id", pa.int64()), ("t", pa.binary()), *[(c, pa.list_(pa.int64())) for c in ("items", "distances", "ends")]])
 
 
 class _Task:
-    """Matchers are built once per task from the broadcast items."""
+    """One block's matcher, built once per task from the broadcast items."""
 
-    def __init__(self, blocks):
-        self.blocks, self.matchers = blocks, None
+    def __init__(self, block):
+        self.block, self.matcher = block, None
 
     def find(self, raw) -> list[tuple[int | None, int, int]]:
-        if self.matchers is None:
-            self.matchers = [Matcher(b.value) for b in self.blocks]
-        text = normalise(raw)
-        return [x for m in self.matchers for x in m.find(text)]
+        if self.matcher is None:
+            self.matcher = Matcher(self.block.value)
+        return self.matcher.find(normalise(raw))
+
+
+def _passes(rows: DataFrame, items: DataFrame, item_id_col: str, item_text_col: str, one) -> DataFrame:
+    """``one(rows, block)`` for block after block.  With several blocks each pass but
+    the last is written, and its broadcast destroyed before the next is made."""
+    sc, held = rows.sparkSession.sparkContext, None
+    for block in item_blocks(items, item_id_col, item_text_col):
+        if held is not None:
+            rows = written(rows, "item-pass")
+            held.destroy()
+        held = sc.broadcast(block)
+        rows = one(rows, held)
+    return rows
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -193,31 +208,37 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     """One row per document: the items found in it, their distances and the
     ends of the matches in the normalised text."""
     small_batches(docs.sparkSession)
-    sc = docs.sparkSession.sparkContext
-    blocks = [sc.broadcast(b) for b in item_blocks(items, item_id_col, item_text_col)]
 
-    def run(batches):
-        task = _Task(blocks)
-        for batch in batches:
-            hits = [task.find(t.as_py()) for t in batch.column(1)]
-            columns = [[[h[j] for h in hs] for hs in hits] for j in range(3)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(h) for h in hits], pa.int64()),
-                 *[pa.array(c, pa.list_(pa.int64())) for c in columns]], schema=_HITS_ARROW)
+    def one(rows, block):
+        def run(batches):
+            task = _Task(block)
+            for batch in batches:
+                hits = [task.find(t.as_py()) for t in batch.column(1)]
+                found = [[b + [h[j] for h in hs] for b, hs in zip(batch.column(2 + j).to_pylist(), hits)] for j in range(3)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], *[pa.array(c, pa.list_(pa.int64())) for c in found]],
+                                                 schema=_HITS_ARROW)
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("t"))
-                .mapInArrow(run, _HITS))
+        return rows.mapInArrow(run, _HITS)
+
+    none = F.array().cast("array<bigint>")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("t"),
+                       *[none.alias(c) for c in ("items", "distances", "ends")])
+    found = _passes(rows, items, item_id_col, item_text_col, one)
+    return found.select("doc_id", F.size("items").cast("long").alias("n_items"), "items", "distances", "ends")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
                       item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows in which no item was found, all columns kept."""
     small_batches(docs.sparkSession)
-    sc = docs.sparkSession.sparkContext
-    task = _Task([sc.broadcast(b) for b in item_blocks(items, item_id_col, item_text_col)])
 
-    @F.pandas_udf("boolean")
-    def clean(texts):
-        return texts.map(lambda t: not task.find(t)).astype(bool)
+    def one(rows, block):
+        task = _Task(block)
+
+        @F.pandas_udf("boolean")
+        def clean(texts):
+            return texts.map(lambda t: not task.find(t)).astype(bool)
+
+        return rows.where(clean(F.col(text_col).cast("binary")))
 
-    return docs.where(clean(F.col(text_col)))
+    return _passes(docs, items, item_id_col, item_text_col, one)

@@ -9,7 +9,7 @@ numbers).  The fitted trees are flattened into arrays (feature, threshold,
 children, value), which have a size bound of ``trees x 2**(depth+1)`` nodes, and
 every task walks all its rows through them level by level with numpy.
 
-Defined results: a null or empty text has the statistics of an empty text and
+Defined results: texts are bytes, valid UTF-8 or not; a null or empty text has the statistics of an empty text and
 is scored like any other; rows without labels are scored; repeated rows get the
 same score; labels with a null id or a null label are not learned from; without
 labels of both kinds the score is the share of good labels (0.5 if there are
@@ -217,9 +217,10 @@ def training_rows(labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS, id_col: str
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS,
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Trees:
-    """Fit on the sampled labelled documents.  The sample's ids are broadcast
-    (at most about ``max_rows`` pairs) and its statistics collected (``max_rows
-    x len(FEATURES)`` floats); nothing else goes through the driver."""
+    """Fit on the sampled labelled documents, one row for each sampled id however
+    often it is repeated (the smallest statistics).  The sample's ids are broadcast
+    (at most about ``max_rows`` pairs) and its statistics collected (``max_rows x
+    len(FEATURES)`` floats); nothing else goes through the driver."""
     sample = training_rows(labels, max_rows, id_col, label_col)
     rows = id_text(docs, id_col, text_col).join(F.broadcast(sample), "_id").select("_id", "_text", "_label")
 
@@ -234,7 +235,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS,
                      pa.array(list(features(block)), pa.list_(pa.float32()))], names=["id", "label", "x"])
                 at += n
 
-    got = rows.mapInArrow(stats, "id long, label int, x array<float>").toArrow()
+    got = (rows.mapInArrow(stats, "id long, label int, x array<float>")
+               .groupBy("id").agg(F.min(F.struct("label", "x")).alias("one")).select("id", "one.label", "one.x").toArrow())
     order = np.argsort(got.column("id").to_numpy(), kind="stable")
     y = got.column("label").to_numpy()[order].astype(float)
     flat = got.column("x").combine_chunks()
@@ -267,7 +269,7 @@ def keep_good(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFram
 
     @F.pandas_udf("boolean")
     def good(texts):
-        raw = [None if t is None else t.encode("utf-8") for t in texts]
+        raw = list(texts)
         out, at = np.zeros(len(raw), dtype=bool), 0
         while at < len(raw):
             size, to = 0, at
@@ -278,4 +280,4 @@ def keep_good(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFram
             at = to
         return pd.Series(out)
 
-    return docs.where(good(F.col(text_col)))
+    return docs.where(good(F.col(text_col).cast("binary")))
