@@ -1,13 +1,15 @@
+import random
 import re
 from collections import Counter, defaultdict
 from math import log
 
+import duckdb
 import numpy as np
 import pytest
 
 from tests.llm.fixtures import documents, mixed_rows, needs_data
 from tripstar.llm import perplexity
-from tripstar.llm.perplexity import Model, codes, kneser_ney
+from tripstar.llm.perplexity import grams
 
 SCHEMA = "doc_id long, text string, lang string"
 
@@ -23,12 +25,12 @@ def brute_rules(text):
     return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), sum(mark))
 
 
-def brute_kneser_ney(sequences, order=4, symbols=32):
-    """log p(sequence of codes) by the textbook recursion over dictionaries."""
+def brute_kneser_ney(sequences, order=4):
+    """p(n-gram) by the textbook recursion over dictionaries."""
     counts = {order: Counter()}
     for s in sequences:
         for k in range(len(s) - order + 1):
-            counts[order][tuple(s[k:k + order])] += 1
+            counts[order][s[k:k + order]] += 1
     for n in range(order - 1, 0, -1):
         counts[n] = Counter(g[1:] for g in counts[n + 1])
     tables = {}
@@ -46,7 +48,7 @@ def brute_kneser_ney(sequences, order=4, symbols=32):
     def p(g):
         n = len(g)
         if not n:
-            return 1 / symbols
+            return 1 / (len(counts[1]) + 1) if sequences else 1 / perplexity.NO_MODEL
         d, total, back = tables[n]
         if not total[g[:-1]]:
             return p(g[1:])
@@ -56,27 +58,58 @@ def brute_kneser_ney(sequences, order=4, symbols=32):
     return p
 
 
-def test_kneser_ney_matches_the_textbook_recursion():
+def brute_scores(rows):
+    """log-perplexity of rows (id, text, lang, fold), text by text."""
+    of_lang = Counter(lang or "" for _, _, lang, _ in rows)
+    models, out = {}, {}
+    for i, text, lang, fold in rows:
+        mine = lang or ""
+        group = (mine if of_lang[mine] >= perplexity.MIN_DOCS else None, fold)
+        if group not in models:
+            models[group] = brute_kneser_ney([perplexity.START * 3 + (t or "") for _, t, la, f in rows
+                                              if f != fold and group[0] in (None, la or "")])
+        s = perplexity.START * 3 + (text or "")
+        cost = [-log(models[group](s[k:k + 4])) for k in range(len(s) - 3)]
+        parts = []
+        for k in range(0, len(cost), perplexity.STRETCH):
+            parts.append((sum(cost[k:k + perplexity.STRETCH]), sum(map(str.isalnum, text[k:k + perplexity.STRETCH]))))
+        parts.sort(key=lambda x: -x[0] / max(x[1], 1))
+        parts = parts[int(perplexity.QUOTED * len(parts)):]
+        out[i] = sum(c for c, _ in parts) / max(sum(n for _, n in parts), 1)
+    return out
+
+
+def test_log_perplexity_matches_the_textbook_recursion(spark):
     rng = np.random.default_rng(0)
-    texts = ["".join(rng.choice(list("abcde  "), rng.integers(1, 60))) for _ in range(40)]
-    code, off = codes(texts)
-    seen, count = np.unique(code, return_counts=True)
-    keys, values = [], []
-    for n, (c, q, ctx, back) in enumerate(kneser_ney(seen, count), start=1):
-        keys += [perplexity._key(1, n, c), perplexity._key(1, n + 16, ctx)]
-        values += [q, back]
-    model = Model(np.concatenate(keys), np.concatenate(values).astype(np.float32))
-    fold = lambda c: 1 if c == " " else 2 + ord(c) - 97
-    p = brute_kneser_ney([[0, 0, 0, *map(fold, t)] for t in texts])
-    for t in ["abc", "e", "zebra", "a b  c", "qq"]:
-        s = [0, 0, 0, *map(fold, t)]
-        want = -sum(log(p(tuple(s[k:k + 4]))) for k in range(len(t))) / len(t)
-        assert model.per_char(1, [t])[0] == pytest.approx(want, rel=1e-5)
-
-
-def test_codes_do_not_cross_texts():
-    a, off = codes(["ab", "", "ab"])
-    assert off.tolist() == [0, 2, 2, 4] and a[:2].tolist() == a[2:].tolist()
+
+    def text(letters, top):
+        return "".join(rng.choice(list(letters), rng.integers(0, top)))
+
+    rows = ([(i, text("abcdeÄ. ", 700), "xx") for i in range(40)] + [(100 + i, text("абвгд\n ", 500), "ru") for i in range(25)]
+            + [(200 + i, text("语言模型", 90), None) for i in range(5)] + [(300 + i, "the same text 1, 2, 3", "copies") for i in range(22)]
+            + [(400, "𝒳\0é\uffff!", "xx"), (401, "", "xx"), (402, None, "ru"), (403, "...", "one")])
+    df = spark.createDataFrame(rows, SCHEMA)
+    fold = {r.doc_id: r.f for r in df.selectExpr("doc_id", "pmod(xxhash64(cast(text AS binary)), 2) AS f").collect()}
+    want = brute_scores([(*r, fold[r[0]]) for r in rows])
+    got = {r.doc_id: r.log_perplexity for r in perplexity.judge(df.repartition(3)).collect()}
+    assert got.keys() == want.keys()
+    for i, x in got.items():
+        assert x == pytest.approx(want[i], rel=1e-4, abs=1e-6), i
+
+
+def test_no_model_sees_the_text_it_scores(spark):
+    """A text's score does not change with the number of its copies."""
+    texts = [f"{w} words of a language {k} that has no end" * 3 for k, w in enumerate("one two three four five six seven".split() * 6)]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    once, often = ({r.doc_id: r.log_perplexity for r in perplexity.judge(spark.createDataFrame(x, SCHEMA)).collect()}
+                   for x in (rows, rows + [(1000 + k, texts[0], "en") for k in range(50)]))
+    assert often[0] == pytest.approx(once[0], rel=1e-9) and often[1000] == often[0]
+
+
+def test_grams_do_not_cross_texts():
+    h, _, _, off = grams(["ab", "", "ab"])
+    assert off.tolist() == [0, 2, 2, 4] and h[:2].tolist() == h[2:].tolist()
+    assert grams([])[0].tolist() == [] and grams([""])[3].tolist() == [0, 0]
 
 
 def test_rules_match_brute_force(spark):
@@ -94,14 +127,32 @@ def test_rules_match_brute_force(spark):
 
 @needs_data
 def test_verdict_keeps_clean_rejects_noise(spark):
+    """Wrong labels, shuffled letters, noise and texts of another script go; clean
+    texts stay.  What is put in are one in twenty of the rows."""
     rows = documents("/root/testdata/sf0.01", "doc_id, text, lang")
-    odd = [(10**6 + k, " ".join("xq#zz%vv*" + str(j) for j in range(k, k + 200)), "en") for k in range(3)]
+    pick, odd = random.Random(5), []
+    for k, (_, text, lang) in enumerate(pick.sample([r for r in rows if len(r[1]) > 300], 48)):
+        letters = list(text)
+        pick.shuffle(letters)
+        noise = "".join(pick.choices("xqzvwk#%  ", k=len(text)))
+        script = "".join(pick.choices("абвгдежзиклмнопрст  ", k=len(text)))
+        wrong = pick.choice([x for x in ("de", "en", "es", "fr") if x != lang])
+        odd.append([(10**6 + k, text, wrong), (2 * 10**6 + k, "".join(letters), lang), (3 * 10**6 + k, noise, lang), (4 * 10**6 + k, script, lang)][k % 4])
     got = {r.doc_id: r for r in perplexity.judge(spark.createDataFrame(rows + odd, SCHEMA).repartition(4)).collect()}
-    assert not any(got[i].kept for i, _, _ in odd)
-    plain = [r for r in got.values() if not r.base_failed]
-    assert sum(r.kept for r in plain) > 0.85 * len(plain)
+    put = [got[i] for i, _, _ in odd if not got[i].base_failed]
+    assert sum(r.kept for r in put) <= 0.1 * len(put) and len(put) > 36
+    good = {i for i, in duckdb.sql("SELECT doc_id FROM '/root/testdata/sf0.01/labels.parquet' WHERE quality = 1").fetchall()}
+    clean = [r for i, r in got.items() if i in good and not r.base_failed]
+    assert sum(r.kept for r in clean) >= 0.95 * len(clean) and len(clean) > 100
     assert not any(r.kept for r in got.values() if r.base_failed)
 
 
+def test_small_languages_share_a_band(spark):
+    rows = [(i, f"plain words number {i} that are written by one hand in many ways " * 3 + str(i * 7919), "en") for i in range(60)]
+    rows += [(100, rows[3][1][5:] + " plain", "xx"), (101, rows[4][1][9:] + " words", None), (102, "qzxv" * 60 + " q" * 30, "xx")]
+    got = {r.doc_id: r for r in perplexity.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[100].log_perplexity < got[102].log_perplexity and not got[102].kept
+
+
 def test_empty_table(spark):
     assert perplexity.judge(spark.createDataFrame([], SCHEMA)).count() == 0

@@ -1,270 +1,255 @@
 """Op 4, quality rules: n-gram perplexity bands beside plain text rules.
 
 Counting rules (words, symbols, repeated lines and windows) are computed over
-the whole text.  The language model is a modified Kneser-Ney model of character
-4-grams per language:
-
-1. Scan tasks count the 4-grams of all texts by language; Spark sums the counts.
-2. One task per language turns the counts of all documents into probabilities.
-   Text is folded to ``N_SYMBOLS`` symbols, so a language has at most
-   ``N_SYMBOLS ** 4`` 4-grams (about one million), however large the corpus.
-   That bounds the group and the model.
-3. The model is a pair of sorted arrays: 64-bit n-gram hashes and their values.
-   It is broadcast (at most 12 bytes for each of the bounded n-grams).  Tasks
-   look up the distinct n-grams of a block by binary search.
-4. The bands of a language are its median log-perplexity plus and minus
-   ``UPPER`` and ``LOWER`` times the median absolute deviation, from a histogram
-   over all documents that pass the plain rules.  The mean over few characters
-   varies more, so below ``BAND_CHARS`` characters the bands widen with the
-   square root of the length.  A stretch in another language counts with the
-   model that expects it most, so a quotation does not make a text noise.
-
-Languages outside ``LANGUAGES`` (and null) share one model, "other".
+the whole text.  The language model is a modified Kneser-Ney model of
+``ORDER``-grams of code points as they are written (case, accents, digits and
+every script kept), one for each value of the language column:
+
+1. Texts are staged in parts.  A task counts the n-grams of a part by language
+   and fold; Spark sums the counts.  What is gathered grows with the corpus: no
+   alphabet is fixed and no n-gram is left out.
+2. Continuation counts, counts of counts, context totals and back-off weights are
+   grouped aggregates, a level at a time, and the recursion from level to level is
+   a join on (model, fold, n-gram).  No task trains a language, and no model passes
+   through the driver.
+3. A text has one of two folds, by a hash of its bytes, and is scored by the counts
+   of the other fold: neither it nor its copies train the model that scores it.
+4. The model is asked for the distinct n-grams of each part, as 64-bit hashes; the
+   answers, sorted hash arrays of that part, meet its texts in a co-group.
+5. A text's log-perplexity is its negative log probability for each letter or digit
+   of it: runs of predictable marks add to the cost and not to the length.
+6. The bands of a language are its median log-perplexity plus and minus ``UPPER``
+   and ``LOWER`` times the median absolute deviation, from a histogram over all
+   documents that pass the plain rules.  The mean over few characters varies more,
+   so below ``BAND_CHARS`` characters the bands widen with the square root of the
+   length.
+7. Only the language's own model scores a text.  A quotation in another language
+   is no noise: of a text's stretches of ``STRETCH`` characters, the share
+   ``QUOTED`` that the model expects least is not counted.
+
+A language (null counts as the empty string) with fewer than ``MIN_DOCS``
+documents is scored by the model of all documents, and has the band of all.
 
 Defined results: a null or empty text has no words and fails the plain rules;
-repeated rows get equal rows; a language with fewer than ``MIN_BAND_DOCS``
-documents has no bands (its documents are kept); an empty table gives an empty
-result; other columns are not read.  Repeated windows are told apart by 64-bit
-hashes.
+repeated rows get equal rows; an n-gram that the other fold never has backs off
+down to a uniform choice among its letters and one more; an empty table gives an
+empty result; other columns are not read.  Code point U+FFFF in a text counts as
+the mark before a text's start.  Repeated windows and n-grams are told apart by
+64-bit hashes.
 """
 
 from __future__ import annotations
 
-import unicodedata
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripstar.llm.blocks import Block, iter_blocks, small_batches, valid_text
+from tripstar.llm.blocks import PART_SCHEMA, Block, _pack, block_order, give_back, small_batches, unpack, valid_text, write_bucketed
 from tripstar.llm.components import written
 from tripstar.llm.kernels import mix, word_hashes, word_spans
+from tripstar.plans.joins import fits_broadcast, lookup_join
 
-LANGUAGES = ("de", "en", "es", "fr")
-OTHER = "other"
 ORDER = 4
-N_SYMBOLS = 32
+START = "\uffff"
+EVERY = "*"             # the model of all languages; the others begin with "="
 MIN_WORDS = 20          # fixed rule
 MAX_REPEAT = 30         # percent, fixed rule
 WINDOW = 8              # words
-LOWER, UPPER = 6.0, 6.0
+LOWER, UPPER = 4.0, 4.0
 BAND_CHARS = 1500
 STRETCH = 100
-MIN_BAND_DOCS = 20
+QUOTED = 0.3
+MIN_DOCS = 20
+NO_MODEL = 1 << 16      # choices where a fold has no text to learn from
 _STEP = 1000            # histogram cells per unit of log-perplexity
 
 _SYMBOL = np.zeros(256, dtype=np.int64)
 _SYMBOL[list(b"#*$%&|<>")] = 1
+_TURN = np.random.Generator(np.random.PCG64(20240404)).integers(0, 2**63, ORDER, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
 
+# n-grams of texts ------------------------------------------------------------
 
-def _alphabet() -> np.ndarray:
-    """Symbol of each code point below 0x250: 0 start, 1 space, 2-27 letters
-    (without case and accents), 28 other letters, 29 digits, 30 punctuation,
-    31 anything else (and all higher code points but letters)."""
-    table = np.full(0x250, 31, dtype=np.uint8)
-    for c in range(1, 0x250):
-        char = chr(c)
-        base = unicodedata.normalize("NFD", char)[0].lower()
-        if char.isspace():
-            table[c] = 1
-        elif "a" <= base <= "z":
-            table[c] = 2 + ord(base) - 97
-        elif char.isalpha():
-            table[c] = 28
-        elif char.isdigit():
-            table[c] = 29
-        elif char in ".,;:!?'\"()-":
-            table[c] = 30
-    table[0] = 0
-    return table
-
-
-_FOLD = _alphabet()
-
-
-def codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The 4-gram code that ends at each character, and text offsets."""
-    pad = "\0" * (ORDER - 1)
+def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, place, points, offsets): for each character of the texts, a hash of the
+    n-gram that ends there and where it starts in ``points``; text offsets."""
+    pad = START * (ORDER - 1)
     points = np.frombuffer((pad + pad.join(texts)).encode("utf-32-le", "replace"), np.uint32)
-    sym = _FOLD[np.minimum(points, 0x24F)]
-    high = points >= 0x250
-    if high.any():
-        sym[high] = 28
-    sym = sym.astype(np.int32)
-    code = sym[ORDER - 1:].copy()
-    for j in range(1, ORDER):
-        code += sym[ORDER - 1 - j:len(sym) - j] << 5 * j
+    n = len(points) - ORDER + 1
     lens = np.array([len(t) for t in texts], dtype=np.int64)
     begin = np.cumsum(lens + ORDER - 1) - lens - (ORDER - 1)
-    keep = np.ones(len(code), dtype=bool)
+    keep = np.ones(n, dtype=bool)
     for j in range(ORDER - 1):
         ends = begin + lens + j
-        keep[ends[ends < len(code)]] = False
-    return code[keep], np.concatenate([[0], np.cumsum(lens)])
+        keep[ends[ends < n]] = False
+    place = np.flatnonzero(keep)
+    h = np.zeros(n, np.uint64)
+    for j in range(ORDER):
+        h += points[j:j + n].astype(np.uint64) * _TURN[j]
+    return mix(h[place]), place, points, np.concatenate([[0], np.cumsum(lens)])
+
+
+def _keys(h: np.ndarray, lang: str, fold: int) -> np.ndarray:
+    return mix(h + np.uint64(xxhash.xxh64_intdigest(f"{fold}{lang}")))
+
+
+def _groups(table: pa.Table):
+    """Blocks of a part, in order, with their texts and the rows of each (lang, fold)."""
+    for k, block in zip(block_order(table), unpack(table)):
+        with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(table.column("rest")[k].as_py())) as stream:
+            rest = stream.read_all()
+        rows: dict[tuple[str, int], list[int]] = {}
+        for i, group in enumerate(zip(rest.column(0).to_pylist(), rest.column(1).to_pylist())):
+            rows.setdefault(group, []).append(i)
+        yield block, [t.decode("utf-8", "replace") for t in block.texts()], rows
+
+
+_GRAMS = "part int, lang string, fold int, gram string, key long, n long"
+_GRAMS_ARROW = pa.schema([("part", pa.int32()), ("lang", pa.string()), ("fold", pa.int32()), ("gram", pa.string()),
+                          ("key", pa.int64()), ("n", pa.int64())])
+
+
+def _count_part(key, table):
+    give_back()
+    held: dict[tuple[str, int], list] = {}
+    for _, texts, groups in _groups(table):
+        for group, rows in groups.items():
+            h, place, points, _ = grams([texts[i] for i in rows])
+            if len(h):
+                u, first, n = np.unique(h, return_index=True, return_counts=True)
+                held.setdefault(group, []).append((u, np.lib.stride_tricks.sliding_window_view(points, ORDER)[place[first]], n))
+    out = []
+    for (lang, fold), found in held.items():
+        h, letters, n = (np.concatenate(x) for x in zip(*found))
+        u, first, at = np.unique(h, return_index=True, return_inverse=True)
+        flat = letters[first].tobytes().decode("utf-32-le")
+        out.append(pa.Table.from_arrays([
+            pa.array(np.full(len(u), key[0].as_py(), np.int32)), pa.array([lang] * len(u), pa.string()),
+            pa.array(np.full(len(u), fold, np.int32)), pa.array([flat[i:i + ORDER] for i in range(0, len(flat), ORDER)], pa.string()),
+            pa.array(_keys(u, lang, fold).view(np.int64)), pa.array(np.bincount(at, n).astype(np.int64))], schema=_GRAMS_ARROW))
+    return pa.concat_tables(out) if out else _GRAMS_ARROW.empty_table()
+
+
+def stage(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The texts in parts, each with its language and fold."""
+    small_batches(docs.sparkSession)
+    text = F.col(text_col).cast("binary")
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), text.alias("_text"), F.coalesce(valid_text(lang_col), F.lit("")).alias("_lang"),
+                       F.pmod(F.xxhash64(text), F.lit(2)).cast("int").alias("_fold"))
+    return write_bucketed(rows.mapInArrow(_pack, PART_SCHEMA), "perplexity_texts")
 
 
 # the model -------------------------------------------------------------------
 
-def _lang_id(lang: str | None) -> int:
-    return LANGUAGES.index(lang) if lang in LANGUAGES else len(LANGUAGES)
+_MODEL_KEY = ["model", "fold"]
 
 
-def _key(lang: int, order: int, code: np.ndarray) -> np.ndarray:
-    return mix(code.astype(np.uint64) | np.uint64(order << 32) | np.uint64(lang << 40))
+def _cut(first: int, letters: int, col: str = "gram") -> Column:
+    return F.substring(col, first, letters)
 
 
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """D(0), D(1), D(2), D(3+) from the counts of counts."""
-    n1, n2, n3, n4 = (float(max((counts == k).sum(), 1)) for k in (1, 2, 3, 4))
-    y = n1 / (n1 + 2 * n2)
-    d = np.array([0.0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3])
-    return np.clip(d, [0, 0.05, 0.05, 0.05], [0, 0.95, 1.95, 2.95])
+def language_models(docs: DataFrame, lang_col: str = "lang") -> DataFrame:
+    """(lang, model): a language's own model, or ``EVERY`` below ``MIN_DOCS`` documents."""
+    lang = F.coalesce(valid_text(lang_col), F.lit(""))
+    own = F.when(F.count(F.lit(1)) >= MIN_DOCS, F.concat(F.lit("="), F.first("lang"))).otherwise(F.lit(EVERY))
+    return written(docs.select(lang.alias("lang")).groupBy("lang").agg(own.alias("model")), "languages")
 
 
-def kneser_ney(code: np.ndarray, count: np.ndarray):
-    """Modified Kneser-Ney from the 4-gram counts of one language: for each
-    order (codes, log probabilities, contexts, log back-off weights)."""
-    levels = [(code, count)]
-    for order in range(ORDER - 1, 0, -1):  # continuation counts: distinct letters before
-        higher = levels[-1][0]
-        levels.append(np.unique(higher & ((1 << 5 * order) - 1), return_counts=True))
-    out = []
-    lower_codes, lower_p = np.zeros(1, np.int64), np.array([1.0 / N_SYMBOLS])
-    for order, (c, n) in zip(range(1, ORDER + 1), reversed(levels)):
-        sort = np.argsort(c)
-        c, n = c[sort], n[sort].astype(float)
-        d = _discounts(n)[np.minimum(n, 3).astype(int)]
-        context, at = np.unique(c >> 5, return_inverse=True)
-        total = np.bincount(at, n)
-        back = np.bincount(at, d) / total
-        suffix = c & ((1 << 5 * (order - 1)) - 1)
-        low = lower_p[np.searchsorted(lower_codes, suffix)] if order > 1 else lower_p[0]
-        p = (n - d) / total[at] + back[at] * low
-        out.append((c, np.log(p), context, np.log(back)))
-        lower_codes, lower_p = c, p
-    return out
-
-
-_MODEL = "lang int, keys binary, vals binary"
-_MODEL_ARROW = pa.schema([("lang", pa.int32()), ("keys", pa.binary()), ("vals", pa.binary())])
-
-
-def _train_language(table: pa.Table) -> pa.Table:
-    lang = table.column("lang")[0].as_py()
-    levels = kneser_ney(table.column("code").to_numpy().astype(np.int64), table.column("n").to_numpy())
-    keys, values = [], []
-    for order, (c, p, context, back) in enumerate(levels, start=1):
-        keys += [_key(lang, order, c), _key(lang, order + 16, context)]
-        values += [p, back]
-    return pa.Table.from_arrays([pa.array([lang], pa.int32()), pa.array([np.concatenate(keys).tobytes()], pa.binary()),
-                                 pa.array([np.concatenate(values).astype(np.float32).tobytes()], pa.binary())], schema=_MODEL_ARROW)
-
-
-class Model:
-    """Sorted hash arrays; lookups are remembered per task (the number of
-    4-grams is bounded)."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray, languages: tuple[int, ...] = ()):
-        order = np.argsort(keys)
-        self.keys, self.values, self.languages, self.memo = keys[order], values[order], languages, {}
-
-    def __getstate__(self):
-        return self.keys, self.values, self.languages
-
-    def __setstate__(self, state):
-        (self.keys, self.values, self.languages), self.memo = state, {}
-
-    def _find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
-        found = self.keys[at] == key if len(self.keys) else np.zeros(len(key), bool)
-        return found, self.values[at] if len(self.keys) else np.zeros(len(key), np.float32)
-
-    def log_p(self, lang: int, code: np.ndarray) -> np.ndarray:
-        """Log probabilities of 4-grams, backing off where they were not seen."""
-        out = np.zeros(len(code))
-        todo = np.arange(len(code))
-        for order in range(ORDER, 0, -1):
-            c = code[todo] & ((1 << 5 * order) - 1)
-            found, p = self._find(_key(lang, order, c))
-            out[todo[found]] += p[found]
-            todo, c = todo[~found], c[~found]
-            if not len(todo):
-                return out
-            seen, back = self._find(_key(lang, order + 16, c >> 5))
-            out[todo] += np.where(seen, back, 0)
-        out[todo] += -np.log(N_SYMBOLS)
-        return out
-
-    def _each(self, lang: int, code: np.ndarray) -> np.ndarray:
-        """Log probability of each 4-gram of a text."""
-        memo = self.memo.setdefault(lang, np.full(N_SYMBOLS**ORDER, np.nan, np.float32))
-        unknown = np.isnan(memo[code])
-        if unknown.any():
-            fresh = np.unique(code[unknown])
-            memo[fresh] = self.log_p(lang, fresh)
-        return memo[code]
-
-    def per_char(self, lang: int, texts: list[str]) -> np.ndarray:
-        """Mean negative log probability of a character (log-perplexity).
-
-        A passage in another language is not noise: every stretch of
-        ``STRETCH`` characters counts with the model, among all languages,
-        that expects it most."""
-        code, off = codes(texts)
-        lens = np.diff(off)
-        first = [np.arange(a, b, STRETCH) for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
-        cuts = np.concatenate([*first, [len(code)]]).astype(np.int64)
-        best = None
-        for k in {lang, *self.languages}:
-            sums = np.concatenate([[0], np.cumsum(self._each(k, code), dtype=np.float64)])
-            part = sums[cuts[1:]] - sums[cuts[:-1]]
-            best = part if best is None else np.maximum(best, part)
-        total = np.concatenate([[0], np.cumsum(best)])
-        at = np.concatenate([[0], np.cumsum([len(f) for f in first])]).astype(np.int64)
-        return -(total[at[1:]] - total[at[:-1]]) / np.maximum(lens, 1)
-
-
-def _select(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    small_batches(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("binary").alias("_text"),
-                       valid_text(lang_col).alias("_lang"))
-
-
-def _blocks_with_lang(batches):
-    for batch in batches:
-        lang, at = np.array([_lang_id(x) for x in batch.column(2).to_pylist()], dtype=np.int64), 0
-        for block in iter_blocks([batch]):
-            yield block, lang[at:at + len(block.lens)]
-            at += len(block.lens)
-
-
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """The model of all documents, every language."""
-    def count(batches):
-        held = {}
-        for block, lang in _blocks_with_lang(batches):
-            texts = [t.decode("utf-8", "replace") for t in block.texts()]
-            for k in np.unique(lang).tolist():
-                code, _ = codes([texts[i] for i in np.flatnonzero(lang == k)])
-                if k not in held:
-                    held[k] = np.zeros(N_SYMBOLS**ORDER, np.int64)
-                held[k] += np.bincount(code, minlength=N_SYMBOLS**ORDER)
-        for k, n in held.items():
-            c = np.flatnonzero(n)
-            for at in range(0, len(c), 10_000):
-                part = c[at:at + 10_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), k, np.int32)), pa.array(part.astype(np.int32)),
-                                                  pa.array(n[part])], names=["lang", "code", "n"])
-
-    counts = (_select(docs, id_col, text_col, lang_col).mapInArrow(count, "lang int, code int, n long")
-              .groupBy("lang", "code").agg(F.sum("n").alias("n")))
-    rows = counts.groupBy("lang").applyInArrow(_train_language, _MODEL).toArrow()  # bounded: N_SYMBOLS, LANGUAGES
-    keys = [np.frombuffer(k.as_py(), np.uint64) for k in rows.column("keys")]
-    vals = [np.frombuffer(v.as_py(), np.float32) for v in rows.column("vals")]
-    return Model(np.concatenate(keys or [np.zeros(0, np.uint64)]), np.concatenate(vals or [np.zeros(0, np.float32)]),
-                 tuple(sorted(rows.column("lang").to_pylist())))
+def _levels(top: DataFrame) -> dict[int, DataFrame]:
+    """Counts of the longest n-grams; below them, how many letters stand before each."""
+    levels = {ORDER: written(top, "ngram-level")}
+    for k in range(ORDER - 1, 0, -1):
+        levels[k] = written(levels[k + 1].groupBy(*_MODEL_KEY, _cut(2, k).alias("gram")).agg(F.count(F.lit(1)).alias("n")), "ngram-level")
+    return levels
+
+
+def _discounts(level: DataFrame) -> DataFrame:
+    """D(1), D(2), D(3+) of a level from its counts of counts, and its n-grams."""
+    n1, n2, n3, n4 = (F.greatest(F.count_if(F.col("n") == k), F.lit(1)).cast("double") for k in (1, 2, 3, 4))
+    y = n1 / (n1 + 2 * n2)
+
+    def inside(x, top):
+        return F.greatest(F.lit(0.05), F.least(F.lit(top), x))
+
+    return level.groupBy(*_MODEL_KEY).agg(inside(1 - 2 * y * n2 / n1, 0.95).alias("d1"), inside(2 - 3 * y * n3 / n2, 1.95).alias("d2"),
+                                          inside(3 - 4 * y * n4 / n3, 2.95).alias("d3"), F.count(F.lit(1)).alias("types"))
+
+
+def probabilities(top: DataFrame, asked: DataFrame) -> DataFrame:
+    """(model, fold, gram, p) of the n-grams ``asked`` (model, fold, gram) under the
+    modified Kneser-Ney models of the counts ``top`` (model, fold, gram, n)."""
+    levels = _levels(top)
+    need = {ORDER: asked}
+    for k in range(ORDER - 1, 0, -1):
+        need[k] = need[k + 1].select(*_MODEL_KEY, _cut(2, k).alias("gram")).distinct()
+    lower = None
+    for k in range(1, ORDER + 1):
+        discounts = written(_discounts(levels[k]), "ngram-discounts")  # a row for each model and fold
+        if fits_broadcast(discounts):
+            discounts = F.broadcast(discounts)
+        contexts = levels[k].groupBy(*_MODEL_KEY, _cut(1, k - 1).alias("context")).agg(
+            F.sum("n").alias("total"), *[F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2)], F.count_if(F.col("n") > 2).alias("n3"))
+        rows = (need[k].join(levels[k], [*_MODEL_KEY, "gram"], "left").withColumn("context", _cut(1, k - 1))
+                       .join(contexts, [*_MODEL_KEY, "context"], "left").join(discounts, _MODEL_KEY, "left"))
+        if lower is None:
+            low = F.lit(1.0) / F.coalesce(F.col("types") + 1, F.lit(NO_MODEL))
+        else:
+            rows = rows.withColumn("suffix", _cut(2, k - 1)).join(
+                lower.select(*_MODEL_KEY, F.col("gram").alias("suffix"), F.col("p").alias("low")), [*_MODEL_KEY, "suffix"])
+            low = F.col("low")
+        off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+        back = (F.col("d1") * F.col("n1") + F.col("d2") * F.col("n2") + F.col("d3") * F.col("n3")) / F.col("total")
+        seen = F.coalesce((F.col("n") - off) / F.col("total"), F.lit(0.0)) + back * low
+        lower = written(rows.select(*_MODEL_KEY, "gram", F.when(F.col("total").isNull(), low).otherwise(seen).alias("p")), "ngram-p")
+    return lower
+
+
+def answers(counted: DataFrame, languages: DataFrame) -> DataFrame:
+    """(part, key, log_p) for the n-grams ``counted`` in each part, from the other fold."""
+    total = written(counted.groupBy("lang", "fold", "gram", "key").agg(F.sum("n").alias("n")), "ngram-counts")
+    total = lookup_join(total, languages, "lang", written=True)
+    other = (F.lit(1) - F.col("fold")).alias("fold")
+    top = total.where(F.col("model") != EVERY).select("model", other, "gram", "n")
+    if not languages.where(F.col("model") == EVERY).isEmpty():
+        top = top.unionByName(total.groupBy(other, "gram").agg(F.sum("n").alias("n")).withColumn("model", F.lit(EVERY)))
+    p = probabilities(top, total.select(*_MODEL_KEY, "gram").distinct())
+    scored = total.join(p, [*_MODEL_KEY, "gram"]).select("key", F.log("p").cast("float").alias("log_p"))
+    return counted.select("part", "key").join(scored, "key").select("part", "key", "log_p")
+
+
+def letters(points: np.ndarray) -> np.ndarray:
+    """1 for each letter or digit of any script."""
+    if not _LETTER:
+        _LETTER.append(np.fromiter((chr(c).isalnum() for c in range(0x110000)), np.int64, 0x110000))
+    return _LETTER[0][points]
+
+
+_LETTER: list[np.ndarray] = []
+
+
+def log_perplexity(log_p: np.ndarray, letter: np.ndarray, off: np.ndarray, quoted: float = QUOTED) -> np.ndarray:
+    """Negative log probability of each text for a letter of it (1 if it has none),
+    without the ``quoted`` share of its stretches that are expected least."""
+    lens = np.diff(off)
+    count = -(-lens // STRETCH)
+    text = np.repeat(np.arange(len(lens)), count)
+    rank = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+    begin = off[:-1][text] + rank * STRETCH
+    end = np.minimum(begin + STRETCH, off[1:][text])
+
+    def between(x):
+        sums = np.concatenate([[0], np.cumsum(x, dtype=np.float64)])
+        return sums[end] - sums[begin]
+
+    cost, size = -between(log_p), between(letter)
+    order = np.lexsort((-cost / np.maximum(size, 1), text))
+    order = order[rank >= np.floor(quoted * count)[text]]  # ``rank`` is also the place in a text's sorted stretches
+    n = len(lens)
+    return np.bincount(text[order], cost[order], n) / np.maximum(np.bincount(text[order], size[order], n), 1)
 
 
 # plain rules -----------------------------------------------------------------
@@ -311,54 +296,64 @@ def repeated_words(words: np.ndarray, w_off: np.ndarray, k: int = WINDOW) -> np.
     return covered[w_off[1:]] - covered[w_off[:-1]]
 
 
-_STATS = ("doc_id long, lang int, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+_STATS = ("doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
           "n_repeat_words long, log_perplexity double")
 _NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-_STATS_ARROW = pa.schema([("doc_id", pa.int64()), ("lang", pa.int32()), *[(c, pa.int64()) for c in _NAMES],
+_STATS_ARROW = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), *[(c, pa.int64()) for c in _NAMES],
                           ("log_perplexity", pa.float64())])
 
 
-def statistics(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
-               lang_col: str = "lang") -> DataFrame:
+def _score_part(left, right):
+    """A part's texts and its sorted hash arrays."""
+    give_back()
+    keys = right.column("key").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    keys, values = keys[order], right.column("log_p").to_numpy()[order]
+    out = []
+    for block, texts, groups in _groups(left):
+        score, langs = np.zeros(len(texts)), [""] * len(texts)
+        for (lang, fold), rows in groups.items():
+            h, place, points, off = grams([texts[i] for i in rows])
+            if len(h):
+                found = values[np.searchsorted(keys, _keys(h, lang, fold))]
+                score[rows] = log_perplexity(found, letters(points[place + ORDER - 1]), off)
+            for i in rows:
+                langs[i] = lang
+        rules = plain_rules(block)
+        out.append(pa.Table.from_arrays([pa.array(block.ids, mask=block.id_null), pa.array(langs, pa.string()),
+                                         *[pa.array(rules[c], pa.int64()) for c in _NAMES], pa.array(score)], schema=_STATS_ARROW))
+    return pa.concat_tables(out) if out else _STATS_ARROW.empty_table()
+
+
+def statistics(docs: DataFrame, languages: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Plain counts and log-perplexity of every row."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
-        for block, lang in _blocks_with_lang(batches):
-            texts = [t.decode("utf-8", "replace") for t in block.texts()]
-            score = np.zeros(len(texts))
-            for k in np.unique(lang).tolist():
-                mine = np.flatnonzero(lang == k)
-                score[mine] = held.value.per_char(k, [texts[i] for i in mine])
-            rules = plain_rules(block)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(block.ids, mask=block.id_null), pa.array(lang.astype(np.int32)),
-                 *[pa.array(rules[c]) for c in _NAMES], pa.array(score)], schema=_STATS_ARROW)
-
-    return _select(docs, id_col, text_col, lang_col).mapInArrow(run, _STATS)
+    staged = stage(docs, id_col, text_col, lang_col)
+    counted = written(staged.groupBy("part").applyInArrow(_count_part, _GRAMS), "ngram-parts")
+    found = answers(counted, languages)
+    return staged.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(_score_part, _STATS)
 
 
 def _median(cells: DataFrame, value: str, out: str) -> DataFrame:
-    """Lower median per language of a histogram (lang, value, n)."""
-    run = W.partitionBy("lang").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
-    return (cells.groupBy("lang", value).agg(F.sum("n").alias("n"))
-                 .withColumn("upto", F.sum("n").over(run)).withColumn("all", F.sum("n").over(W.partitionBy("lang")))
+    """Lower median per model of a histogram (model, value, n)."""
+    run = W.partitionBy("model").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
+    return (cells.groupBy("model", value).agg(F.sum("n").alias("n"))
+                 .withColumn("upto", F.sum("n").over(run)).withColumn("all", F.sum("n").over(W.partitionBy("model")))
                  .where(F.col("upto") * 2 >= F.col("all"))
-                 .groupBy("lang").agg(F.min(value).alias(out), F.max("all").alias("docs")))
+                 .groupBy("model").agg(F.min(value).alias(out)))
 
 
 def bands(stats: DataFrame, lower: float = LOWER, upper: float = UPPER) -> DataFrame:
-    """(lang, middle, below, above) in log-perplexity: the band of a text of
-    ``BAND_CHARS`` characters or more; at most one row per language."""
-    cells = (stats.where(~_failed()).groupBy("lang", F.floor(F.col("log_perplexity") * _STEP).alias("cell"))
-                  .agg(F.count(F.lit(1)).alias("n")))
+    """(model, middle, below, above) in log-perplexity: the band of a text of
+    ``BAND_CHARS`` characters or more.  The band of ``EVERY`` comes from all rows of
+    ``stats`` that pass the plain rules."""
+    one = (stats.where(~_failed()).groupBy("model", F.floor(F.col("log_perplexity") * _STEP).alias("cell"))
+                .agg(F.count(F.lit(1)).alias("n")))
+    cells = one.where(F.col("model") != EVERY).unionByName(one.withColumn("model", F.lit(EVERY)))
     middle = _median(cells, "cell", "middle")
-    spread = _median(cells.join(F.broadcast(middle.select("lang", "middle")), "lang")
-                     .withColumn("off", F.abs(F.col("cell") - F.col("middle"))), "off", "mad")
+    spread = _median(cells.join(middle, "model").withColumn("off", F.abs(F.col("cell") - F.col("middle"))), "off", "mad")
     width = F.greatest("mad", F.lit(1)) / _STEP
-    return (middle.join(F.broadcast(spread.select("lang", "mad")), "lang").where(F.col("docs") >= MIN_BAND_DOCS)
-                  .select("lang", (F.col("middle") / _STEP).alias("middle"), (lower * width).alias("below"),
-                          (upper * width).alias("above")))
+    return (middle.join(spread, "model")
+                  .select("model", (F.col("middle") / _STEP).alias("middle"), (lower * width).alias("below"), (upper * width).alias("above")))
 
 
 def _failed():
@@ -367,11 +362,12 @@ def _failed():
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per document: counts, log-perplexity, ``base_failed``, ``kept``."""
-    model = train(docs, id_col, text_col, lang_col)
-    stats = written(statistics(docs, model, id_col, text_col, lang_col), "text-statistics")
+    languages = language_models(docs, lang_col)
+    stats = written(statistics(docs, languages, id_col, text_col, lang_col), "text-statistics")
+    stats = lookup_join(stats, languages, "lang", written=True)
     chars = F.greatest(F.col("word_chars") + F.col("n_words"), F.lit(1))
     wider = F.greatest(F.lit(1.0), F.sqrt(F.lit(float(BAND_CHARS)) / chars))
     off = F.col("log_perplexity") - F.col("middle")
     inside = F.col("middle").isNull() | off.between(-wider * F.col("below"), wider * F.col("above"))
-    return (stats.join(F.broadcast(bands(stats)), "lang", "left").withColumn("base_failed", _failed())
+    return (lookup_join(stats, bands(stats), "model").withColumn("base_failed", _failed())
                  .select("doc_id", *_NAMES, "base_failed", (~F.col("base_failed") & inside).alias("kept"), "log_perplexity"))
