@@ -115,13 +115,14 @@ def n_buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _pack(batches):
+def pack(batches, part_bytes: int = PART_BYTES):
+    """Rows ``(id, text, others)`` as blocks, in parts of at most ``part_bytes`` of text."""
     part, comp = TaskContext.get().partitionId() * PARTS_PER_TASK, zstandard.ZstdCompressor(level=3)
     size, last, seq = 0, part + PARTS_PER_TASK - 1, 0
     for batch in batches:
         at = 0
         for b in iter_blocks([batch]):
-            if size and size + len(b.data) > PART_BYTES and part < last:
+            if size and size + len(b.data) > part_bytes and part < last:
                 part, size = part + 1, 0
             size += len(b.data)
             rest = batch.slice(at, len(b.lens)).select(range(2, batch.num_columns)) if batch.num_columns > 2 else None
@@ -175,7 +176,7 @@ def stage_parts(df: DataFrame, id_col: str, text_col: str, name: str, carry: boo
         columns = plain.select(F.col(f"c{df.columns.index(id_col)}").cast("long").alias("_id"),
                                F.col(f"c{spot}").cast("binary").alias("_text"),
                                *[F.col(c) for i, c in enumerate(plain.columns) if i != spot])
-    return write_bucketed(columns.mapInArrow(_pack, PART_SCHEMA), name)
+    return write_bucketed(columns.mapInArrow(pack, PART_SCHEMA), name)
 
 
 def whole_rows(block: Block, rest: bytes, text_at: int, keep: np.ndarray) -> pa.Table:

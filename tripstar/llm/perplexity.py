@@ -48,7 +48,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripstar.llm.blocks import PART_SCHEMA, Block, _pack, block_order, give_back, small_batches, unpack, valid_text, write_bucketed
+from tripstar.llm.blocks import PART_SCHEMA, Block, block_order, give_back, pack, small_batches, unpack, valid_text, write_bucketed
 from tripstar.llm.components import written
 from tripstar.llm.kernels import mix, word_hashes, word_spans
 from tripstar.plans.joins import fits_broadcast, lookup_join
@@ -64,6 +64,7 @@ BAND_CHARS = 1500
 STRETCH = 100
 QUOTED = 0.3
 MIN_DOCS = 20
+PART = 64 << 20         # bytes of text that ask for their distinct n-grams once
 NO_MODEL = 1 << 16      # choices where a fold has no text to learn from
 _STEP = 1000            # histogram cells per unit of log-perplexity
 
@@ -140,7 +141,7 @@ def stage(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     text = F.col(text_col).cast("binary")
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), text.alias("_text"), F.coalesce(valid_text(lang_col), F.lit("")).alias("_lang"),
                        F.pmod(F.xxhash64(text), F.lit(2)).cast("int").alias("_fold"))
-    return write_bucketed(rows.mapInArrow(_pack, PART_SCHEMA), "perplexity_texts")
+    return write_bucketed(rows.mapInArrow(lambda batches: pack(batches, PART), PART_SCHEMA), "perplexity_texts")
 
 
 # the model -------------------------------------------------------------------
