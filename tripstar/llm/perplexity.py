@@ -49,9 +49,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tripstar.llm.blocks import PART_SCHEMA, Block, block_order, give_back, pack, small_batches, unpack, valid_text, write_bucketed
-from tripstar.llm.components import written
 from tripstar.llm.kernels import mix, word_hashes, word_spans
 from tripstar.plans.joins import fits_broadcast, lookup_join
+from tripstar.session import scratch_path
 
 ORDER = 4
 START = "\uffff"
@@ -125,13 +125,15 @@ def _count_part(key, table):
                 held.setdefault(group, []).append((u, np.lib.stride_tricks.sliding_window_view(points, ORDER)[place[first]], n))
     out = []
     for (lang, fold), found in held.items():
-        h, letters, n = (np.concatenate(x) for x in zip(*found))
+        h, spelt, n = (np.concatenate(x) for x in zip(*found))
         u, first, at = np.unique(h, return_index=True, return_inverse=True)
-        flat = letters[first].tobytes().decode("utf-32-le")
+        n, letters_of = np.bincount(at, n).astype(np.int64), spelt[first]
+        order = np.lexsort(letters_of.T[::-1])  # neighbours alike: the table is written smaller
+        u, n, flat = u[order], n[order], letters_of[order].tobytes().decode("utf-32-le")
         out.append(pa.Table.from_arrays([
             pa.array(np.full(len(u), key[0].as_py(), np.int32)), pa.array([lang] * len(u), pa.string()),
             pa.array(np.full(len(u), fold, np.int32)), pa.array([flat[i:i + ORDER] for i in range(0, len(flat), ORDER)], pa.string()),
-            pa.array(_keys(u, lang, fold).view(np.int64)), pa.array(np.bincount(at, n).astype(np.int64))], schema=_GRAMS_ARROW))
+            pa.array(_keys(u, lang, fold).view(np.int64)), pa.array(n)], schema=_GRAMS_ARROW))
     return pa.concat_tables(out) if out else _GRAMS_ARROW.empty_table()
 
 
@@ -146,6 +148,14 @@ def stage(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 # the model -------------------------------------------------------------------
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once in the shared folder and read back; n-grams in order
+    compress well."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 _MODEL_KEY = ["model", "fold"]
 
 
@@ -162,7 +172,7 @@ def language_models(docs: DataFrame, lang_col: str = "lang") -> DataFrame:
 
 def _levels(top: DataFrame) -> dict[int, DataFrame]:
     """Counts of the longest n-grams; below them, how many letters stand before each."""
-    levels = {ORDER: written(top, "ngram-level")}
+    levels = {ORDER: top}
     for k in range(ORDER - 1, 0, -1):
         levels[k] = written(levels[k + 1].groupBy(*_MODEL_KEY, _cut(2, k).alias("gram")).agg(F.count(F.lit(1)).alias("n")), "ngram-level")
     return levels
@@ -216,7 +226,8 @@ def answers(counted: DataFrame, languages: DataFrame) -> DataFrame:
     other = (F.lit(1) - F.col("fold")).alias("fold")
     top = total.where(F.col("model") != EVERY).select("model", other, "gram", "n")
     if not languages.where(F.col("model") == EVERY).isEmpty():
-        top = top.unionByName(total.groupBy(other, "gram").agg(F.sum("n").alias("n")).withColumn("model", F.lit(EVERY)))
+        every = written(total.groupBy(other, "gram").agg(F.sum("n").alias("n")), "ngram-level")
+        top = top.unionByName(every.withColumn("model", F.lit(EVERY)))
     p = probabilities(top, total.select(*_MODEL_KEY, "gram").distinct())
     scored = total.join(p, [*_MODEL_KEY, "gram"]).select("key", F.log("p").cast("float").alias("log_p"))
     return counted.select("part", "key").join(scored, "key").select("part", "key", "log_p")
