@@ -97,3 +97,20 @@ def test_unreadable_timestamps_and_counts(spark):
     out = clean.clean_passengers(clean.add_duration(df)).orderBy("tpep_dropoff_datetime").collect()
     assert [r["passenger_count_clean"] for r in out] == [1, 1, 3]
     assert all(r["pickup_ts"] is None and r["trip_duration_minutes"] is None for r in out)
+
+
+def test_issues_read_the_rows_twice(spark, tmp_path):
+    """The quartiles and the duplicate groups: no further scan for the counters."""
+    rows = [(None, 2.0, "x"), (1.0, -3.0, "x"), (1.0, -3.0, "x"), (0.0, 900.0, "y"), (2.5, 4.0, None)] * 3
+    path = str(tmp_path / "raw")
+    spark.createDataFrame(rows, "passenger_count double, fare_amount double, note string").selectExpr(
+        "*", "fare_amount AS trip_distance", "timestamp '2030-01-01' AS tpep_pickup_datetime").write.parquet(path)
+    df = spark.read.parquet(path)
+    report = profile.issue_report(df, as_of="2025-01-01")
+    got = {r.issue: r.n for r in report.collect()}
+    assert got["Duplicate rows"] == 11 and got["Negative fare amount"] == 6 and got["Zero passenger count"] == 3
+    assert got["Passenger count non-integer"] == 6 and got["Future pickup timestamps"] == 15
+    assert got["Trip distance outliers (IQR)"] == profile.iqr_outliers(df).first().n
+    given = spark.createDataFrame([(0.0, 1.0)], "_iq1 double, _iq3 double")
+    plan = profile._issues(df, "2025-01-01", given)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1  # with the quartiles given, one scan

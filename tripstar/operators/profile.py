@@ -203,21 +203,21 @@ def _non_integer(c: Column) -> Column:
 
 
 def _simple(df: DataFrame) -> list[tuple[str, str, Column]]:
-    """(issue, aggregate name, count) for the issues whose columns are present."""
+    """(issue, aggregate name, condition) for the issues whose columns are present."""
     rules = [
         ("Negative fare amount", "_neg_fare", ("fare_amount",), lambda fare: fare < 0),
         ("Zero passenger count", "_zero_pass", ("passenger_count",), lambda n: n == 0),
         ("Passenger count non-integer", "_non_int", ("passenger_count",), _non_integer),
         ("Tip greater than fare", "_tip_gt_fare", ("tip_amount", "fare_amount"), lambda tip, fare: tip > fare),
     ]
-    return [(issue, name, F.count_if(rule(*[value_of(df, c) for c in needs])).alias(name))
+    return [(issue, name, rule(*[value_of(df, c) for c in needs]))
             for issue, name, needs, rule in rules if set(needs) <= set(df.columns)]
 
 
 def simple_issues(df: DataFrame) -> DataFrame:
     """P10, P11, P12, P15 in one aggregate, for the columns that are present."""
     rules = _simple(df)
-    return _issue_rows(df.agg(_rows_agg(), *[n for *_, n in rules]), [(issue, F.col(name)) for issue, name, _ in rules])
+    return _issue_rows(df.agg(_rows_agg(), *[F.count_if(rule).alias(name) for _, name, rule in rules]), [(issue, F.col(name)) for issue, name, _ in rules])
 
 
 def _iqr_specs(df: DataFrame, column: str) -> list[Quantile]:
@@ -225,20 +225,21 @@ def _iqr_specs(df: DataFrame, column: str) -> list[Quantile]:
     return [Quantile("_iq1", x, 0.25, "cont"), Quantile("_iq3", x, 0.75, "cont")]
 
 
-def _iqr_count(df: DataFrame, quartiles: DataFrame, column: str) -> DataFrame:
-    q = quartiles.select(F.struct("_iq1", "_iq3").alias("s")).scalar()
-    df = df.select(value_of(df, column).alias(column)).withColumn("_q", q)
+def _with_quartiles(df: DataFrame, quartiles: DataFrame) -> DataFrame:
+    return df.withColumn("_q", quartiles.select(F.struct("_iq1", "_iq3").alias("s")).scalar())
+
+
+def _outside(x: Column) -> Column:
+    """Beyond the whiskers of the quartiles ``_q``."""
     q1, q3 = F.col("_q._iq1"), F.col("_q._iq3")
     iqr = q3 - q1
-    x = F.col(column)
-    return df.agg(_rows_agg(),
-                  F.count_if((x < q1 - F.lit(IQR_FACTOR) * iqr) | (x > q3 + F.lit(IQR_FACTOR) * iqr))
-                  .alias("_out"))
+    return (x < q1 - F.lit(IQR_FACTOR) * iqr) | (x > q3 + F.lit(IQR_FACTOR) * iqr)
 
 
 def iqr_outliers(df: DataFrame, column: str = "trip_distance") -> DataFrame:
     """Values outside [Q1 - 1.5 IQR, Q3 + 1.5 IQR] (interpolated quartiles)."""
-    agg = _iqr_count(df, exact_quantiles(df, _iqr_specs(df, column)), column)
+    values = _with_quartiles(df.select(value_of(df, column).alias("_x")), exact_quantiles(df, _iqr_specs(df, column)))
+    agg = values.agg(_rows_agg(), F.count_if(_outside(F.col("_x"))).alias("_out"))
     return _issue_rows(agg, [("Trip distance outliers (IQR)", F.col("_out"))])
 
 
@@ -250,43 +251,40 @@ def _as_of(as_of: str | Column | None) -> Column:
     return as_of
 
 
-def _future_agg(as_of: str | Column | None) -> Column:
-    return F.count_if(F.col("tpep_pickup_datetime").try_cast("timestamp") > _as_of(as_of)).alias("_future")
+def _is_future(as_of: str | Column | None) -> Column:
+    return F.col("tpep_pickup_datetime").try_cast("timestamp") > _as_of(as_of)
 
 
 def future_pickups(df: DataFrame, as_of: str | Column | None = None) -> DataFrame:
     """Pickups later than ``as_of`` (default: the query's current time)."""
-    agg = df.agg(_rows_agg(), _future_agg(as_of))
+    agg = df.agg(_rows_agg(), F.count_if(_is_future(as_of)).alias("_future"))
     return _issue_rows(agg, [("Future pickup timestamps", F.col("_future"))])
 
 
-def _union(parts: Sequence[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.orderBy("position")
-
-
 def issue_report(df: DataFrame, as_of: str | Column | None = None) -> DataFrame:
-    """The seven issues in report order, each if its columns are present."""
-    return _union(_issue_parts(df, as_of, None))
-
-
-def _issue_parts(df: DataFrame, as_of: str | Column | None, quartiles: DataFrame | None) -> list[DataFrame]:
-    """Three passes: the duplicate groups, the counters, the IQR count (plus
-    the quartiles, unless they are given)."""
-    rules, has_pickup = _simple(df), "tpep_pickup_datetime" in df.columns
-    counters = [n for *_, n in rules] + ([_future_agg(as_of)] if has_pickup else [])
-    entries = [(issue, F.col(name)) for issue, name, _ in rules]
-    if has_pickup:
-        entries.append(("Future pickup timestamps", F.col("_future")))
-    parts = [_issue_rows(_duplicates(df), [("Duplicate rows", F.col("_dups"))]),
-             _issue_rows(df.agg(_rows_agg(), *counters), entries)]
+    """The seven issues in report order, each if its columns are present.
+    Two scans: the quartiles, and the duplicate groups."""
+    return _issues(df, as_of, None)
+
+
+def _issues(df: DataFrame, as_of: str | Column | None, quartiles: DataFrame | None) -> DataFrame:
+    """All issues from the duplicate groups: a condition on a row's values holds for
+    all its copies, so a group counts with its number of copies and the rows are not
+    read again.  The quartiles are computed unless they are given."""
+    entries = [("Duplicate rows", "_dups", None), *_simple(df)]
+    if "tpep_pickup_datetime" in df.columns:
+        entries.append(("Future pickup timestamps", "_future", _is_future(as_of)))
+    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
     if "trip_distance" in df.columns:
-        if quartiles is None:
-            quartiles = exact_quantiles(df, _iqr_specs(df, "trip_distance"))
-        parts.append(_issue_rows(_iqr_count(df, quartiles, "trip_distance"), [("Trip distance outliers (IQR)", F.col("_out"))]))
-    return parts
+        groups = _with_quartiles(groups, exact_quantiles(df, _iqr_specs(df, "trip_distance")) if quartiles is None else quartiles)
+        entries.append(("Trip distance outliers (IQR)", "_out", _outside(value_of(df, "trip_distance"))))
+
+    def total(copies: Column, name: str) -> Column:
+        return F.coalesce(F.sum(copies), F.lit(0)).alias(name)
+
+    agg = groups.agg(total(F.col("_c"), "_rows"), total(F.col("_c") - 1, "_dups"),
+                     *[total(F.when(rule, F.col("_c")), name) for _, name, rule in entries if rule is not None])
+    return _issue_rows(agg, [(issue, F.col(name)) for issue, name, _ in entries])
 
 
 # The whole profile with shared passes ---------------------------------------
@@ -295,7 +293,7 @@ def profile_reports(df: DataFrame, as_of: str | Column | None = None,
     """All reports with passes over ``df`` shared between them: one aggregate
     for samples, NULL counts and statistics; one exact-quantile plan for the
     medians and the IQR quartiles (written when this is called); the histogram's
-    ranges and counts; the duplicate groups; the issue counters; the IQR count.
+    ranges and counts; the duplicate groups, which carry all issue counts.
     """
     cols = numeric_columns(df)
     iqr = _iqr_specs(df, "trip_distance") if "trip_distance" in df.columns else []
@@ -307,5 +305,5 @@ def profile_reports(df: DataFrame, as_of: str | Column | None = None,
         "missing": _missing_rows(overview, df.schema),
         "statistics": _stats_rows(overview, cols, quant, 2),
         "histograms": distribution_report(df, bins),
-        "issues": _union(_issue_parts(df, as_of, quant)),
+        "issues": _issues(df, as_of, quant),
     }
