@@ -58,10 +58,21 @@ def value_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.struct(F.lit(c).alias("column_name"), F.col(f"_r{i}.lo").alias("lo"),
                  F.col(f"_r{i}.hi").alias("hi"))
         for i, c in enumerate(columns)])).alias("_g")).select("_g.*").where(F.col("lo").isNotNull())
+    return _widened(rows)
+
+
+def _widened(ranges: DataFrame) -> DataFrame:
     same = F.col("lo") == F.col("hi")
-    return rows.select("column_name",
-                       F.when(same, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-                       F.when(same, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
+    return ranges.select("column_name",
+                         F.when(same, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+                         F.when(same, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
+
+
+def counted_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column_name, x, n)``: how often each value of each column occurs (NULLs
+    dropped).  A task ships a distinct value once."""
+    values = _unpivot(df, columns).where(F.col("x").isNotNull())
+    return values.groupBy("column_name", "x").agg(F.count(F.lit(1)).alias("n"))
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:
@@ -69,11 +80,21 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFram
     columns = list(columns)
     ranges = value_ranges(df, columns)
     values = _unpivot(df, columns).where(F.col("x").isNotNull())
+    return _binned(values.withColumn("n", F.lit(1).cast("long")), ranges, bins)
+
+
+def histogram_of_counts(values: DataFrame, bins: int = 50) -> DataFrame:
+    """The same histogram from the table of :func:`counted_values`."""
+    ranges = values.groupBy("column_name").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    return _binned(values, _widened(ranges), bins)
+
+
+def _binned(values: DataFrame, ranges: DataFrame, bins: int) -> DataFrame:
     # ``ranges`` has one row per column: a proven broadcast bound.
     counts = (values.join(F.broadcast(ranges), "column_name")
-                    .select("column_name",
+                    .select("column_name", "n",
                             bin_index(F.col("x"), F.col("lo"), F.col("hi"), bins).alias("bin"))
-                    .groupBy("column_name", "bin").agg(F.count(F.lit(1)).alias("count")))
+                    .groupBy("column_name", "bin").agg(F.sum("n").alias("count")))
     # Empty bins: add a zero row for every bin, then sum (at most
     # 2 * len(columns) * bins rows).  Joining the counts to a grid instead
     # would make the optimizer repeat the bin rule as a join filter.

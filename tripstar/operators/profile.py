@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripstar.functions.histogram import histogram
+from tripstar.functions.histogram import counted_values, histogram, histogram_of_counts
 from tripstar.functions.money import pct_of
 from tripstar.functions.quantiles import Quantile, exact_quantiles
 from tripstar.session import staged_table
@@ -290,20 +290,29 @@ def _issues(df: DataFrame, as_of: str | Column | None, quartiles: DataFrame | No
 # The whole profile with shared passes ---------------------------------------
 def profile_reports(df: DataFrame, as_of: str | Column | None = None,
                     bins: int = HISTOGRAM_BINS) -> dict[str, DataFrame]:
-    """All reports with passes over ``df`` shared between them: one aggregate
-    for samples, NULL counts and statistics; one exact-quantile plan for the
-    medians and the IQR quartiles (written when this is called); the histogram's
-    ranges and counts; the duplicate groups, which carry all issue counts.
+    """All reports from three scans of ``df``: one aggregate for samples, NULL counts
+    and statistics; the table (column, value, count), from which the medians, the IQR
+    quartiles and the histograms follow; the duplicate groups, which carry all issue
+    counts.  The first two are written when this is called.
     """
-    cols = numeric_columns(df)
-    iqr = _iqr_specs(df, "trip_distance") if "trip_distance" in df.columns else []
-    # one row each, written once: nothing stays cached in executors
+    cols, shown = numeric_columns(df), histogram_columns(df)
+    measured = list(dict.fromkeys([*cols, *shown, *[c for c in ("trip_distance",) if c in df.columns]]))
     overview = staged_table(df.agg(_rows_agg(), *_schema_aggs(df), *_missing_aggs(df), *_stats_aggs(df, cols)), "profile")
-    quant = staged_table(exact_quantiles(df, [*_median_specs(df, cols), *iqr]), "profile-quantiles")
+    values = staged_table(counted_values(df.select(*[value_of(df, c).alias(c) for c in measured]), measured), "profile-values") \
+        if measured else df.sparkSession.createDataFrame([], "column_name string, x double, n long")
+
+    def at(name: str, column: str, q: float) -> Quantile:
+        return Quantile(name, F.when(F.col("column_name") == column, F.col("x")), q, "cont")
+
+    specs = [at(f"_q{i}", c, 0.5) for i, c in enumerate(cols)]
+    if "trip_distance" in df.columns:
+        specs += [at("_iq1", "trip_distance", 0.25), at("_iq3", "trip_distance", 0.75)]
+    # one row, written once: nothing stays cached in executors
+    quant = staged_table(exact_quantiles(values, specs, weight="n"), "profile-quantiles")
     return {
         "schema": _schema_rows(overview, df.schema),
         "missing": _missing_rows(overview, df.schema),
         "statistics": _stats_rows(overview, cols, quant, 2),
-        "histograms": distribution_report(df, bins),
+        "histograms": histogram_of_counts(values.where(F.col("column_name").isin(shown)), bins),
         "issues": _issues(df, as_of, quant),
     }
