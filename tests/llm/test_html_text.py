@@ -2,7 +2,7 @@ import random
 
 from tests.llm.fixtures import key_sorted
 from tripstar.llm import html_text
-from tripstar.llm.html_text import blocks, common_lines, repeated_lines, shared_lines
+from tripstar.llm.html_text import blocks, codes_of, common_lines, lines_outside, repeated_lines, shared_lines
 
 SCHEMA = "page_id long, url string, html string"
 
@@ -209,3 +209,22 @@ def test_whole_query_against_brute_force(spark):
         menu = "".join(f"<div>{x}</div>" for x in menus[h][:pick.randint(2, 4)])
         pages.append((i, f"http://Host{h}.org/{pick.choice('abc')}/{pick.randint(0, 30)}?q={i}", f"{menu}{body}<div>foot {h}</div>"))
     assert {i: t for (i, _), t in text_of(spark, pages).items()} == brute_texts(pages)
+
+
+def test_pages_with_a_marked_article_are_differenced_too(spark):
+    def page(i, inside="", outside=""):
+        return f"<article><h1>News</h1>{inside}<p>story {i}</p></article>{outside}<div>foot</div>"
+
+    ask = "<p>Tell us what you think</p>"
+    pages = [(0, "http://a.com/0", page(0, outside=ask)), (1, "http://a.com/1", page(1, inside=ask)), (2, "http://a.com/2", page(2, outside=ask)),
+             (3, "http://b.com/3", page(3, inside=ask)), (4, "http://b.com/4", page(4, inside=ask)), (5, "http://c.com/5", page(5, inside=ask)),
+             (6, "http://a.com/1", page(1, inside=ask))]
+    got = text_of(spark, pages)
+    assert got == {(i, u): f"News {'Tell us what you think ' if i in (3, 4, 5) else ''}story {1 if i == 6 else i}" for i, u, _ in pages}
+
+
+def test_article_lines_that_the_neighbour_has_outside():
+    here = codes_of([("menu", False), ("title", True), ("ask", True), ("own", True), ("title", True)])
+    there = codes_of([("menu", False), ("title", True), ("other", True), ("ask", False)])
+    assert lines_outside(here, [there]) == [1] and lines_outside(there, [here]) == []
+    assert lines_outside(here, [here, there]) == [1] and lines_outside(here, []) == []  # a copy tells nothing

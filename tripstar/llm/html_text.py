@@ -12,16 +12,21 @@
    lines are aligned by longest common subsequence, and the lines they share
    (menus and notices that carry no telling markup) are deleted.  Lines inside a
    marked article are not deleted: copies of an article on one host share all of
-   them.  A pair whose lines that are not shared are equal (moved lines), or are
+   them, unless the neighbour has the line outside its own (below).  A pair whose lines that are not shared are equal (moved lines), or are
    found on one page only, tells nothing: then the neighbour on the other side is
    taken.  Where the nearest page shares nearly all text, it may be the same
    article with another date, or a short one under the same menus: then only what
    the neighbour on the other side shares too is deleted, if it shares anything.
-3. The text of a marked article is the text of the page.  Without a marked
-   article it is what differencing leaves of the loose lines.
-
-Scale: only the loose lines travel (menus and the like; whole texts only for
-pages without a marked article).  Order comes from a range partitioning, so a
+3. Pages with a marked article are paired and aligned in the same way among
+   themselves, by all their lines in page order.  A shared line that lies inside the
+   article here and outside it on the neighbour page is the host's, not the
+   article's, and is deleted; one that both have inside stays (copies, headings).
+   What is left of the article's lines is the text.  Without a marked article it is
+   what differencing leaves of the loose lines.
+
+Scale: pages without a marked article travel with their lines; of the others only
+64-bit hashes of the lines do, and the deleted places, which go back to the pages
+as they are read a second time.  Order comes from a range partitioning, so a
 host that holds a third of all pages spreads over tasks.  The first and the last
 page of a host in a range meet their neighbours over the range borders, from a
 table of first and last pages per (host, range), so the result does not depend
@@ -43,6 +48,7 @@ lines); an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections import Counter
@@ -146,7 +152,14 @@ def _unwanted(tag: str, attrs: str, in_main: bool) -> bool:
 
 def blocks(page: str) -> tuple[list[str], list[str], bool]:
     """(lines of the marked article, loose lines, is an article marked)."""
-    main_lines, loose, words = [], [], []
+    lines, marked = lines_of(page)
+    return [x for x, inside in lines if inside], [x for x, inside in lines if not inside], marked
+
+
+def lines_of(page: str) -> tuple[list[tuple[str, bool]], bool]:
+    """The lines in page order, each with whether the marked article holds it;
+    is an article marked."""
+    lines, words = [], []
     stack: list[str] = []          # open elements that matter: dropped or main
     skip_at = main_at = 0          # stack depths, 0 while outside
     has_main, at = False, 0
@@ -156,7 +169,7 @@ def blocks(page: str) -> tuple[list[str], list[str], bool]:
             line = " ".join(html.unescape("".join(words)).split())
             words.clear()
             if line:
-                (main_lines if main_at else loose).append(line)
+                lines.append((line, bool(main_at)))
 
     n = len(page)
     while at < n:
@@ -208,7 +221,7 @@ def blocks(page: str) -> tuple[list[str], list[str], bool]:
                         break
     if not skip_at:
         flush()
-    return main_lines, loose, has_main
+    return lines, has_main
 
 
 def _raw_end(page: str, tag: str, at: int) -> int:
@@ -293,6 +306,25 @@ def repeated_lines(mine: list[str], others: list[list[str]]) -> set[int]:
     return gone
 
 
+def codes_of(lines: list[tuple[str, bool]]) -> list[int]:
+    """64-bit hashes of the lines; the lowest bit is set inside the marked article."""
+    return [int.from_bytes(hashlib.blake2b(line.encode("utf8", "replace"), digest_size=8).digest(), "little", signed=True) & ~1 | inside
+            for line, inside in lines]
+
+
+def lines_outside(mine: list[int], others: list[list[int]]) -> list[int]:
+    """Places, among the lines of the marked article, of those that the page
+    shares with the nearest page that tells something and that lie outside the
+    marked article there; pages as codes, the nearest first."""
+    place = np.cumsum([code & 1 for code in mine]) - 1
+    lines = [code & ~1 for code in mine]
+    for other in others:
+        theirs = [code & ~1 for code in other]
+        if shared_lines(lines, theirs) is not None:
+            return [int(place[i]) for i, j in common_lines(lines, theirs) if mine[i] & 1 and not other[j] & 1]
+    return []
+
+
 _HOST = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)"
 
 
@@ -305,24 +337,27 @@ def _pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFr
                         valid_text(html_col).alias("html"))
 
 
-_PARSED = "page_id long, url string, host string, path string, text string, loose array<string>"
-_PARSED_ARROW = pa.schema([("page_id", pa.int64()), *[(c, pa.string()) for c in ("url", "host", "path", "text")],
-                           ("loose", pa.list_(pa.string()))])
+_PARSED = "page_id long, url string, host string, path string, article array<string>, loose array<string>, codes array<long>"
+_PARSED_ARROW = pa.schema([("page_id", pa.int64()), *[(c, pa.string()) for c in ("url", "host", "path")],
+                           *[(c, pa.list_(pa.string())) for c in ("article", "loose")], ("codes", pa.list_(pa.int64()))])
 
 
 def parse(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Pages read: the marked article's text (null: none is marked), and the
-    loose lines (only where no article is marked: elsewhere they are not part
-    of the text)."""
+    """Pages read, for the differencing of every page: the lines of the marked
+    article and the codes of all lines of the page in its order, or (null: none
+    is marked) the loose lines."""
     def run(batches):
         for batch in batches:
-            text, loose = [], []
+            article, loose, codes = [], [], []
             for page in batch.column(4):
-                main, rest, marked = blocks(page.as_py() or "")
-                text.append(" ".join(main) if marked and main else None)
-                loose.append(None if marked and main else rest)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(text, pa.string()),
-                                              pa.array(loose, pa.list_(pa.string()))], schema=_PARSED_ARROW)
+                lines, marked = lines_of(page.as_py() or "")
+                inside = [x for x, main in lines if main]
+                whole = bool(marked and inside)
+                article.append(inside if whole else None)
+                loose.append(None if whole else [x for x, _ in lines])
+                codes.append(codes_of(lines) if whole else None)
+            columns = [pa.array(c, f.type) for c, f in zip((article, loose, codes), list(_PARSED_ARROW)[4:])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *columns], schema=_PARSED_ARROW)
 
     return _pages(pages, id_col, url_col, html_col).mapInArrow(run, _PARSED)
 
@@ -356,18 +391,25 @@ def _neighbours(light: DataFrame) -> DataFrame:
                        F.when(nearer, F.col("after.loose")).otherwise(F.col("before.loose")).alias("second"))
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(page_id, url, text, n_chars) for every page.  Pages are read twice
-    rather than written: the texts of marked articles never travel."""
-    parsed = parse(pages, id_col, url_col, html_col)
-    loose = written(parsed.where("loose IS NOT NULL")
-                          .select("page_id", "url", F.coalesce("host", F.lit("")).alias("host"), "path", "loose",
-                                  F.sha2(F.concat_ws("\n", "loose"), 256).alias("digest")), "loose-lines")
-    different = written(loose.where(F.size("loose") > 0).groupBy("host", "digest")
-                             .agg(F.min(F.struct("path", "page_id", "loose")).alias("first"))
+def _paired(lines: DataFrame, name: str) -> DataFrame:
+    """:func:`_neighbours` of the different pages of each host."""
+    different = written(lines.groupBy("host", "digest").agg(F.min(F.struct("path", "page_id", "loose")).alias("first"))
                              .select("host", "digest", "first.path", "first.page_id", "first.loose")
                              .repartitionByRange("host", "path", "page_id", "digest")
-                             .withColumn("range", F.spark_partition_id()), "different-pages")
+                             .withColumn("range", F.spark_partition_id()), name)
+    return _neighbours(different)
+
+
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(page_id, url, text, n_chars) for every page.  Pages are read twice
+    rather than written: of marked articles only the codes of their lines travel."""
+    parsed = parse(pages, id_col, url_col, html_col).withColumn("host", F.coalesce("host", F.lit("")))
+    by_lines, by_codes = (F.sha2(F.concat_ws(sep, lines), 256) for sep, lines in
+                          (("\n", F.col("loose")), (",", F.col("codes").cast("array<string>"))))
+    read = written(parsed.select("page_id", "url", "host", "path", "loose", "codes",
+                                 F.when(F.col("codes").isNull(), by_lines).otherwise(by_codes).alias("digest")), "page-lines")
+    loose = read.where("codes IS NULL").drop("codes")
+    marked = read.where("codes IS NOT NULL").select("host", "path", "page_id", F.col("codes").alias("loose"), "digest")
 
     @F.pandas_udf("string")
     def differ(loose: pd.Series, other: pd.Series, second: pd.Series) -> pd.Series:
@@ -378,8 +420,20 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             out.append(" ".join(x for i, x in enumerate(mine) if i not in gone))
         return pd.Series(out, dtype=object)
 
-    texts = _neighbours(different).select("host", "digest", differ("loose", "other", "second").alias("text"))
+    @F.pandas_udf("array<int>")
+    def outside(mine: pd.Series, other: pd.Series, second: pd.Series) -> pd.Series:
+        out = [lines_outside(m.tolist(), [x.tolist() for x in others if x is not None]) for m, *others in zip(mine, other, second)]
+        return pd.Series(out, dtype=object)
+
+    texts = _paired(loose.where(F.size("loose") > 0), "different-pages").select("host", "digest", differ("loose", "other", "second").alias("text"))
     rest = (loose.select("page_id", "url", "host", "digest").join(texts, ["host", "digest"], "left")
                  .select("page_id", "url", F.coalesce("text", F.lit("")).alias("text")))
-    every = parsed.where("loose IS NULL").select("page_id", "url", "text").unionByName(rest)
+    # written, so that Spark knows its size: the few articles that lose lines are looked up where they are
+    gone = written(_paired(marked, "different-articles").select("host", "digest", outside("loose", "other", "second").alias("gone"))
+                                                        .where(F.size("gone") > 0), "lines-outside")
+    articles = (parsed.where("article IS NOT NULL").select("page_id", "url", "host", "article", by_codes.alias("digest"))
+                      .join(gone, ["host", "digest"], "left"))
+    left = F.when(F.col("gone").isNull(), F.col("article")).otherwise(
+        F.filter("article", lambda _, i: ~F.array_contains("gone", i)))
+    every = articles.select("page_id", "url", F.concat_ws(" ", left).alias("text")).unionByName(rest)
     return every.withColumn("n_chars", F.char_length("text").cast("long"))
