@@ -137,3 +137,13 @@ def test_approximate_mode_runs_and_is_close(spark, sf_small):
     approx = clean.global_stats(df, accuracy=10000).first()
     for k in clean.STAT_COLUMNS:
         assert abs(exact[k] - approx[k]) <= 0.05 * max(1.0, abs(exact[k])), k
+
+
+def test_dedupe_aggregates_rows_only_where_they_meet(spark):
+    """No aggregate before the exchange: it would hold nearly every row of a task."""
+    rows = [trip(fare=f, tip=t) for f, t in ((0.0, 1.0), (-0.0, 1.0), (float("nan"), None), (float("nan"), None), (2.0, None))] * 3
+    got = clean.drop_exact_duplicates(frame(spark, rows).repartition(4), keep_copies=True)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and plan.rfind("HashAggregate") < plan.find("Exchange")
+    assert sorted(r[clean.COPIES] for r in got.collect()) == [3, 6, 6]
+    assert clean.drop_exact_duplicates(frame(spark, rows)).count() == 3

@@ -9,7 +9,7 @@ from tripstar.plans import analytics
 from tripstar.plans.etl import read_warehouse, run_etl
 from tripstar.session import scratch_path, staged_table
 from tripstar.sources.files import list_names, remove_tree, swap_in
-from tripstar.sources import landing
+from tripstar.sources import landing, sinks
 
 
 def test_payment_labels(spark):
@@ -293,3 +293,25 @@ def test_statistics_from_counted_values_equal_those_of_the_rows(spark, sf_small)
     assert sorted(map(str, medians.collect())) == sorted(map(str, plain.collect()))
     rows = clean.global_stats(clean.clean_tip(clean.clean_passengers(clean.clean_fare(staged, plain)))).first()
     assert clean.stats_of_values(values, medians).first() == rows
+
+
+def _saves(monkeypatch, spark):
+    """(open files, plan) of each write from here on."""
+    from pyspark.sql import DataFrameWriter
+    seen, save = [], DataFrameWriter.save
+
+    def spy(self, *args, **kwargs):
+        seen.append((int(spark.conf.get(sinks.WRITERS)), self._df._jdf.queryExecution().optimizedPlan().toString()))
+        return save(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "save", spy)
+    return seen
+
+
+def test_partitioned_write_does_not_sort_its_rows(spark, tmp_path, monkeypatch):
+    seen, before = _saves(monkeypatch, spark), spark.conf.get(sinks.WRITERS)
+    df = spark.range(3_000).selectExpr("id", "IF(id % 31 = 0, NULL, id % 30) AS k")  # more partitions than open files
+    sinks.write_table(df, str(tmp_path / "t"), ["k"])
+    got = spark.read.parquet(str(tmp_path / "t")).select("id", "k")
+    assert sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
+    assert [n for n, _ in seen] == [sinks.OPEN_FILES] and spark.conf.get(sinks.WRITERS) == before

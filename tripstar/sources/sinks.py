@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+# Files that a task of a partitioned write keeps open.
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+OPEN_FILES = 8
+
+
+@contextmanager
+def _open_files(spark: SparkSession) -> Iterator[None]:
+    """A task writes to several partitions at once, rather than sort (and spill)
+    its rows by partition; beyond ``OPEN_FILES`` partitions it sorts the rest."""
+    before = spark.conf.get(WRITERS)
+    spark.conf.set(WRITERS, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(WRITERS, before)
 
 
 def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (),
-                mode: str = "overwrite", overwrite: str = "dynamic") -> str:
+                mode: str = "overwrite", overwrite: str = "dynamic", rebalance: bool = True) -> str:
     """Parquet table, optionally partitioned.
 
     ``overwrite`` is set on the write itself, so the result does not depend on
@@ -16,14 +33,16 @@ def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (),
     "static" replaces everything under ``path``.  A partitioned write is
     rebalanced on the partition columns: adaptive execution splits a large
     partition over tasks and merges small ones, instead of every task writing a
-    file into every partition.
+    file into every partition.  Rows read from files that lie by these partitions
+    need no such shuffle (``rebalance=False``).
     """
-    if partition_cols:
+    if partition_cols and rebalance:
         df = df.hint("rebalance", *partition_cols)
     writer = df.write.mode(mode).format("parquet").option("partitionOverwriteMode", overwrite)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
-    writer.save(path)
+    with _open_files(df.sparkSession):
+        writer.save(path)
     return path
 
 
