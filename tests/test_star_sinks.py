@@ -315,3 +315,12 @@ def test_partitioned_write_does_not_sort_its_rows(spark, tmp_path, monkeypatch):
     got = spark.read.parquet(str(tmp_path / "t")).select("id", "k")
     assert sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
     assert [n for n, _ in seen] == [sinks.OPEN_FILES] and spark.conf.get(sinks.WRITERS) == before
+
+
+def test_rewriting_a_partitioned_table_does_not_shuffle_it(spark, sf_small, monkeypatch):
+    from tripstar.plans import registry
+    registry._prepared(spark, sf_small)
+    seen = _saves(monkeypatch, spark)
+    rows = registry.queries()["dynamic_overwrite"](spark, sf_small)
+    assert ["RebalancePartitions" in plan for _, plan in seen] == [True, False, False]
+    assert rows.count() == registry._prepared(spark, sf_small).count()

@@ -178,8 +178,8 @@ def _dynamic_overwrite(spark, sf):
     fact = _star(spark, sf).fact_trips
     write_table(fact, path, star.PARTITION_COLUMNS)
     write_table(spark.read.parquet(path).where(F.col("pickup_month").isNotNull()),
-                path + "_dated", star.PARTITION_COLUMNS)
-    write_table(spark.read.parquet(path + "_dated"), path, star.PARTITION_COLUMNS)
+                path + "_dated", star.PARTITION_COLUMNS, rebalance=False)
+    write_table(spark.read.parquet(path + "_dated"), path, star.PARTITION_COLUMNS, rebalance=False)
     return spark.read.parquet(path).select(*star.FACT_COLUMNS)
 
 
