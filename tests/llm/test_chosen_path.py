@@ -1,8 +1,10 @@
+import math
 import random
 import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.fixtures import SCHEMA, SF, documents, frame, key_sorted, needs_data
@@ -104,6 +106,39 @@ def test_one_large_group_and_a_long_text(spark):
     assert key_sorted(chosen_path.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()) == brute(rows)
 
 
+def test_first_paths_are_shuffled_once(spark):
+    """Paths of one class only, nearly all, are neither written nor dealt a second time."""
+    rows = [(p, n) for p in range(40) for n in range(40) if n % 10 < 1 + p % 3 or n == p]
+    paths = spark.createDataFrame(rows, "path long, node long")
+    met = chosen_path._met(paths)
+    assert met._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(path") == 1
+    nodes = chosen_path._merged(paths).where("k > 1")
+    want = paths.join(nodes, "path").select("path", "node", "k", "hub", "members")
+    assert key_sorted(met.collect()) == key_sorted(want.collect())
+
+
+def test_a_pair_is_compared_in_one_of_its_nodes():
+    """Eight classes, alike by fours, in five nodes of all: their sets are sent to one."""
+    rng = np.random.default_rng(4)
+    group = [rng.integers(0, 256, chosen_path.EMBED, dtype=np.uint8).tobytes() for _ in range(2)]
+    names = [50, 20, 40, 10, 30]
+    batches = [pa.RecordBatch.from_pylist([
+        {"path": 900 + name, "name": name, "node": n, "label": n, "size": 100, "code": group[n % 2], "names": names} for n in range(8)])
+        for name in names]
+    out = pa.Table.from_batches(list(chosen_path._open_members(80)(iter(batches))))
+    assert out.column("path").to_pylist() == [910] * 8 and sorted(out.column("node").to_pylist()) == list(range(8))
+    far = [{**r, "code": rng.integers(0, 256, chosen_path.EMBED, dtype=np.uint8).tobytes()} for r in batches[3].to_pylist()]
+    assert not sum(b.num_rows for b in chosen_path._open_members(80)(iter([pa.RecordBatch.from_pylist(far)])))
+
+
+def test_cutoff_of_open_pairs_loses_next_to_none():
+    """A pair at the threshold agrees in a binomial number of tokens."""
+    least = chosen_path.cutoff(80, chosen_path.OPEN_DEVIATIONS)
+    lost = sum(math.comb(chosen_path.EMBED, k) * .8**k * .2**(chosen_path.EMBED - k) for k in range(chosen_path.EMBED + 1)
+               if (k / chosen_path.EMBED - 1 / 256) / (1 - 1 / 256) < least)
+    assert lost < 1e-7
+
+
 def test_bytes_that_are_not_utf8_and_empty_table(spark):
     bad = spark.createDataFrame([(2, bytearray(b"\xffA\xc3 b c")), (1, bytearray(b"\xffa\xc3 b c"))], "doc_id long, text binary")
     got = chosen_path.near_duplicates(bad.selectExpr("doc_id", "CAST(text AS string) AS text")).collect()

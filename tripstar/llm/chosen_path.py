@@ -16,18 +16,25 @@
    nodes are compared exhaustively, each in one task, for the pairs that no
    confirmed links connect yet: a node is small when the classes outside its
    largest component, times all its classes, are at most ``NODE_SETS`` squared.
-   The sets (as 32-bit hashes) meet in the node's task, their overlaps are matrix
-   products, and the task returns as many links as unite its components, not its
-   pairs.  Larger nodes are branched on, until none is left.
+   First all these pairs are compared by size and minwise codes, and a class stays
+   in the node if one of its pairs may link (a pair at the threshold is lost with a
+   probability of about 1e-8) and no other small node compares that pair: of the
+   nodes that two classes share, the one of the smallest 32-bit hash does (for two
+   hashes that meet by chance, about 1e-7 a pair).  The sets (as 32-bit hashes) of
+   what stays meet in the node's task, their overlaps are matrix products, and the
+   task returns as many links as unite its components, not its pairs.  Larger nodes
+   are branched on, until none is left.
 4. Pairs with the smallest class that the minwise tokens put at least 4 deviations
    below the threshold go; all others, and all links of step 3, are confirmed on
    the full sets, which travel from the staged texts to their pair.  The component
    of a document follows from the confirmed links.
 
-A group of any size is dealt as its members: its nodes are merged in every task
-before they are shuffled, its stars are dealt in stretches of ``STAR`` pairs, and
-no task or driver holds a group.  Nothing is capped: what a bound does not take is
-branched on.
+A group of any size is dealt as its members: its stars are dealt in stretches of
+``STAR`` pairs, and no task or driver holds a group.  The first level's paths, nearly
+all of one class only, are shuffled once, as pairs (path, class): as every class is on
+about 60 paths, no path has more than a sixtieth of them.  The nodes of the next
+levels, where a group may be all there is, are merged in every task before they are
+shuffled.  Nothing is capped: what a bound does not take is branched on.
 
 Defined results: a document without words (null, empty or white space) has an
 empty set and is its own component; fewer words than ``n`` give one shingle.
@@ -45,7 +52,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripstar.llm.blocks import Block, give_back, n_buckets, stage_parts, unpack, write_bucketed
@@ -65,6 +72,7 @@ LEVELS = 2  # levels of a branch between two looks at the nodes
 MAX_DEPTH = 24  # nodes this deep are compared whatever their size
 STAR = 1_000
 DEVIATIONS = 4
+OPEN_DEVIATIONS = 6  # of the pairs of small nodes
 
 _rng = np.random.Generator(np.random.PCG64(12))
 _FACTORS = _rng.integers(0, 2**63, EMBED, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -120,13 +128,13 @@ def _sketches(column: pa.Array) -> np.ndarray:
 
 def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Similarity by the share of equal codes (the low byte of each token)."""
-    same = (a == b).mean(axis=-1)
+    same = np.count_nonzero(a == b, axis=-1) / EMBED
     return (same - 1 / 256) / (1 - 1 / 256)
 
 
-def cutoff(threshold: int) -> float:
+def cutoff(threshold: int, deviations: int = DEVIATIONS) -> float:
     s = threshold / 100
-    return s - DEVIATIONS * math.sqrt(s * (1 - s) / EMBED)
+    return s - deviations * math.sqrt(s * (1 - s) / EMBED)
 
 
 def sizes_fit(a, b, threshold: int):
@@ -162,6 +170,12 @@ def _sketch_part(n: int):
     return run
 
 
+def _class_sketches(key, left, right):
+    """The sketches of the classes among the rows of one part."""
+    kept = left.filter(pa.array(np.isin(left.column("row").to_numpy(), right.column("node").to_numpy())))
+    return kept.select(["row", "n_shingles", "sketch"]).rename_columns(["node", "size", "sketch"])
+
+
 def _first_paths(trees: int, threshold: int):
     def run(batches):
         for batch in batches:
@@ -257,6 +271,39 @@ def overlaps(sets: list[np.ndarray], some: np.ndarray) -> np.ndarray:
     return out
 
 
+def _open_members(threshold: int):
+    """(path, name, node, label, size, code, names) -> the members that sizes and
+    minwise tokens let link to another component of their node, by pairs that no node
+    of a smaller name has.  ``names`` are those of all small nodes of a member."""
+    least = cutoff(threshold, OPEN_DEVIATIONS)
+
+    def run(batches):
+        for rows in _groups(batches, 2):
+            size, name = np.array([r[4] for r in rows]), rows[0][1]
+            codes = np.frombuffer(b"".join(r[5] for r in rows), np.uint8).reshape(-1, EMBED)
+            _, label, counts = np.unique([r[3] for r in rows], return_inverse=True, return_counts=True)
+            before = [[x for x in r[6] if x < name] for r in rows]
+            at = np.cumsum([0] + [len(x) for x in before])
+            _, earlier = np.unique(np.array([x for some in before for x in some], np.int64), return_inverse=True)
+            mine, seen = np.zeros(len(earlier), bool), np.zeros(len(earlier) + 1, np.int64)
+            keep = np.zeros(len(rows), bool)
+            for i in np.flatnonzero(label != np.argmax(counts)):
+                near = np.flatnonzero((label != label[i]) & sizes_fit(size[i], size, threshold))
+                near = near[estimate(codes[i], codes[near]) >= least]
+                if len(near):
+                    mine[earlier[at[i]:at[i + 1]]] = True
+                    np.cumsum(mine[earlier], out=seen[1:])
+                    mine[:] = False
+                    near = near[seen[at[near + 1]] == seen[at[near]]]
+                if len(near):
+                    keep[near] = keep[i] = True
+            kept = [(r[0], *r[2:5]) for r, k in zip(rows, keep) if k]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*kept) if kept else [[]] * 4)],
+                                             names=["path", "node", "label", "size"])
+
+    return run
+
+
 def _compare_nodes(threshold: int):
     """Links between the components of a node's members (path, node, label, size,
     tokens): as many as unite what the node's links unite."""
@@ -349,6 +396,24 @@ def _confirm(threshold: int):
     return run
 
 
+def part_of(row: str) -> Column:
+    return F.shiftright(row, 32).cast("int")
+
+
+def _merged(paths: DataFrame) -> DataFrame:
+    """(path, k, hub, members) of the nodes: how many classes, the smallest, a hash of all."""
+    return paths.groupBy("path").agg(F.count(F.lit(1)).alias("k"), F.min("node").alias("hub"),
+                                     F.bit_xor(F.xxhash64("node")).alias("members"))
+
+
+def _met(paths: DataFrame) -> DataFrame:
+    """The paths (path, node) that two classes or more are on, with their node as in
+    :func:`_merged`, by one shuffle of the pairs."""
+    here = Window.partitionBy("path")
+    met = paths.select("path", "node", F.count(F.lit(1)).over(here).alias("k")).where("k > 1")
+    return met.withColumns({"hub": F.min("node").over(here), "members": F.bit_xor(F.xxhash64("node")).over(here)})
+
+
 class _Search:
     """The state of a search: staged texts, class sketches, pairs already
     confirmed or refuted, and the components of the links found so far."""
@@ -387,7 +452,7 @@ class _Search:
         dealt = pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("deals")).alias("deal"))
         wanted = (dealt.select("a", "deal", F.lit(1).alias("kind"), F.col("b").alias("node"))
                        .union(dealt.select("a", "deal").distinct().select("a", "deal", F.lit(0), F.col("a"))))
-        wanted = wanted.withColumn("part", F.expr("CAST(shiftright(node, 32) AS INT)"))
+        wanted = wanted.withColumn("part", part_of("node"))
         sets = self.staged.groupBy("part").cogroup(wanted.groupBy("part")).applyInArrow(_pick(self.n), _SETS)
         links = written(sets.repartition(n_buckets(pairs.sparkSession), "a", "deal").sortWithinPartitions("a", "deal", "kind")
                             .mapInArrow(_confirm(self.threshold), "a long, b long"), "links-found")
@@ -429,10 +494,17 @@ class _Search:
 
     def compare(self, small: DataFrame, seed: int) -> bool:
         """Compare the members of small nodes; whether every link found holds."""
-        wanted = small.select("node").distinct().withColumn("part", F.expr("CAST(shiftright(node, 32) AS INT)"))
+        n_parts = n_buckets(small.sparkSession)
+        named = small.withColumn("name", F.hash("path"))
+        names = named.groupBy("node").agg(F.collect_list("name").alias("names"))
+        small = written(named.join(self.codes.select("node", "code"), "node").join(names, "node")
+                             .select("path", "name", "node", "label", "size", "code", "names")
+                             .repartition(n_parts, "path").sortWithinPartitions("path")
+                             .mapInArrow(_open_members(self.threshold), "path long, node long, label long, size long"), "open-members")
+        wanted = small.select("node").distinct().withColumn("part", part_of("node"))
         sets = self.staged.groupBy("part").cogroup(wanted.groupBy("part")).applyInArrow(_pick_short(self.n, seed), "node long, tokens binary")
         found = (small.join(sets, "node").select("path", "node", "label", "size", "tokens")
-                      .repartition(n_buckets(small.sparkSession), "path").sortWithinPartitions("path")
+                      .repartition(n_parts, "path").sortWithinPartitions("path")
                       .mapInArrow(_compare_nodes(self.threshold), "a long, b long").distinct())
         found = written(found, "open-links")
         n = found.count()
@@ -440,10 +512,14 @@ class _Search:
 
     def level(self, paths: DataFrame, depth: int, node_sets: int) -> DataFrame | None:
         """Look at the nodes of one level; the paths of the next, if any."""
-        nodes = paths.groupBy("path").agg(F.count(F.lit(1)).alias("k"), F.min("node").alias("hub"),
-                                          F.bit_xor(F.xxhash64("node")).alias("members")).where("k > 1")
+        if depth == DEPTH:
+            paths = written(_met(paths), "paths")
+            nodes = paths.where("node = hub")
+        else:
+            paths = written(paths, "paths")
+            nodes = _merged(paths).where("k > 1")
         nodes = written(nodes.groupBy("members", "k").agg(F.min("path").alias("path"), F.min("hub").alias("hub")).select("path", "k", "hub"), "nodes")
-        inside = written(paths.join(nodes, "path").join(self.codes.select("node", "size"), "node"), "node-members")
+        inside = written(paths.select("path", "node").join(nodes, "path").join(self.codes.select("node", "size"), "node"), "node-members")
         self.stars(inside)
         seed, last = 0, depth >= MAX_DEPTH
         open_ = self.open_nodes(inside, node_sets, last)
@@ -452,8 +528,8 @@ class _Search:
         large = open_.where("NOT small")
         if large.isEmpty():
             return None
-        return written(large.select("path", "node").join(self.sketches, "node").select("path", "node", "sketch")
-                            .mapInArrow(_next_paths(self.threshold), "path long, node long"), "paths")
+        return (large.select("path", "node").join(self.sketches, "node").select("path", "node", "sketch")
+                     .mapInArrow(_next_paths(self.threshold), "path long, node long"))
 
 
 def near_duplicates(docs: DataFrame, n: int = N, threshold: int = THRESHOLD, recall: float = RECALL, id_col: str = "doc_id",
@@ -462,12 +538,13 @@ def near_duplicates(docs: DataFrame, n: int = N, threshold: int = THRESHOLD, rec
     staged = stage_parts(docs, id_col, text_col, "minwise_texts")
     rows = write_bucketed(staged.groupBy("part").applyInArrow(_sketch_part(n), _ROWS), "minwise_sketches")
     classes = written(rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("row").alias("node")), "classes")
-    sketches = written(rows.where("sketch IS NOT NULL").join(classes.select(F.col("node").alias("row")), "row", "left_semi")
-                           .select(F.col("row").alias("node"), F.col("n_shingles").alias("size"), "sketch"), "class-sketches")
+    sketches = written(rows.where("sketch IS NOT NULL").select("part", "row", "n_shingles", "sketch").groupBy("part")
+                           .cogroup(classes.select("node", part_of("node").alias("part")).groupBy("part"))
+                           .applyInArrow(_class_sketches, "node long, size long, sketch binary"), "class-sketches")
 
     search = _Search(staged, sketches, n, threshold)
-    paths, depth = written(sketches.select("node", "sketch").mapInArrow(_first_paths(trees_for(recall, threshold), threshold),
-                                                                        "path long, node long"), "paths"), DEPTH
+    paths, depth = sketches.select("node", "sketch").mapInArrow(_first_paths(trees_for(recall, threshold), threshold),
+                                                                "path long, node long"), DEPTH
     while paths is not None:
         paths, depth = search.level(paths, depth, node_sets), depth + LEVELS
 
