@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tests.helpers import frame, trip
 from tripstar.operators import clean, extensions, star
 from tripstar.plans import analytics
-from tripstar.plans.etl import read_warehouse, run_etl
+from tripstar.plans.etl import FEW_MONTHS, read_warehouse, run_etl, stage
 from tripstar.session import scratch_path, staged_table
 from tripstar.sources.files import list_names, remove_tree, swap_in
 from tripstar.sources import landing, sinks
@@ -61,6 +61,41 @@ def test_loads_do_not_touch_each_other(spark, order):
     assert t["dim_datetime"].select("datetime_key").distinct().count() == t["dim_datetime"].count()
 
 
+def _warehouse_rows(spark, out):
+    return sorted(map(repr, read_warehouse(spark, out)["fact_trips"].collect()))
+
+
+def test_a_staged_file_is_loaded_again_without_its_raw_rows(spark):
+    """Two loads of one staged file give what two loads of the file give, copies included."""
+    rows = [trip(minute=i * 61, fare=10.0 + i) for i in range(5)] + [trip(minute=7, fare=31.0, pickup_null=True)]
+    src, base = scratch_path(spark, "file"), scratch_path(spark, "staged")
+    frame(spark, rows + rows[:2]).write.parquet(src)
+    raw, by_file, by_stage = spark.read.parquet(src), scratch_path(spark, "loads"), scratch_path(spark, "loads")
+    for _ in range(2):
+        run_etl(spark, raw, by_file, load_month=202401)
+    staged = stage(spark, raw, base)
+    assert staged.counts == {"raw": 8, "copies": 8, "distinct": 6}
+    remove_tree(spark, src)
+    for _ in range(2):
+        got = {r["check"]: r["observed"] for r in run_etl(spark, staged, by_stage, load_month=202401).load_check.collect()}
+        assert sorted(got.values()) == [6, 8]
+    assert _warehouse_rows(spark, by_stage) == _warehouse_rows(spark, by_file)
+
+
+@pytest.mark.parametrize("months", [1, FEW_MONTHS, FEW_MONTHS + 2])
+def test_a_fact_of_few_months_is_written_without_a_shuffle(spark, monkeypatch, months):
+    asked = {}
+    put = sinks.write_table
+    monkeypatch.setattr("tripstar.plans.etl.write_table", lambda df, path, *a, **k: (
+        asked.__setitem__(path.rpartition("/")[2], k.get("rebalance", True)), put(df, path, *a, **k))[1])
+    rows = [trip(minute=m * 31 * 24 * 60 + i, fare=10.0 + i) for m in range(months) for i in range(3)]
+    out = scratch_path(spark, "months")
+    run_etl(spark, frame(spark, rows + [trip(minute=3, fare=1.0, pickup_null=True)]), out)
+    assert asked["fact_trips"] == (months > FEW_MONTHS)
+    fact = read_warehouse(spark, out)["fact_trips"]
+    assert fact.count() == 3 * months + 1 and fact.select(*star.PARTITION_COLUMNS).distinct().count() == months + 1
+
+
 def test_a_load_that_loses_rows_is_reported(spark):
     jan, _ = _two_months(spark)
     staged = clean.prepare(jan, keep_copies=True)

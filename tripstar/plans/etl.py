@@ -13,14 +13,18 @@ a function of the hour), and :func:`read_warehouse` shows it once.
 Passes over the data
 --------------------
 1. dedupe (T1) + timestamps, duration, distance bin (T2-T4), written once as
-   a staged Parquet table in the shared work folder.  This is the only
-   full-width shuffle and the only scan of the raw rows; the raw, copy and
-   distinct counts are observed while it runs.  The staged table cuts the lineage
-   (a lost executor re-reads files instead of recomputing the dedupe).
+   a staged Parquet table in the shared work folder, with the columns that later
+   passes read.  This is the only shuffle of rows and the only scan of the raw
+   rows; the raw, copy and distinct counts are observed while it runs.  The staged
+   table cuts the lineage (a lost executor re-reads files instead of recomputing
+   the dedupe), and a file that is loaded several times can be staged once
+   (:func:`stage`).
 2. one scan of the staged rows counts the values that all statistics and the date
    dimension follow from (:func:`tripstar.operators.clean.value_counts`).
 3. a second scan of the staged rows writes the fact; the medians are a small
-   written lookup, the global statistics a scalar subquery.
+   written lookup, the global statistics a scalar subquery.  A load of few months
+   (``FEW_MONTHS``) is written as it is scanned; the rows of more are shuffled by
+   month first, so that not every task writes a file into every month.
 4. one scan of the new fact gives its summary, from which the load check, the two
    small dimensions and the fact's validation follow.  The summary is kept beside
    the fact, so a later load folds it in and reads no fact row of this one.
@@ -35,6 +39,7 @@ fails, readers find the former rows.  Other loads are never touched.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -44,11 +49,11 @@ from tripstar.operators import clean, star
 from tripstar.session import scratch_path
 from tripstar.sources.files import exists, list_names, remove_tree, swap_in
 from tripstar.sources.sinks import write_json, write_table
-from tripstar.sources.tables import RAW_COLUMNS
 
 TABLES = ("dim_datetime", "dim_payment", "dim_trip_category", "fact_trips")
-STAGED_COLUMNS = (*RAW_COLUMNS, "pickup_ts", "dropoff_ts", "trip_duration_minutes", "distance_bin",
-                  clean.COPIES)
+STAGED_COLUMNS = ("VendorID", "passenger_count", "trip_distance", "fare_amount", "tip_amount", "payment_type", "PULocationID",
+                  "DOLocationID", "pickup_ts", "trip_duration_minutes", "distance_bin", clean.COPIES)
+FEW_MONTHS = 3
 LOAD = "load_month"
 SUMMARY = "_fact_summary"
 VALIDATION_SCHEMA = "table_name string, row_count long, key_column string, null_count long"
@@ -66,6 +71,14 @@ class EtlResult:
     load_check: DataFrame
 
 
+@dataclass
+class Staged:
+    """The deduplicated rows of one file (T1-T4), written, and its ``raw``, ``copies``
+    and ``distinct`` counts."""
+    rows: DataFrame
+    counts: dict[str, int]
+
+
 def read_warehouse(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
     """The written tables (S2).  Load month and pickup year and month come from
     the folder names.  All columns of an hour follow from its key, so an hour
@@ -90,9 +103,10 @@ def loads(spark: SparkSession, out_dir: str) -> list[int]:
     return sorted(int(n[len(prefix):]) for n in list_names(spark, f"{out_dir}/fact_trips") if n.startswith(prefix))
 
 
-def run_etl(spark: SparkSession, raw: DataFrame, out_dir: str, keys: str = "stable",
+def run_etl(spark: SparkSession, raw: DataFrame | Staged, out_dir: str, keys: str = "stable",
             accuracy: int | None = None, validate: bool = True, load_month: int = 0) -> EtlResult:
-    """Load ``raw`` as ``load_month`` (0: a warehouse of one unnamed load)."""
+    """Load ``raw``, or what :func:`stage` made of it, as ``load_month`` (0: a warehouse
+    of one unnamed load)."""
     if keys == "parity" and set(loads(spark, out_dir)) - {load_month}:
         raise ValueError(f"{out_dir} holds other loads: parity keys start at 1 in each load and would "
                          "mix their hours; use stable keys")
@@ -104,12 +118,12 @@ def run_etl(spark: SparkSession, raw: DataFrame, out_dir: str, keys: str = "stab
         remove_tree(spark, new)
 
 
-def _stage(spark: SparkSession, raw: DataFrame, path: str) -> tuple[DataFrame, dict[str, int]]:
-    """The deduplicated rows, written, and the counts observed on the way."""
+def stage(spark: SparkSession, raw: DataFrame, path: str) -> Staged:
+    """Deduplicate a file into the folder ``path``, which is the caller's to remove:
+    rows and counts can be loaded more than once."""
     seen, kept = Observation("raw"), Observation("distinct")
     prepared = clean.prepare(raw.observe(seen, F.count(F.lit(1)).alias("raw")), keep_copies=True)
-    # Dedupe compares every raw column; later steps only read the named ones,
-    # so the unnamed raw columns are not staged.
+    # Dedupe compares every raw column; only those that later steps read are staged.
     prepared = prepared.select(*[c for c in prepared.columns if c in STAGED_COLUMNS])
     write_table(prepared.observe(kept, F.count(F.lit(1)).alias("distinct"),
                                  F.coalesce(F.sum(clean.COPIES), F.lit(0)).alias("copies")), path)
@@ -118,7 +132,7 @@ def _stage(spark: SparkSession, raw: DataFrame, path: str) -> tuple[DataFrame, d
         # a task that ran twice (lost executor) is observed twice: count again
         again = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("d"), F.coalesce(F.sum(clean.COPIES), F.lit(0)).alias("c")).first()
         counts = {"raw": raw.count(), "distinct": int(again["d"]), "copies": int(again["c"])}
-    return spark.read.parquet(path), counts
+    return Staged(spark.read.parquet(path), counts)
 
 
 def _summaries(spark: SparkSession, out_dir: str, load_month: int) -> DataFrame | None:
@@ -136,20 +150,23 @@ def _summaries(spark: SparkSession, out_dir: str, load_month: int) -> DataFrame
 
 
 def _run(spark, raw, out_dir, keys, accuracy, validate, load_month, scratch, new) -> EtlResult:
-    staged, counts = _stage(spark, raw, f"{scratch}/trips")
+    given = raw if isinstance(raw, Staged) else stage(spark, raw, f"{scratch}/trips")
+    staged, counts = given.rows, dict(given.counts)
 
-    def put(df: DataFrame, path: str, *partition_cols: str) -> DataFrame:
-        return spark.read.parquet(write_table(df, path, partition_cols, overwrite="static"))
+    def put(df: DataFrame, path: str, partition_cols: Sequence[str] = (), rebalance: bool = True) -> DataFrame:
+        return spark.read.parquet(write_table(df, path, partition_cols, overwrite="static", rebalance=rebalance))
 
     values = put(clean.value_counts(staged), f"{scratch}/values")
-    dim_dt = put(star.dim_of_hours(clean.pickup_hours(values), keys), f"{new}/dim_datetime", *star.PARTITION_COLUMNS)
+    dim_dt = put(star.dim_of_hours(clean.pickup_hours(values), keys), f"{new}/dim_datetime", star.PARTITION_COLUMNS)
+    months = dim_dt.select(*star.PARTITION_COLUMNS).distinct().count()
     if accuracy is None:
         medians = put(clean.medians_of_values(values), f"{scratch}/medians")
         stats = put(clean.stats_of_values(values, medians), f"{scratch}/stats")
     else:
         medians, stats = put(clean.fare_bin_medians(staged, accuracy), f"{scratch}/medians"), None
     cleaned = clean.finish(staged, accuracy, medians, stats)
-    fact = put(star.fact_trips(cleaned, dim_dt, written=True), f"{new}/fact_trips", *star.PARTITION_COLUMNS)
+    fact = put(star.fact_trips(cleaned, dim_dt, written=True), f"{new}/fact_trips", star.PARTITION_COLUMNS,
+               rebalance=months > FEW_MONTHS)
     own = put(star.fact_summary(fact), f"{new}/{SUMMARY}")
 
     counts["fact"] = int(own.agg(F.coalesce(F.sum("trips"), F.lit(0))).first()[0])

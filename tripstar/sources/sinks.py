@@ -33,8 +33,8 @@ def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (),
     "static" replaces everything under ``path``.  A partitioned write is
     rebalanced on the partition columns: adaptive execution splits a large
     partition over tasks and merges small ones, instead of every task writing a
-    file into every partition.  Rows read from files that lie by these partitions
-    need no such shuffle (``rebalance=False``).
+    file into every partition.  Rows read from files that lie by these partitions,
+    or rows of few partitions, need no such shuffle (``rebalance=False``).
     """
     if partition_cols and rebalance:
         df = df.hint("rebalance", *partition_cols)
